@@ -70,13 +70,14 @@ def daily_features_forecast(spark, sf):
     " FROM cut LEFT JOIN f USING (id) WHERE split = 'train'",
 )
 def training_set(spark, sf):
-    return _training_set(spark, sf, subjects(spark, sf).select("id", "age", "sii"), "train")
+    labelled = split.split_random(subjects(spark, sf).select("id", "age", "sii"))
+    return _with_lookups(spark, sf, split.take(labelled, "train"))
 
 
-def _training_set(spark, sf, rows, part):
+def _with_lookups(spark, sf, rows):
     function = register_multiplier(spark, "moving_average_battery_voltage")
     return training.create_training_set(
-        split.take(split.split_random(rows), part),
+        rows,
         aggregates.series_summary(series(spark, sf)),
         functions={"battery_voltage_mean_moving_avg": (function, {"x": "battery_voltage_mean"})},
     )
@@ -85,10 +86,10 @@ def _training_set(spark, sf, rows, part):
 @query("train_and_evaluate")
 def train_and_evaluate(spark, sf):
     """Split, look features up, train on one part and report on the other."""
-    rows = subjects(spark, sf)
+    labelled = split.split_random(subjects(spark, sf))
     run = training.train_and_evaluate(
-        _training_set(spark, sf, rows, "train"),
-        _training_set(spark, sf, rows, "test"),
+        _with_lookups(spark, sf, split.take(labelled, "train")),
+        _with_lookups(spark, sf, split.take(labelled, "test")),
         SUBJECT_SPEC,
         passthrough=["battery_voltage_mean_moving_avg"],
         num_trees=10,

@@ -5,7 +5,7 @@ Models are trained with few, shallow trees here; the tuned parameters are the fu
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -195,9 +195,8 @@ def save_load_model(spark, sf):
     """Preprocessing and forest saved as one pipeline, reloaded and applied to raw rows."""
     rows = _model_rows(spark, sf)
     encoder = _encoder(rows)
-    stages = Pipeline(stages=encoder.stages()).fit(rows).stages
     forest = trees.train_random_forest(encoder.assemble(rows).select("sii", "features"), "sii", **_FOREST)
-    path = trees.save_model(PipelineModel(stages=[*stages, forest]), scratch_path(spark, "model"))
+    path = trees.save_model(PipelineModel(stages=[*encoder.stages(), forest]), scratch_path(spark, "model"))
     return trees.score_batch(trees.load_pipeline(path), rows).select(*_SCORED)
 
 

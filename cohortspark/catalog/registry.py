@@ -12,6 +12,7 @@ from cohortspark.functions.scalars import quote
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+BUILDERS: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 DIGITS = 9
@@ -24,7 +25,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return rounded(build(spark, sf_dir))
 
-        QUERIES[name] = run
+        QUERIES[name], BUILDERS[name] = run, build
         if sql is not None:
             ORACLES[name] = f"WITH {VIEWS_SQL}{sql if sql.lstrip().startswith(',') else ' ' + sql}"
         return build

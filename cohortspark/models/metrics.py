@@ -8,29 +8,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.functions.scalars import quote
-from cohortspark.operators.sizing import MAX_LEVELS
 
+MAX_CELLS = 100_000
 
-def _pairs(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    return df.select(F.col(quote(actual)).alias("actual"), F.col(quote(predicted)).alias("predicted")).where(
-        "actual IS NOT NULL AND predicted IS NOT NULL"
+
+def _pairs(df: DataFrame, actual: str, predicted: str, count: str | None = None) -> DataFrame:
+    n = F.lit(1).cast("bigint") if count is None else F.col(quote(count)).cast("bigint")
+    pairs = df.select(
+        F.col(quote(actual)).alias("actual"), F.col(quote(predicted)).alias("predicted"), n.alias("count")
     )
+    return pairs.where("actual IS NOT NULL AND predicted IS NOT NULL")
+
+
+def confusion_matrix(df: DataFrame, actual: str, predicted: str, count: str | None = None) -> DataFrame:
+    """Rows per (actual, predicted); ``count`` names the row count of an input that is already grouped."""
+    pairs = _pairs(df, actual, predicted, count)
+    return pairs.groupBy("actual", "predicted").agg(F.sum("count").alias("count"))
+
 
+def collected_confusion(df: DataFrame, actual: str, predicted: str, count: str | None = None) -> DataFrame:
+    """The confusion matrix computed once and kept as a small frame, so that several metrics share one scan.
 
-def accuracy(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    hit = (F.col("actual") == F.col("predicted")).cast("double")
-    return _pairs(df, actual, predicted).agg(F.avg(hit).alias("accuracy"))
+    Its size is the square of the number of classes; more than ``MAX_CELLS`` cells is an error.
+    """
+    matrix = confusion_matrix(df, actual, predicted, count)
+    rows = matrix.limit(MAX_CELLS + 1).collect()
+    if len(rows) > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} class pairs: the columns are not class labels")
+    return df.sparkSession.createDataFrame(rows, matrix.schema)
 
 
-def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    return _pairs(df, actual, predicted).groupBy("actual", "predicted").agg(F.count(F.lit(1)).alias("count"))
+def accuracy(df: DataFrame, actual: str, predicted: str, count: str | None = None) -> DataFrame:
+    hits = F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(0))
+    return _pairs(df, actual, predicted, count).agg(F.try_divide(hits, F.sum("count")).alias("accuracy"))
 
 
 def _or_zero(numerator: Column, denominator: Column) -> Column:
     return F.coalesce(F.try_divide(numerator, denominator), F.lit(0.0))
 
 
-def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+def classification_report(df: DataFrame, actual: str, predicted: str, count: str | None = None) -> DataFrame:
     """Precision, recall, F1 and support per class, then ``accuracy``, ``macro avg`` and ``weighted avg``.
 
     One scan: each confusion count is credited to its actual and to its predicted class, and each class
@@ -48,7 +65,7 @@ def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFra
         F.struct(F.col("predicted").alias("class"), zero.alias("support"), n.alias("assigned"), zero.alias("hits")),
     )
     classes = (
-        confusion_matrix(df, actual, predicted)
+        confusion_matrix(df, actual, predicted, count)
         .select(F.inline(roles))
         .groupBy("class")
         .agg(*[F.sum(c).alias(c) for c in ("support", "assigned", "hits")])
@@ -99,41 +116,33 @@ def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFra
     )
 
 
-def class_labels(df: DataFrame, actual: str, predicted: str, max_classes: int = MAX_LEVELS) -> list:
-    """Sorted classes that occur as actual or predicted value."""
-    both = _pairs(df, actual, predicted).select(F.explode(F.array("actual", "predicted")).alias("c")).distinct()
-    rows = both.limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"more than {max_classes} classes")
-    return sorted(r["c"] for r in rows)
-
-
-def quadratic_kappa(df: DataFrame, actual: str, predicted: str, labels: Sequence | None = None) -> DataFrame:
+def quadratic_kappa(
+    df: DataFrame, actual: str, predicted: str, labels: Sequence | None = None, count: str | None = None
+) -> DataFrame:
     """Quadratic-weighted kappa, one row.
 
     Distances are between places in the sorted class list (the classes that occur, unless given).
-    Both disagreement sums follow from five sums over the rows, so no pair table is needed:
-    expected disagreement = sum a^2 + sum p^2 - 2 * sum a * sum p / n. NULL when that is 0.
+    Both disagreement sums follow from five sums over the confusion counts, so no table of class pairs
+    is needed: expected disagreement = sum a^2 + sum p^2 - 2 * sum a * sum p / n. NULL when that is 0.
     """
-    known = list(labels) if labels is not None else class_labels(df, actual, predicted)
+    counts = collected_confusion(df, actual, predicted, count)
+    if labels is None:
+        seen = counts.select(F.explode(F.array("actual", "predicted")).alias("c")).distinct().collect()
+        labels = sorted(r["c"] for r in seen)
+    places = F.array(*[F.lit(label) for label in labels]) if labels else F.array().cast("array<string>")
 
     def place(c: str) -> Column:
-        out = F.lit(None).cast("double")
-        for i, label in enumerate(known):
-            out = F.when(F.col(c) == F.lit(label), F.lit(float(i))).otherwise(out)
-        return out
-
-    a, p = F.col("a"), F.col("p")
-    # Hot class pairs collapse to counts before the sums.
-    counts = confusion_matrix(df, actual, predicted).select(
-        place("actual").alias("a"), place("predicted").alias("p"), F.col("count").cast("double").alias("n")
-    )
-    sums = counts.where("a IS NOT NULL AND p IS NOT NULL").agg(
-        F.sum(F.col("n") * (a - p) * (a - p)).alias("observed"),
-        F.sum(F.col("n") * (a * a + p * p)).alias("squares"),
-        F.sum(F.col("n") * a).alias("sum_a"),
-        F.sum(F.col("n") * p).alias("sum_p"),
-        F.sum("n").alias("n"),
+        at = F.array_position(places, F.col(c))
+        return F.when(at > 0, at - 1).cast("double")
+
+    a, p, n = F.col("a"), F.col("p"), F.col("n")
+    placed = counts.select(place("actual").alias("a"), place("predicted").alias("p"), F.col("count").alias("n"))
+    sums = placed.where("a IS NOT NULL AND p IS NOT NULL").agg(
+        F.sum(n * (a - p) * (a - p)).alias("observed"),
+        F.sum(n * (a * a + p * p)).alias("squares"),
+        F.sum(n * a).alias("sum_a"),
+        F.sum(n * p).alias("sum_p"),
+        F.sum(n).alias("n"),
     )
-    expected = F.col("squares") - 2 * F.try_divide(F.col("sum_a") * F.col("sum_p"), F.col("n"))
+    expected = F.col("squares") - 2 * F.try_divide(F.col("sum_a") * F.col("sum_p"), n)
     return sums.select((1 - F.try_divide(F.col("observed"), expected)).alias("kappa"))

@@ -50,7 +50,3 @@ def check_primary_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         null_part = null_part | F.col(quote(k)).isNull()
     counts = df.groupBy(*[quote(k) for k in keys]).agg(F.count(F.lit(1)).alias("row_count"))
     return counts.withColumn("has_null", null_part).where("row_count > 1 OR has_null")
-
-
-def is_unique(df: DataFrame, keys: Sequence[str]) -> bool:
-    return check_primary_key(df, keys).isEmpty()

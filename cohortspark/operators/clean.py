@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from cohortspark.functions.scalars import quote
 from cohortspark.operators.numbering import ordered_row_id
+from cohortspark.operators.sizing import broadcast_if_small
 from cohortspark.schemas import CohortSpec
 
 
@@ -67,8 +68,14 @@ def filter_not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(quote(column)).isNotNull())
 
 
-def drop_null_rows(df: DataFrame, subset: Sequence[str] | None = None, how: str = "any") -> DataFrame:
-    return df.na.drop(how=how, subset=list(subset) if subset else None)
+def drop_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+    """Rows with a value in every listed column (all columns unless given); NaN is no value."""
+    types = dict(df.dtypes)
+    for c in subset or df.columns:
+        df = df.where(F.col(quote(c)).isNotNull())
+        if types[c] in ("double", "float"):
+            df = df.where(~F.isnan(quote(c)))
+    return df
 
 
 def head_rows(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
@@ -124,10 +131,11 @@ def index_category(df: DataFrame, column: str, target: str) -> DataFrame:
     """Alphabetical 0-based code of a string column; NULL gets -1.
 
     The level table is numbered without a global window and joined back, so the number of levels is
-    not limited; AQE broadcasts it when its measured size allows, and splits hot levels otherwise.
+    not limited: it is broadcast when it proves small, and a larger one is joined by shuffle, where AQE
+    splits hot levels.
     """
     levels = df.select(F.col(quote(column)).alias("_level")).where("_level IS NOT NULL").distinct()
-    codes = ordered_row_id(levels, ["_level"], "_code")
+    codes = broadcast_if_small(ordered_row_id(levels, ["_level"], "_code"))
     joined = df.join(codes, F.col(quote(column)) == F.col("_level"), "left")
     return joined.withColumn(target, F.coalesce("_code", F.lit(-1)).cast("int")).drop("_level", "_code")
 

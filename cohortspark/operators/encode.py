@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,8 +110,7 @@ class FeatureEncoder:
 
     def assemble(self, df: DataFrame, output: str = "features") -> DataFrame:
         """Add the feature vector and drop the per-slot helper columns."""
-        model: PipelineModel = Pipeline(stages=self.stages(output)).fit(df)
-        return model.transform(df).drop(*[f"_f{i}" for i in range(len(self.names))])
+        return PipelineModel(stages=self.stages(output)).transform(df).drop(*[f"_f{i}" for i in range(len(self.names))])
 
 
 def fit_encoder(

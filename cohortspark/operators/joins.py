@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.functions.scalars import quote
-from cohortspark.operators.changes import is_unique
 from cohortspark.operators.clean import dedup_columns, drop_columns, select_columns
 
 
@@ -36,15 +35,27 @@ def feature_lookup(
     names: Sequence[str],
     key: str = "id",
     exclude: Sequence[str] = (),
-    check_unique: bool = True,
 ) -> DataFrame:
     """Add chosen feature columns by key, keep every row of ``df``, drop the excluded columns if present.
 
-    The feature table must have one row per key; a repeated key would multiply training rows.
+    The feature table must have one row per key, since a repeated key would multiply training rows. That
+    is checked while the query runs: grouping by the key uses the partitioning the join needs anyway, so
+    the features are not computed a second time for the check.
     """
-    if check_unique and not is_unique(features.where(F.col(quote(key)).isNotNull()), [key]):
-        raise ValueError(f"feature table has repeated values of {key!r}")
-    return drop_columns(left_join(df, select_columns(features, [key, *names]), key), exclude)
+    k = quote(key)
+    message = F.concat(F.lit(f"repeated {key} in feature table: "), F.col(k).cast("string"))
+
+    def single(name: str):
+        return F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col(quote(name))).alias(name)
+
+    looked_up = (
+        select_columns(features, [key, *names])
+        .where(F.col(k).isNotNull())
+        .groupBy(k)
+        .agg(F.count(F.lit(1)).alias("_n"), *[F.first(quote(n)).alias(n) for n in names])
+        .select(k, *[single(n) for n in names])
+    )
+    return drop_columns(left_join(df, looked_up, key), exclude)
 
 
 def union_positional(frames: Sequence[DataFrame]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,18 +67,18 @@ def train_and_evaluate(
         classifier = train_random_forest(features, spec.target, **{**FOREST_PARAMS, **forest})
     finally:
         features.unpersist()
-    stages = Pipeline(stages=encoder.stages()).fit(labelled).stages
-    model = PipelineModel(stages=[*stages, classifier])
+    model = PipelineModel(stages=[*encoder.stages(), classifier])
     scored = score_batch(model, held_out).select(
         spec.key, F.col(quote(spec.target)).cast("int").alias("actual"), "predicted_class", "probabilities"
     )
-    counted = metrics.accuracy(scored, "actual", "predicted_class").first()
-    kappa = metrics.quadratic_kappa(scored, "actual", "predicted_class").first()
+    # The test rows are scored once; every metric works on the class counts.
+    counts = metrics.collected_confusion(scored, "actual", "predicted_class")
+    columns = {"actual": "actual", "predicted": "predicted", "count": "count"}
     return TrainedRun(
         model,
         scored,
-        metrics.classification_report(scored, "actual", "predicted_class"),
-        counted["accuracy"],
-        kappa["kappa"],
+        metrics.classification_report(counts, **columns),
+        metrics.accuracy(counts, **columns).first()["accuracy"],
+        metrics.quadratic_kappa(counts, **columns).first()["kappa"],
         encoder.names,
     )
