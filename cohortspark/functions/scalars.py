@@ -63,21 +63,22 @@ def severity_index(total: Column | str) -> Column:
     )
 
 
-def weekday_flag(weekday: Column | str) -> Column:
+def weekday_flag(weekday: Column | str, labels: Sequence = WEEKDAY_FLAGS) -> Column:
     """``weekday`` below 5, otherwise ``weekend`` (also for NULL)."""
-    return F.when(_col(weekday) < 5, F.lit("weekday")).otherwise(F.lit("weekend"))
+    return F.when(_col(weekday) < 5, F.lit(labels[0])).otherwise(F.lit(labels[1]))
 
 
-def day_part(time_of_day: Column | str, unit: str = "s") -> Column:
+def day_part(time_of_day: Column | str, unit: str = "s", labels: Sequence = DAY_PARTS) -> Column:
     """Six-hour part of the day; ``unit`` is ``s`` or ``ms``; NULL gives ``unknown``."""
     hour = 3600 * {"s": 1, "ms": 1000}[unit]
     t = _col(time_of_day)
+    night, morning, afternoon, evening, unknown = (F.lit(label) for label in labels)
     return (
-        F.when(t < 6 * hour, F.lit("night"))
-        .when(t < 12 * hour, F.lit("morning"))
-        .when(t < 18 * hour, F.lit("afternoon"))
-        .when(t >= 18 * hour, F.lit("evening"))
-        .otherwise(F.lit("unknown"))
+        F.when(t < 6 * hour, night)
+        .when(t < 12 * hour, morning)
+        .when(t < 18 * hour, afternoon)
+        .when(t >= 18 * hour, evening)
+        .otherwise(unknown)
     )
 
 

@@ -1,13 +1,13 @@
 """Seasonal forecasts per participant and feature.
 
-The model is a linear trend plus daily and weekly harmonics, fitted by least squares. Spark sums the
-normal equations with partial aggregation, so a participant's samples never meet in one task; only
-the finished 16 x 17 sums are solved, a batch of series at a time.
+The model is a linear trend plus daily and weekly harmonics, fitted by least squares. Each task reduces its
+own samples, in Arrow batches, to the sums of the normal equations; Spark adds those up per series, so a
+participant's samples never meet in one task. Only the finished 16 x 17 sums are solved.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from math import pi
 
 import numpy as np
@@ -26,6 +26,13 @@ N_TERMS = 2 + 2 * (DAILY_HARMONICS + WEEKLY_HARMONICS)
 RIDGE = 1e-6
 
 
+# Period in days and number of harmonics of each seasonality.
+_SEASONS = ((1.0, DAILY_HARMONICS), (7.0, WEEKLY_HARMONICS))
+_CYCLES = [k / period for period, harmonics in _SEASONS for k in range(1, harmonics + 1)]
+# Partial sums a task keeps before it hands them on.
+_MAX_OPEN_SERIES = 1024
+
+
 def sample_time(day: Column | str = "relative_date_PCIAT", time_of_day: Column | str = "time_of_day") -> Column:
     """Seconds on one continuous axis from the relative day and the seconds within it."""
     d = F.col(quote(day)) if isinstance(day, str) else day
@@ -34,38 +41,90 @@ def sample_time(day: Column | str = "relative_date_PCIAT", time_of_day: Column |
 
 
 def _design(ds: Column) -> list[Column]:
+    """Model terms of a timestamp: 1, days, and sine and cosine of every harmonic."""
     days = ds / F.lit(float(DAY))
-    terms = [F.lit(1.0), days]
-    for period, harmonics in ((1.0, DAILY_HARMONICS), (7.0, WEEKLY_HARMONICS)):
-        for k in range(1, harmonics + 1):
-            angle = days * F.lit(2 * pi * k / period)
-            terms += [F.sin(angle), F.cos(angle)]
-    return terms
-
-
-def _long(df: DataFrame, features: Sequence[str], key: str, ds: str) -> DataFrame:
-    cells = [F.struct(F.lit(f).alias("feature"), F.col(quote(f)).cast("double").alias("y")) for f in features]
-    return (
-        df.select(F.col(quote(key)).alias("id"), F.col(quote(ds)).alias("ds"), F.inline(F.array(*cells)))
-        .where("id IS NOT NULL AND ds IS NOT NULL AND y IS NOT NULL")
-    )
+    waves = [wave(days * F.lit(2 * pi * c)) for c in _CYCLES for wave in (F.sin, F.cos)]
+    return [F.lit(1.0), days, *waves]
+
+
+def _design_matrix(ds: np.ndarray) -> np.ndarray:
+    """The same terms for a batch of timestamps, one row each."""
+    days = ds / float(DAY)
+    waves = [wave(days * (2 * pi * c)) for c in _CYCLES for wave in (np.sin, np.cos)]
+    return np.column_stack([np.ones(len(days)), days, *waves])
+
+
+def _with_design(df: DataFrame) -> DataFrame:
+    """Add the model terms of ``ds`` as columns x0, x1, …"""
+    return df.withColumns({f"x{i}": term for i, term in enumerate(_design(F.col("ds")))})
+
 
+_UPPER = np.triu_indices(N_TERMS)
+_N_SUMS = len(_UPPER[0]) + N_TERMS
 
-def fit_seasonal(df: DataFrame, features: Sequence[str] = FORECAST_FEATURES, key: str = "id", ds: str = "ds") -> DataFrame:
+
+def _partial_sums(features: Sequence[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Reduce a task's batches to one row per (id, feature): count, and X'X and X'y as one flat array.
+
+    Samples of an id are multiplied out once per set of present features; a feature's sums are those of
+    the sets it belongs to. The number of open series is bounded, so a task's memory is too.
+    """
+    k = len(features)
+    bits = 1 << np.arange(k)
+
+    def rows(open_sums: dict[tuple[str, int], tuple[int, np.ndarray]]) -> pd.DataFrame:
+        series: dict[tuple[str, int], tuple[int, np.ndarray]] = {}
+        for (id_, members), (n, z) in open_sums.items():
+            for f in range(k):
+                if members & bits[f]:
+                    flat = np.concatenate([z[:, :N_TERMS][_UPPER], z[:, N_TERMS + f]])
+                    before = series.get((id_, f), (0, 0.0))
+                    series[(id_, f)] = (before[0] + n, before[1] + flat)
+        return pd.DataFrame(
+            [(id_, features[f], n, sums) for (id_, f), (n, sums) in series.items()], columns=["id", "feature", "n", "g"]
+        )
+
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_sums: dict[tuple[str, int], tuple[int, np.ndarray]] = {}
+        for batch in batches:
+            codes, ids = pd.factorize(batch["id"])
+            y = batch[[f"y{f}" for f in range(k)]].to_numpy(dtype=float)
+            members = (~np.isnan(y)) @ bits
+            group = codes * (1 << k) + members
+            order = np.argsort(group, kind="stable")
+            starts = np.flatnonzero(np.diff(group[order], prepend=-1))
+            x = _design_matrix(batch["ds"].to_numpy(dtype=float)[order])
+            both = np.hstack([x, np.nan_to_num(y[order])])
+            for start, end in zip(starts, [*starts[1:], len(order)]):
+                at = order[start]
+                if not members[at]:
+                    continue
+                key = (ids[codes[at]], int(members[at]))
+                n, z = open_sums.get(key, (0, 0.0))
+                open_sums[key] = (n + int(end - start), z + x[start:end].T @ both[start:end])
+            if len(open_sums) > _MAX_OPEN_SERIES:
+                yield rows(open_sums)
+                open_sums = {}
+        if open_sums:
+            yield rows(open_sums)
+
+    return reduce
+
+
+def fit_seasonal(
+    df: DataFrame, features: Sequence[str] = FORECAST_FEATURES, key: str = "id", ds: str = "ds"
+) -> DataFrame:
     """Coefficients per (id, feature): ``coef`` array, NULL when there are fewer samples than terms."""
-    x = [f"x{i}" for i in range(N_TERMS)]
-    terms = _long(df, features, key, ds).select(
-        "id", "feature", "ds", "y", *[c.alias(n) for n, c in zip(x, _design(F.col("ds")), strict=True)]
-    )
-    gram = [F.sum(F.col(x[i]) * F.col(x[j])) for i in range(N_TERMS) for j in range(i, N_TERMS)]
-    moment = [F.sum(F.col(x[i]) * F.col("y")) for i in range(N_TERMS)]
-    sums = [c.alias(f"g{i}") for i, c in enumerate([*gram, *moment])]
-    normal = terms.groupBy("id", "feature").agg(
-        F.count(F.lit(1)).alias("n"), F.max("ds").alias("last_ds"), *sums
-    )
-    packed = normal.select("id", "feature", "n", "last_ds", F.array(*[f"g{i}" for i in range(len(sums))]).alias("g"))
-    coef = F.when(F.col("n") >= N_TERMS, _solve("g"))
-    return packed.select("id", "feature", "n", "last_ds", coef.alias("coef"))
+    samples = df.select(
+        F.col(quote(key)).alias("id"),
+        F.col(quote(ds)).alias("ds"),
+        *[F.col(quote(f)).cast("double").alias(f"y{k}") for k, f in enumerate(features)],
+    ).where("id IS NOT NULL AND ds IS NOT NULL")
+    partial = samples.mapInPandas(_partial_sums(list(features)), "id string, feature string, n bigint, g array<double>")
+    totals = [F.expr(f"sum(get(g, {i}))").alias(f"g{i}") for i in range(_N_SUMS)]
+    normal = partial.groupBy("id", "feature").agg(F.expr("sum(n)").alias("n"), *totals)
+    packed = normal.selectExpr("id", "feature", "n", f"array({', '.join(f'g{i}' for i in range(_N_SUMS))}) AS g")
+    return packed.select("id", "feature", "n", F.when(F.col("n") >= N_TERMS, _solve("g")).alias("coef"))
 
 
 @F.pandas_udf(ArrayType(DoubleType()))
@@ -74,7 +133,7 @@ def _solve(sums: pd.Series) -> pd.Series:
     values = np.stack(sums.to_numpy()) if len(sums) else np.empty((0, 0))
     if not len(sums):
         return pd.Series([], dtype=object)
-    rows, columns = np.triu_indices(N_TERMS)
+    rows, columns = _UPPER
     gram = np.zeros((len(sums), N_TERMS, N_TERMS))
     gram[:, rows, columns] = values[:, : len(rows)]
     gram[:, columns, rows] = values[:, : len(rows)]
@@ -112,16 +171,13 @@ def forecast_by_group(
     coef = fit_seasonal(df, features, key, ds).groupBy("id").agg(
         *[F.max(F.when(F.col("feature") == f, F.col("coef"))).alias(f"_coef_{f}") for f in features]
     )
-    terms = F.array(*_design(F.col("ds")))
+    # One coefficient row per id; AQE splits an id with many timestamps when the join has to shuffle.
+    joined = _with_design(future_frame(df, periods, key, ds).join(coef, "id", "left"))
 
     def value(f: str) -> Column:
-        products = F.zip_with(terms, F.col(f"_coef_{f}"), lambda a, b: a * b)
-        return F.when(F.col(f"_coef_{f}").isNotNull(), F.aggregate(products, F.lit(0.0), lambda s, v: s + v))
+        return F.expr(" + ".join(f"x{i} * get({quote(f'_coef_{f}')}, {i})" for i in range(N_TERMS)))
 
-    # One coefficient row per id; AQE splits an id with many timestamps when it has to shuffle.
-    return future_frame(df, periods, key, ds).join(coef, "id", "left").select(
-        "id", "ds", "is_future", *[value(f).alias(f"{f}_forecast") for f in features]
-    )
+    return joined.select("id", "ds", "is_future", *[value(f).alias(f"{f}_forecast") for f in features])
 
 
 def daily_forecast(forecast: DataFrame, features: Sequence[str] = FORECAST_FEATURES) -> DataFrame:

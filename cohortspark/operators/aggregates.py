@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cohortspark.functions.scalars import DAY_PARTS, WEEKDAY_FLAGS, day_part, quote, weekday_flag
 from cohortspark.operators.sizing import long_form
+from cohortspark.operators.stats import column_stats
 
 _FULL = ("mean", "std", "max", "min")
 AXES = ("X", "Y", "Z")
@@ -67,11 +68,19 @@ def daily_summary(df: DataFrame) -> DataFrame:
     return summarise(df, ["id", "relative_date_PCIAT"], DAILY_STATS)
 
 
+_N_PARTS = len(DAY_PARTS)
+
+
+def _period_code(unit: str) -> Column:
+    """Weekday flag and day part as one small number, which groups faster than two strings."""
+    return weekday_flag("weekday", (0, _N_PARTS)) + day_part("time_of_day", unit, range(_N_PARTS))
+
+
 def _period_cells(df: DataFrame, unit: str, *extra: Column) -> DataFrame:
     """One row per (id, weekday flag, day part): at most ten per participant."""
     return (
         _keyed(df, ["id"])
-        .groupBy("id", weekday_flag("weekday").alias("_flag"), day_part("time_of_day", unit).alias("_part"))
+        .groupBy("id", _period_code(unit).alias("_period"))
         .agg(
             F.count(F.lit(1)).alias("_n"),
             F.avg("enmo").alias("_enmo"),
@@ -85,18 +94,17 @@ def _period_cells(df: DataFrame, unit: str, *extra: Column) -> DataFrame:
 _PERIOD_MEASURES = {"enmo": "_enmo", "light": "_light", "non_wear_flag": "_non_wear"}
 
 
-def _cell(value: str, flag: str, part: str) -> Column:
-    return F.max(F.when((F.col("_flag") == flag) & (F.col("_part") == part), F.col(value))).alias(
-        f"{value}_{flag}_{part}"
-    )
-
-
-def _flag_cells(parts: Sequence[str]) -> list[Column]:
+def _flag_cells() -> list[Column]:
     """Spread the period cells of a participant over columns, together with their row counts."""
-    return [_cell(v, f, p) for f in WEEKDAY_FLAGS for p in parts for v in ("_n", *_PERIOD_MEASURES.values())]
+    return [
+        F.max(F.when(F.col("_period") == i * _N_PARTS + j, F.col(value))).alias(f"{value}_{flag}_{part}")
+        for i, flag in enumerate(WEEKDAY_FLAGS)
+        for j, part in enumerate(DAY_PARTS)
+        for value in ("_n", *_PERIOD_MEASURES.values())
+    ]
 
 
-def _flag_rows(parts: Sequence[str]) -> Column:
+def _flag_rows() -> Column:
     """Array with one struct per weekday flag that occurs.
 
     A part seen under the other flag only counts as 0; a part the participant never has is NULL; a
@@ -114,17 +122,17 @@ def _flag_rows(parts: Sequence[str]) -> Column:
             .when(count(other, p).isNotNull(), F.lit(0.0))
             .alias(f"{measure}_{p}")
             for measure, cell in _PERIOD_MEASURES.items()
-            for p in parts
+            for p in DAY_PARTS
         ]
-        seen = F.coalesce(*[count(flag, p) for p in parts]).isNotNull()
+        seen = F.coalesce(*[count(flag, p) for p in DAY_PARTS]).isNotNull()
         rows.append(F.when(seen, F.struct(F.lit(flag).alias("weekday_flag"), *fields)))
     return F.array_compact(F.array(*rows))
 
 
 def period_profile(df: DataFrame, unit: str = "s") -> DataFrame:
     """Mean activity, mean light and non-wear total by day part, one row per (id, weekday flag)."""
-    cells = _period_cells(df, unit).groupBy("id").agg(*_flag_cells(DAY_PARTS))
-    return cells.select("id", F.inline(_flag_rows(DAY_PARTS)))
+    cells = _period_cells(df, unit).groupBy("id").agg(*_flag_cells())
+    return cells.select("id", F.inline(_flag_rows()))
 
 
 def non_wear_ratio(df: DataFrame) -> DataFrame:
@@ -165,7 +173,7 @@ def participant_profile(df: DataFrame, unit: str = "s") -> DataFrame:
             F.max(f"_max_{c}").alias(f"{c}_max"),
             F.min(f"_min_{c}").alias(f"{c}_min"),
         ]
-    merged = cells.groupBy("id").agg(*combined, *_flag_cells(DAY_PARTS))
+    merged = cells.groupBy("id").agg(*combined, *_flag_cells())
 
     def mean(c: str) -> Column:
         return F.try_divide(F.col(f"_sum_{c}"), F.col(f"_count_{c}"))
@@ -186,7 +194,7 @@ def participant_profile(df: DataFrame, unit: str = "s") -> DataFrame:
             value = {"mean": mean, "std": std}.get(s)
             columns.append((value(c) if value else F.col(f"{c}_{s}")).alias(f"{c}_{s}"))
     ratio = (F.col("non_wear_flag_sum") / F.col("_rows")).alias("non_wear_ratio")
-    return merged.select("id", *columns, F.inline(_flag_rows(DAY_PARTS)), ratio)
+    return merged.select("id", *columns, F.inline(_flag_rows()), ratio)
 
 
 def class_min_max(df: DataFrame, by: str, value: str) -> DataFrame:
@@ -269,9 +277,8 @@ class FillValues:
 
 
 def fit_means(df: DataFrame, columns: Sequence[str]) -> FillValues:
-    """Column means of all columns in one aggregate."""
-    row = df.agg(*[F.avg(quote(c)).alias(f"_{i}") for i, c in enumerate(columns)]).first()
-    return FillValues(dict(zip(columns, row, strict=True)))
+    """Column means of all columns in one pass."""
+    return FillValues({c: s.mean for c, s in column_stats(df, columns).items()})
 
 
 def fit_modes(df: DataFrame, columns: Sequence[str]) -> FillValues:

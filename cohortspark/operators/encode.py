@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortspark.functions.scalars import quote
 from cohortspark.operators.sizing import MAX_LEVELS, fit_levels
+from cohortspark.operators.stats import column_stats
 
 __all__ = ["FeatureEncoder", "Scaler", "fit_encoder", "fit_levels", "fit_scaler", "one_hot", "scale"]
 
@@ -35,20 +36,13 @@ class Scaler:
 
 
 def fit_scaler(df: DataFrame, columns: Sequence[str]) -> Scaler:
-    """Means and population deviations of all columns in one aggregate.
+    """Means and population deviations of all columns in one pass."""
+    stats = column_stats(df, columns)
+    return Scaler({c: s.mean for c, s in stats.items()}, {c: _divisor(s.deviation) for c, s in stats.items()})
 
-    A constant column is recognised by its minimum and maximum: its computed deviation may miss zero
-    by a rounding error.
-    """
-    measures = []
-    for i, c in enumerate(columns):
-        constant = F.min(quote(c)) == F.max(quote(c))
-        deviation = F.when(constant, 1.0).otherwise(F.stddev_pop(quote(c)))
-        measures += [F.avg(quote(c)).alias(f"m{i}"), deviation.alias(f"s{i}")]
-    row = df.agg(*measures).first()
-    return Scaler(
-        {c: row[f"m{i}"] for i, c in enumerate(columns)}, {c: row[f"s{i}"] for i, c in enumerate(columns)}
-    )
+
+def _divisor(deviation: float | None) -> float | None:
+    return 1.0 if deviation == 0 else deviation
 
 
 def _standardised(c: str, scaler: Scaler) -> Column:

@@ -6,13 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cohortspark.functions import scalars
-from cohortspark.functions.scalars import quote
 from cohortspark.operators import clean
 from cohortspark.operators.aggregates import FillValues, fit_modes, impute
 from cohortspark.operators.encode import Scaler, fit_levels, one_hot, scale
+from cohortspark.operators.stats import column_stats
 from cohortspark.schemas import CohortSpec
 
 DERIVED = ("Age_Group", "PCIAT_Bin", "Internet_Use_Category", "Age_Adjusted_CGAS", "BMI_Category")
@@ -37,34 +36,14 @@ def clean_types(df: DataFrame, spec: CohortSpec) -> DataFrame:
 
 
 def fit_cohort(df: DataFrame, spec: CohortSpec) -> CohortStats:
-    """Learn all statistics: one aggregate for the numerics, one counting job for the modes, one for levels.
-
-    Mean filling keeps the mean and adds no squared deviation, so the filled column's population
-    variance is the observed one times the observed share.
-    """
+    """Learn all statistics: one pass for the numerics, one counting job for the modes, one for levels."""
     typed = clean_types(df, spec)
-    measures = [F.count(F.lit(1)).alias("rows")]
-    for i, c in enumerate(spec.numeric):
-        name = quote(c)
-        constant = F.min(name) == F.max(name)
-        measures += [
-            F.avg(name).alias(f"m{i}"),
-            F.when(constant, 0.0).otherwise(F.var_pop(name)).alias(f"v{i}"),
-            F.count(name).alias(f"n{i}"),
-        ]
-    row = typed.agg(*measures).first()
-    means: dict[str, float | str | None] = {}
-    std: dict[str, float | None] = {}
-    for i, c in enumerate(spec.numeric):
-        means[c] = row[f"m{i}"]
-        if row[f"v{i}"] is None:
-            std[c] = None
-        else:
-            std[c] = (row[f"v{i}"] * row[f"n{i}"] / row["rows"]) ** 0.5 or 1.0
+    stats = column_stats(typed, spec.numeric)
+    means: dict[str, float | str | None] = {c: s.mean for c, s in stats.items()}
     return CohortStats(
         FillValues(means),
         fit_modes(typed, spec.categorical),
-        Scaler(dict(means), std),
+        Scaler(dict(means), {c: 1.0 if s.filled_deviation == 0 else s.filled_deviation for c, s in stats.items()}),
         fit_levels(typed, spec.seasons) if spec.seasons else {},
     )
 
