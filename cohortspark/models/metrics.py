@@ -129,10 +129,10 @@ def quadratic_kappa(
     if labels is None:
         seen = counts.select(F.explode(F.array("actual", "predicted")).alias("c")).distinct().collect()
         labels = sorted(r["c"] for r in seen)
-    places = F.array(*[F.lit(label) for label in labels]) if labels else F.array().cast("array<string>")
+    places, types = F.array(*[F.lit(label) for label in labels]), dict(counts.dtypes)
 
     def place(c: str) -> Column:
-        at = F.array_position(places, F.col(c))
+        at = F.array_position(places.cast(f"array<{types[c]}>"), F.col(c))
         return F.when(at > 0, at - 1).cast("double")
 
     a, p, n = F.col("a"), F.col("p"), F.col("n")
