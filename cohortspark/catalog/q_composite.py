@@ -13,6 +13,8 @@ from cohortspark.operators import aggregates, split
 from cohortspark.operators.aggregates import DAILY_STATS
 from cohortspark.plans import cohort, training
 from cohortspark.plans import series as series_plans
+from cohortspark.session import scratch_path
+from cohortspark.sources import readers, writers
 
 _NUMERIC = ["age", "cgas", "bmi", "hours", *ITEMS, "pciat"]
 _FILLED = ", ".join(f"coalesce({c}, (SELECT avg({c}) FROM subjects)) AS {c}" for c in _NUMERIC)
@@ -71,25 +73,27 @@ def daily_features_forecast(spark, sf):
 )
 def training_set(spark, sf):
     labelled = split.split_random(subjects(spark, sf).select("id", "age", "sii"))
-    return _with_lookups(spark, sf, split.take(labelled, "train"))
+    return _with_lookups(split.take(labelled, "train"), aggregates.series_summary(series(spark, sf)))
 
 
-def _with_lookups(spark, sf, rows):
-    function = register_multiplier(spark, "moving_average_battery_voltage")
+def _with_lookups(rows, features):
+    function = register_multiplier(rows.sparkSession, "moving_average_battery_voltage")
     return training.create_training_set(
         rows,
-        aggregates.series_summary(series(spark, sf)),
+        features,
         functions={"battery_voltage_mean_moving_avg": (function, {"x": "battery_voltage_mean"})},
     )
 
 
 @query("train_and_evaluate")
 def train_and_evaluate(spark, sf):
-    """Split, look features up, train on one part and report on the other."""
+    """Store the series features, split, look features up, train on one part and report on the other."""
+    stored = writers.write_parquet(aggregates.series_summary(series(spark, sf)), scratch_path(spark, "features"))
+    features = readers.read_parquet(spark, stored)
     labelled = split.split_random(subjects(spark, sf))
     run = training.train_and_evaluate(
-        _with_lookups(spark, sf, split.take(labelled, "train")),
-        _with_lookups(spark, sf, split.take(labelled, "test")),
+        _with_lookups(split.take(labelled, "train"), features),
+        _with_lookups(split.take(labelled, "test"), features),
         SUBJECT_SPEC,
         passthrough=["battery_voltage_mean_moving_avg"],
         num_trees=10,

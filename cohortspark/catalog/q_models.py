@@ -18,6 +18,7 @@ from cohortspark.operators.clean import filter_not_null
 from cohortspark.plans.cohort import relevant_numeric
 from cohortspark.schemas import SERIES_SCHEMA
 from cohortspark.session import scratch_path
+from cohortspark.sources import readers, writers
 
 _FOREST = {"num_trees": 10, "max_depth": 5}
 _BOOST = {"rounds": 4, "max_depth": 3, "learning_rate": 0.1}
@@ -117,9 +118,13 @@ _PASS = ("enmo_mean", "light_mean")
 
 
 def _model_rows(spark, sf) -> DataFrame:
-    """Labelled subjects with their mean activity and light."""
+    """Labelled subjects with their mean activity and light.
+
+    The series features are written once: training passes over its rows several times.
+    """
     activity = aggregates.summarise(series(spark, sf), ["id"], {"enmo": ("mean",), "light": ("mean",)})
-    return filter_not_null(joins.left_join(subjects(spark, sf), activity, "id"), "sii")
+    stored = readers.read_parquet(spark, writers.write_parquet(activity, scratch_path(spark, "activity")))
+    return filter_not_null(joins.left_join(subjects(spark, sf), stored, "id"), "sii")
 
 
 def _encoder(rows: DataFrame) -> encode.FeatureEncoder:

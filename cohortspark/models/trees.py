@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cohortspark.functions.scalars import argmax_class, quote, scale_prediction
-from cohortspark.operators.sizing import MAX_LEVELS
 from cohortspark.operators.signature import check_signature
+from cohortspark.operators.sizing import MAX_LEVELS
+from cohortspark.session import ensure_checkpoint_dir
 
 # Tuned training parameters.
 FOREST_PARAMS = {"num_trees": 200, "max_depth": 10, "min_leaf": 2, "seed": 42}
@@ -82,6 +83,7 @@ def train_boosted_trees(
     parallelism: int = 4,
 ) -> OneVsRestModel:
     """Multiclass boosting as one binary booster per class; the classes train concurrently."""
+    ensure_checkpoint_dir(df.sparkSession)  # boosting then cuts its lineage every few rounds
     booster = GBTClassifier(
         maxIter=rounds,
         maxDepth=max_depth,
@@ -103,6 +105,7 @@ def train_ordinal_score(
     seed: int = BOOSTING_PARAMS["seed"],
 ) -> GBTRegressionModel:
     """Continuous score for an ordered target, to be cut by thresholds."""
+    ensure_checkpoint_dir(df.sparkSession)
     return GBTRegressor(labelCol=label, maxIter=rounds, maxDepth=max_depth, stepSize=learning_rate, seed=seed).fit(df)
 
 

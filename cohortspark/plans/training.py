@@ -59,14 +59,19 @@ def train_and_evaluate(
     include_leaky: bool = False,
     **forest: int,
 ) -> TrainedRun:
-    """Encode, train a balanced random forest on the labelled training rows, and score the test rows."""
-    labelled, held_out = filter_not_null(train, spec.target), filter_not_null(test, spec.target)
-    encoder = fit_encoder(labelled, relevant_numeric(spec, include_leaky), spec.categorical, passthrough)
-    features = encoder.assemble(labelled).select(spec.target, "features").persist()
+    """Encode, train a balanced random forest on the labelled training rows, and score the test rows.
+
+    Fitting passes over the training rows several times, so they are kept (in memory, spilling to disk)
+    until the forest is built.
+    """
+    held_out = filter_not_null(test, spec.target)
+    labelled = filter_not_null(train, spec.target).persist()
     try:
+        encoder = fit_encoder(labelled, relevant_numeric(spec, include_leaky), spec.categorical, passthrough)
+        features = encoder.assemble(labelled).select(spec.target, "features")
         classifier = train_random_forest(features, spec.target, **{**FOREST_PARAMS, **forest})
     finally:
-        features.unpersist()
+        labelled.unpersist()
     model = PipelineModel(stages=[*encoder.stages(), classifier])
     scored = score_batch(model, held_out).select(
         spec.key, F.col(quote(spec.target)).cast("int").alias("actual"), "predicted_class", "probabilities"

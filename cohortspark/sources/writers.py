@@ -15,9 +15,27 @@ def stamp(df: DataFrame, column: str = "timestamp") -> DataFrame:
     return df.withColumn(column, F.current_timestamp())
 
 
-def save_table(df: DataFrame, name: str, path: str | None = None, stamped: bool = True, mode: str = "overwrite") -> str:
-    """Save as a parquet table, with the ingest time unless told otherwise; ``path`` makes it external."""
-    writer = (stamp(df) if stamped else df).write.format("parquet").mode(mode)
+def save_table(
+    df: DataFrame,
+    name: str,
+    path: str | None = None,
+    stamped: bool = True,
+    mode: str = "overwrite",
+    buckets: tuple[int, str] | None = None,
+) -> str:
+    """Save as a parquet table, with the ingest time unless told otherwise; ``path`` makes it external.
+
+    ``buckets=(n, key)`` stores rows hashed by the key: tables bucketed alike join on it without a shuffle.
+    """
+    out = stamp(df) if stamped else df
+    if buckets:
+        # Gather a bucket's rows before the write, or every task would write every bucket; AQE splits a
+        # bucket that a hot key makes too large over several tasks and files.
+        count, key = buckets
+        out = out.hint("rebalance", count, F.col(quote(key)))
+    writer = out.write.format("parquet").mode(mode)
+    if buckets:
+        writer = writer.bucketBy(*buckets).sortBy(buckets[1])
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)

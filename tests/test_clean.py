@@ -58,8 +58,10 @@ def test_dedup_columns(spark):
 
 def test_index_category(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("b",)], "s string")
-    coded = clean.index_category(df, "s", "code")
-    assert rows(coded) == [(None, -1), ("a", 0), ("b", 1), ("b", 1), ("c", 2)]
+    expected = [(None, -1), ("a", 0), ("b", 1), ("b", 1), ("c", 2)]
+    assert rows(clean.index_category(df, "s", "code")) == expected
+    assert rows(clean.index_category(df, "s", "code", max_levels=2)) == expected
+    assert rows(clean.index_category(df.where("s IS NULL"), "s", "code")) == [(None, -1)]
 
 
 def test_row_ids_are_consecutive_in_key_order(spark):

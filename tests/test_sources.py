@@ -84,6 +84,18 @@ def test_table_round_trip_and_stamp(spark, tmp_path):
     assert got.count() == 2 and got.where("timestamp > current_timestamp() - INTERVAL 1 HOUR").count() == 2
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    names = []
+    for part in ("cohort", "features"):
+        names.append(f"{part}_{uuid.uuid4().hex}")
+        frame = spark.range(100).selectExpr("cast(id AS string) AS id", f"id AS {part}")
+        writers.save_table(frame, names[-1], str(tmp_path / part), stamped=False, buckets=(4, "id"))
+    # Bucketed reads matter where a broadcast is impossible.
+    joined = spark.table(names[0]).join(spark.table(names[1]).hint("merge"), "id", "left")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.where("cohort = features").count() == 100
+
+
 def test_insert_matches_columns_by_name(spark, tmp_path):
     name = tables.create_table(spark, f"t_{uuid.uuid4().hex}", AGGREGATED_FEATURES_SCHEMA, str(tmp_path / "t"))
     row = spark.createDataFrame(
