@@ -36,17 +36,22 @@ DAILY_STATS: dict[str, tuple[str, ...]] = {
 }
 
 
-def _stat(column: str, stat: str) -> Column:
-    c = F.col(quote(column))
-    if stat == "sum":  # the sum of nothing is 0 here, not NULL
-        return F.coalesce(F.sum(c.cast("double")), F.lit(0.0))
-    return {"mean": F.avg, "std": F.stddev_samp, "max": F.max, "min": F.min}[stat](c)
+def _stat(column: str, stat: str) -> str:
+    c = quote(column)
+    measure = {
+        "mean": f"avg({c})",
+        "std": f"stddev_samp({c})",
+        "max": f"max({c})",
+        "min": f"min({c})",
+        "sum": f"coalesce(sum(cast({c} AS double)), 0D)",  # the sum of nothing is 0 here, not NULL
+    }[stat]
+    return f"{measure} AS {quote(f'{column}_{stat}')}"
 
 
 def summarise(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Sequence[str]]) -> DataFrame:
     """One row per key, columns named ``<column>_<stat>``; rows with a NULL key belong to no group."""
-    measures = [_stat(c, s).alias(f"{c}_{s}") for c, names in stats.items() for s in names]
-    return _keyed(df, keys).groupBy(*[quote(k) for k in keys]).agg(*measures)
+    measures = [_stat(c, s) for c, names in stats.items() for s in names]
+    return _aggregate(_keyed(df, keys), [quote(k) for k in keys], measures)
 
 
 def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -76,69 +81,65 @@ def _period_code(unit: str) -> Column:
     return weekday_flag("weekday", (0, _N_PARTS)) + day_part("time_of_day", unit, range(_N_PARTS))
 
 
-def _period_cells(df: DataFrame, unit: str, *extra: Column) -> DataFrame:
-    """One row per (id, weekday flag, day part): at most ten per participant."""
-    return (
-        _keyed(df, ["id"])
-        .groupBy("id", _period_code(unit).alias("_period"))
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.avg("enmo").alias("_enmo"),
-            F.avg("light").alias("_light"),
-            F.coalesce(F.sum(F.col("non_wear_flag").cast("double")), F.lit(0.0)).alias("_non_wear"),
-            *extra,
-        )
-    )
+# The expressions of this section are SQL text: one call to the JVM each instead of one per operator.
+_NON_WEAR_TOTAL = "coalesce(sum(cast(non_wear_flag AS double)), 0D)"
+_PERIOD_MEASURES = {"enmo": "_enmo", "light": "_light", "non_wear_flag": "_non_wear"}
 
 
-_PERIOD_MEASURES = {"enmo": "_enmo", "light": "_light", "non_wear_flag": "_non_wear"}
+def _aggregate(df: DataFrame, keys: Sequence[Column | str], measures: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(m) for m in measures])
 
 
-def _flag_cells() -> list[Column]:
+def _period_cells(df: DataFrame, unit: str, *extra: str) -> DataFrame:
+    """One row per (id, weekday flag, day part): at most ten per participant."""
+    cells = [
+        "count(1) AS _n",
+        "avg(enmo) AS _enmo",
+        "avg(light) AS _light",
+        f"{_NON_WEAR_TOTAL} AS _non_wear",
+    ]
+    return _aggregate(_keyed(df, ["id"]), ["id", _period_code(unit).alias("_period")], [*cells, *extra])
+
+
+def _flag_cells() -> list[str]:
     """Spread the period cells of a participant over columns, together with their row counts."""
     return [
-        F.max(F.when(F.col("_period") == i * _N_PARTS + j, F.col(value))).alias(f"{value}_{flag}_{part}")
+        f"max({value}) FILTER (WHERE _period = {i * _N_PARTS + j}) AS {value}_{flag}_{part}"
         for i, flag in enumerate(WEEKDAY_FLAGS)
         for j, part in enumerate(DAY_PARTS)
         for value in ("_n", *_PERIOD_MEASURES.values())
     ]
 
 
-def _flag_rows() -> Column:
-    """Array with one struct per weekday flag that occurs.
+def _flag_rows() -> str:
+    """One row per weekday flag that occurs.
 
     A part seen under the other flag only counts as 0; a part the participant never has is NULL; a
     part whose values are all NULL keeps its NULL mean.
     """
-
-    def count(flag: str, part: str) -> Column:
-        return F.col(f"_n_{flag}_{part}")
-
     rows = []
-    for flag in WEEKDAY_FLAGS:
-        other = WEEKDAY_FLAGS[1 - WEEKDAY_FLAGS.index(flag)]
-        fields = [
-            F.when(count(flag, p).isNotNull(), F.col(f"{cell}_{flag}_{p}"))
-            .when(count(other, p).isNotNull(), F.lit(0.0))
-            .alias(f"{measure}_{p}")
+    for flag, other in (WEEKDAY_FLAGS, WEEKDAY_FLAGS[::-1]):
+        fields = ", ".join(
+            f"'{measure}_{p}', CASE WHEN _n_{flag}_{p} IS NOT NULL THEN {cell}_{flag}_{p}"
+            f" WHEN _n_{other}_{p} IS NOT NULL THEN 0D END"
             for measure, cell in _PERIOD_MEASURES.items()
             for p in DAY_PARTS
-        ]
-        seen = F.coalesce(*[count(flag, p) for p in DAY_PARTS]).isNotNull()
-        rows.append(F.when(seen, F.struct(F.lit(flag).alias("weekday_flag"), *fields)))
-    return F.array_compact(F.array(*rows))
+        )
+        seen = ", ".join(f"_n_{flag}_{p}" for p in DAY_PARTS)
+        rows.append(
+            f"CASE WHEN coalesce({seen}) IS NOT NULL THEN named_struct('weekday_flag', '{flag}', {fields}) END"
+        )
+    return f"inline(array_compact(array({', '.join(rows)})))"
 
 
 def period_profile(df: DataFrame, unit: str = "s") -> DataFrame:
     """Mean activity, mean light and non-wear total by day part, one row per (id, weekday flag)."""
-    cells = _period_cells(df, unit).groupBy("id").agg(*_flag_cells())
-    return cells.select("id", F.inline(_flag_rows()))
+    return _aggregate(_period_cells(df, unit), ["id"], _flag_cells()).selectExpr("id", _flag_rows())
 
 
 def non_wear_ratio(df: DataFrame) -> DataFrame:
     """Non-wear total over the number of samples, those with a NULL flag included."""
-    total = F.coalesce(F.sum(F.col("non_wear_flag").cast("double")), F.lit(0.0))
-    return _keyed(df, ["id"]).groupBy("id").agg((total / F.count(F.lit(1))).alias("non_wear_ratio"))
+    return _aggregate(_keyed(df, ["id"]), ["id"], [f"{_NON_WEAR_TOTAL} / count(1) AS non_wear_ratio"])
 
 
 def participant_profile(df: DataFrame, unit: str = "s") -> DataFrame:
@@ -150,51 +151,32 @@ def participant_profile(df: DataFrame, unit: str = "s") -> DataFrame:
     """
     spread = [c for c, s in FULL_SUMMARY_STATS.items() if "std" in s]
     means = [c for c, s in FULL_SUMMARY_STATS.items() if "mean" in s]
-    extra: list[Column] = []
-    for c in means:
-        extra += [F.count(c).alias(f"_count_{c}"), F.sum(F.col(c).cast("double")).alias(f"_sum_{c}")]
-    for c in spread:
-        extra += [
-            (F.var_pop(c) * F.count(c)).alias(f"_m2_{c}"),
-            F.max(c).alias(f"_max_{c}"),
-            F.min(c).alias(f"_min_{c}"),
-        ]
-    cells = _period_cells(df, unit, *extra)
-
-    combined: list[Column] = [F.sum("_n").alias("_rows"), F.sum("_non_wear").alias("non_wear_flag_sum")]
+    extra, combined = [], ["sum(_n) AS _rows", "sum(_non_wear) AS non_wear_flag_sum"]
     for c in means:
-        combined += [F.sum(f"_count_{c}").alias(f"_count_{c}"), F.sum(f"_sum_{c}").alias(f"_sum_{c}")]
+        extra += [f"count({c}) AS _count_{c}", f"sum(cast({c} AS double)) AS _sum_{c}"]
+        combined += [f"sum(_count_{c}) AS _count_{c}", f"sum(_sum_{c}) AS _sum_{c}"]
     for c in spread:
-        cell = F.struct(
-            F.col(f"_count_{c}").alias("n"), F.col(f"_sum_{c}").alias("s"), F.col(f"_m2_{c}").alias("m2")
-        )
+        extra += [f"var_pop({c}) * count({c}) AS _m2_{c}", f"max({c}) AS _max_{c}", f"min({c}) AS _min_{c}"]
+        cell = f"named_struct('n', _count_{c}, 's', _sum_{c}, 'm2', _m2_{c})"
         combined += [
-            F.collect_list(F.when(F.col(f"_count_{c}") > 0, cell)).alias(f"_cells_{c}"),
-            F.max(f"_max_{c}").alias(f"{c}_max"),
-            F.min(f"_min_{c}").alias(f"{c}_min"),
+            f"collect_list({cell}) FILTER (WHERE _count_{c} > 0) AS _cells_{c}",
+            f"max(_max_{c}) AS {c}_max",
+            f"min(_min_{c}) AS {c}_min",
         ]
-    merged = cells.groupBy("id").agg(*combined, *_flag_cells())
-
-    def mean(c: str) -> Column:
-        return F.try_divide(F.col(f"_sum_{c}"), F.col(f"_count_{c}"))
-
-    def std(c: str) -> Column:
-        m = mean(c)
-
-        def add(total: Column, cell: Column) -> Column:
-            gap = cell["s"] / cell["n"] - m
-            return total + cell["m2"] + cell["n"] * gap * gap
-
-        squares = F.aggregate(f"_cells_{c}", F.lit(0.0), add)
-        return F.when(F.col(f"_count_{c}") > 1, F.sqrt(squares / (F.col(f"_count_{c}") - 1)))
-
-    columns = []
-    for c, names in FULL_SUMMARY_STATS.items():
-        for s in names:
-            value = {"mean": mean, "std": std}.get(s)
-            columns.append((value(c) if value else F.col(f"{c}_{s}")).alias(f"{c}_{s}"))
-    ratio = (F.col("non_wear_flag_sum") / F.col("_rows")).alias("non_wear_ratio")
-    return merged.select("id", *columns, F.inline(_flag_rows()), ratio)
+    merged = _aggregate(_period_cells(df, unit, *extra), ["id"], [*combined, *_flag_cells()])
+
+    def value(c: str, stat: str) -> str:
+        mean = f"try_divide(_sum_{c}, _count_{c})"
+        if stat == "mean":
+            return f"{mean} AS {c}_mean"
+        if stat == "std":
+            gap = f"(cell.s / cell.n - {mean})"
+            squares = f"aggregate(_cells_{c}, 0D, (total, cell) -> total + cell.m2 + cell.n * {gap} * {gap})"
+            return f"CASE WHEN _count_{c} > 1 THEN sqrt({squares} / (_count_{c} - 1)) END AS {c}_std"
+        return f"{c}_{stat}"
+
+    summary = [value(c, s) for c, names in FULL_SUMMARY_STATS.items() for s in names]
+    return merged.selectExpr("id", *summary, _flag_rows(), "non_wear_flag_sum / _rows AS non_wear_ratio")
 
 
 def class_min_max(df: DataFrame, by: str, value: str) -> DataFrame:
