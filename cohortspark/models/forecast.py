@@ -30,7 +30,7 @@ RIDGE = 1e-6
 _SEASONS = ((1.0, DAILY_HARMONICS), (7.0, WEEKLY_HARMONICS))
 _CYCLES = [k / period for period, harmonics in _SEASONS for k in range(1, harmonics + 1)]
 # Partial sums a task keeps before it hands them on.
-_MAX_OPEN_SERIES = 1024
+_MAX_OPEN_SERIES = 8192
 
 
 def sample_time(day: Column | str = "relative_date_PCIAT", time_of_day: Column | str = "time_of_day") -> Column:
@@ -40,11 +40,11 @@ def sample_time(day: Column | str = "relative_date_PCIAT", time_of_day: Column |
     return (d * DAY + t).cast("bigint")
 
 
-def _design(ds: Column) -> list[Column]:
-    """Model terms of a timestamp: 1, days, and sine and cosine of every harmonic."""
-    days = ds / F.lit(float(DAY))
-    waves = [wave(days * F.lit(2 * pi * c)) for c in _CYCLES for wave in (F.sin, F.cos)]
-    return [F.lit(1.0), days, *waves]
+def _design(ds: str) -> list[str]:
+    """Model terms of a timestamp, as SQL: 1, days, and sine and cosine of every harmonic."""
+    days = f"({ds} / {float(DAY)!r}D)"
+    waves = [f"{wave}({days} * {2 * pi * c!r}D)" for c in _CYCLES for wave in ("sin", "cos")]
+    return ["1D", days, *waves]
 
 
 def _design_matrix(ds: np.ndarray) -> np.ndarray:
@@ -56,7 +56,7 @@ def _design_matrix(ds: np.ndarray) -> np.ndarray:
 
 def _with_design(df: DataFrame) -> DataFrame:
     """Add the model terms of ``ds`` as columns x0, x1, …"""
-    return df.withColumns({f"x{i}": term for i, term in enumerate(_design(F.col("ds")))})
+    return df.selectExpr("*", *[f"{term} AS x{i}" for i, term in enumerate(_design("ds"))])
 
 
 _UPPER = np.triu_indices(N_TERMS)
