@@ -66,7 +66,7 @@ def _cut_hashes(hashed: DataFrame, shares: Sequence[Sequence[float]]) -> DataFra
     cuts = last.groupBy("_s").agg(
         *[F.max(F.when(F.col("_cut") == i, F.col("_hash"))).alias(f"_cut{i}") for i in range(len(shares))]
     )
-    return broadcast_if_small(cuts)
+    return cuts
 
 
 def split_labels(
@@ -85,15 +85,18 @@ def split_labels(
     stratum = F.col(quote(stratify)).cast("string") if stratify else F.lit("")
     hashed = df.select(stratum.alias("_stratum"), hash_key(key, seed).alias("_hash"))
     cuts = _cut_hashes(hashed, [chain for _, chain in parts])
+    names = [f"_cut{i}" for i in range(len(parts))]
+    placed = df.withColumns({"_stratum": stratum, "_hash": hash_key(key, seed)})
+    if stratify is None:
+        # One stratum: its cuts are constants.
+        found = cuts.first()
+        placed = placed.withColumns({n: F.lit(found[n] if found else None).cast("string") for n in names})
+    else:
+        placed = placed.join(broadcast_if_small(cuts), F.col("_stratum").eqNullSafe(F.col("_s")), "left")
     label = F.lit(rest)
-    for i, (name, _) in reversed(list(enumerate(parts))):
-        label = F.when(F.col("_hash") <= F.col(f"_cut{i}"), F.lit(name)).otherwise(label)
-    return (
-        df.withColumns({"_stratum": stratum, "_hash": hash_key(key, seed)})
-        .join(cuts, F.col("_stratum").eqNullSafe(F.col("_s")), "left")
-        .withColumn(target, label)
-        .drop("_stratum", "_hash", "_s", *[f"_cut{i}" for i in range(len(parts))])
-    )
+    for (part, _), cut in reversed(list(zip(parts, names, strict=True))):
+        label = F.when(F.col("_hash") <= F.col(cut), F.lit(part)).otherwise(label)
+    return placed.withColumn(target, label).drop("_stratum", "_hash", "_s", *names)
 
 
 def split_random(df: DataFrame, key: str = "id", test_share: float = 0.2, seed: int = 42) -> DataFrame:
