@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cohortspark.llm import lengths, packing, quality
+from cohortspark.llm import lengths, packing, quality, toxicity
 
-MODULES = [lengths, packing, quality]
+MODULES = [lengths, packing, quality, toxicity]
 QUERIES = {name: build for module in MODULES for name, build in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in getattr(module, "ORACLES", {}).items()}
