@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortspark.llm.frames import texts
 
 PER_CLASS = 1500
-SAMPLE_CHARS = 20_000
+SAMPLE_CHARS = 10_000
 
 
 def held_out(id_col: str = "doc_id"):

@@ -112,6 +112,15 @@ def read_lines(data: np.ndarray, offsets: np.ndarray) -> Lines:
     return Lines(x, line_words, line_bounds, stats)
 
 
+def join_lines(parts: list[Lines]) -> Lines:
+    if not parts:
+        return read_lines(np.zeros(0, np.uint8), np.zeros(1, np.int64))
+    shifts = np.cumsum([0] + [p.bounds[-1] for p in parts])
+    bounds = np.concatenate([p.bounds[:-1] + shift for p, shift in zip(parts, shifts)] + [shifts[-1:]])
+    stats = {name: np.concatenate([p.stats[name] for p in parts]) for name in parts[0].stats}
+    return Lines(np.concatenate([p.features for p in parts]), np.concatenate([p.words for p in parts]), bounds, stats)
+
+
 def base_rule(stats: dict[str, np.ndarray]) -> np.ndarray:
     """Texts with too few words, or with too many in repeated passages."""
     return (stats["n_words"] < MIN_WORDS) | (100 * stats["n_repeat_words"] > MAX_REPEAT_PERCENT * stats["n_words"])
@@ -232,7 +241,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS)
     sample, quality, share = labelled_sample(docs, labels, "quality", per_class)
     known = dict(zip(sample, quality))
     data, offsets = text_bytes(pa.array(list(known), pa.large_string()))
-    lines = read_lines(data, offsets)
+    lines = join_lines([read_lines(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in chunks(offsets)])
     owner = owners(lines.bounds)
     y = np.array(list(known.values()), int)[owner] * (lines.features[:, 10] == 0)
     judged = ~base_rule(lines.stats)
