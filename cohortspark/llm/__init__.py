@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cohortspark.llm import decontaminate, lengths, packing, quality, toxicity
+from cohortspark.llm import decontaminate, lengths, packing, quality, simhash, toxicity
 
-MODULES = [decontaminate, lengths, packing, quality, toxicity]
+MODULES = [decontaminate, lengths, packing, quality, simhash, toxicity]
 QUERIES = {name: build for module in MODULES for name, build in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in getattr(module, "ORACLES", {}).items()}
