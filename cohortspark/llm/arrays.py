@@ -83,15 +83,19 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: in
     while first < len(starts):
         last = max(first + 1, int(np.searchsorted(ends, starts[first] + size, "right")))
         low, high = starts[first], ends[last - 1]
-        up, down = powers(int(high - low) + 1)
-        total = np.zeros(int(high - low) + 1, np.uint64)
-        np.cumsum(BYTE_CODE[data[low:high]] * up[:-1], out=total[1:])
-        a, b = starts[first:last] - low, ends[first:last] - low
-        out[first:last] = mix((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64))
+        out[first:last] = range_hashes(BYTE_CODE[data[low:high]], starts[first:last] - low, ends[first:last] - low)
         first = last
     return out
 
 
+def range_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of codes[start:end] for each range, which may overlap."""
+    up, down = powers(len(codes) + 1)
+    total = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(codes * up[:-1], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def ngrams(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of the n words from each place on; the last n - 1 places have none."""
     out = np.zeros(max(0, len(words) - n + 1), np.uint64)
