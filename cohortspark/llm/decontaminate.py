@@ -117,7 +117,7 @@ def longest(
     text, item, place, start, size = text[order], item[order], place[order], start[order], size[order]
     same = (text[1:] == text[:-1]) & (item[1:] == item[:-1]) & (np.diff(place) == 1) & (np.diff(start) == 1)
     first = np.flatnonzero(np.r_[True, ~same]) if len(text) else np.zeros(0, int)
-    last = np.r_[first[1:], len(text)] - 1
+    last = np.r_[first[1:], len(text)][: len(first)] - 1
     return text[first], item[first], place[first] - bounds[text[first]], start[first], place[last] - place[first] + size[last]
 
 
