@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cohortspark.llm import decontaminate, lengths, lines, packing, quality, repeats, simhash, toxicity
+from cohortspark.llm import chats, decontaminate, lengths, lines, packing, quality, repeats, scoring, simhash, toxicity
 
-MODULES = [decontaminate, lengths, lines, packing, quality, repeats, simhash, toxicity]
+MODULES = [chats, decontaminate, lengths, lines, packing, quality, repeats, scoring, simhash, toxicity]
 QUERIES = {name: build for module in MODULES for name, build in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in getattr(module, "ORACLES", {}).items()}
