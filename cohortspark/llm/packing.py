@@ -48,13 +48,12 @@ class Packer:
     def place(self, piece: tuple) -> Iterator[list[tuple]]:
         size, length, levels = self.capacity, len(piece[3]) // 4, self.levels
         before = levels[: size - length + 1]
-        growth = levels[length:].copy()  # of the sum of squares, halved: the new level's count less the old level's
-        growth -= before
-        growth[1:] += 1
-        growth[before == 0] = size * (self.count + 2)
-        growth[-1] = -before[-1] if length < size and before[-1] else growth[-1]
-        growth[0] = levels[length] + 1
-        level = len(growth) - 1 - int(np.argmin(growth[::-1]))
+        opened = 2 * levels[length:] + 1  # growth of the sum of squares where the piece ends; a full window isn't counted
+        opened[-1] = 0
+        closed = 1 - 2 * before  # and where it begins; a new window isn't counted
+        closed[1:][before[1:] == 0] = size * (self.count + 2)
+        closed[0] = 0
+        level = size - length - int(np.argmin((opened + closed)[::-1]))
         window: list[tuple] = []
         if level:
             window = self.open[level].pop()

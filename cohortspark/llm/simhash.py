@@ -87,13 +87,12 @@ def overlaps(levels: int, reach: int) -> list[tuple[int, ...]]:
 def vantage_points(distinct: DataFrame, number: int, lanes: int, levels: int) -> list[int]:
     """The points of a bounded sample whose distances to the sample spread most."""
     sample = [r[0] for r in distinct.select(lane(F.col("fp"), number, lanes)).orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()]
-    points = np.unique(np.array(sample, np.uint64))
-    spread = np.bitwise_count(points[:, None] ^ points[None, :]).astype(float).std(1)
-    chosen = [int(points[i]) for i in np.argsort(-spread, kind="stable")[:levels]]
-    rng = np.random.default_rng(number)
-    while len(chosen) < levels:  # fewer fingerprints than levels
-        chosen.append(int(rng.integers(0, 1 << (BITS // lanes), dtype=np.uint64)))
-    return chosen
+    points = np.unique(np.array(sample, np.int64)).view(np.uint64)
+    apart = np.bitwise_count(points[:, None] ^ points[None, :]).astype(float)
+    spread = (apart**2).sum(1) * max(1, len(points)) - apart.sum(1) ** 2
+    chosen = points[np.argsort(-spread, kind="stable")[:levels]]
+    more = np.random.default_rng(number).integers(0, 1 << (BITS // lanes), levels - len(chosen), dtype=np.uint64)
+    return np.r_[chosen, more].astype(np.uint64).view(np.int64).tolist()  # random ones if there are too few fingerprints
 
 
 def shard_rows(distinct: DataFrame, count: int, distance: int, lanes: int) -> DataFrame:
