@@ -15,6 +15,7 @@ from cohortspark.llm.frames import saved, table, texts
 EDIT_FROM = 10  # lines of at least so many words may differ by one word; shorter ones must be equal
 CHUNK = 4 << 20
 HALVES = 4
+SIEVE_BITS = 1 << 26
 TAG = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -81,40 +82,59 @@ def line_table(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(work, LINES)
 
 
+def sieve(wanted: DataFrame, most_bits: int = SIEVE_BITS) -> np.ndarray:
+    """A bit per slot of the wanted hashes, for about one in 16 other lines to pass; at most ``most_bits``, beyond which more
+    lines pass. It only spares rows: who passes is joined with the wanted lines afterwards."""
+    bits = min(most_bits, 1 << max(10, int(16 * wanted.count()).bit_length()))
+    slot = F.col("hash").bitwiseAND(F.lit(bits - 1))
+    words = wanted.select(F.shiftright(slot, 5).alias("word"), F.expr("shiftleft(1L, CAST(hash & 31 AS INT))").alias("bit"))
+    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(bits // 32, np.uint32)
+    out[rows["word"].to_numpy()] = rows["bits"].to_numpy().astype(np.uint32)
+    return np.unpackbits(out.view(np.uint8), bitorder="little")
+
+
 def neighbourhood(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, changed, hash, doc_id, line, text) for every variant of the wanted lines (hash, doc_id, line)."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line", "hash")).alias("wanted"))
+    """(key, kind, hash, doc_id, line, words) for every variant of the wanted lines (hash, doc_id, line)."""
+    wanted = saved(wanted)
+    slots = np.packbits(sieve(wanted))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = np.unpackbits(slots).astype(bool)
         for batch in batches:
+            batch = batch.filter(batch.column(0).is_valid())
+            ids = batch.column(0).to_numpy()
             data, offsets = text_bytes(batch.column(1))
             for a, b in chunks(offsets, CHUNK):
                 found = read_lines(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 text, number, low, high, hashes, words = found
-                asked = {(i, w["line"], w["hash"]) for i in range(b - a) for w in batch.column(2)[a + i].as_py()}
-                rows = list(zip(text.tolist(), number.tolist(), hashes.view(np.int64).tolist()))
-                chosen = np.flatnonzero([row in asked for row in rows])
-                if not len(chosen):
-                    continue
-                lists = [words[low[i] : high[i]] for i in chosen]
-                n = high[chosen] - low[chosen]
-                keys = [k for i, one in zip(chosen, lists) for k in (*variants(one), hashes[i : i + 1])]
-                line = np.repeat(chosen, 2 * n + 1)
+                chosen = np.flatnonzero(passes[hashes & np.uint64(len(passes) - 1)] & (high - low >= EDIT_FROM))
+                chosen = chosen[np.lexsort((number[chosen], ids[a:b][text[chosen]], hashes[chosen]))]
+                chosen = chosen[np.r_[True, np.diff(hashes[chosen]) > 0]] if len(chosen) else chosen  # the earliest copy
+                columns = [pa.array(hashes[chosen].view(np.int64)), pa.array(ids[a:b][text[chosen]])]
+                columns += [pa.array(number[chosen], pa.int32()), pack([words[low[i] : high[i]] for i in chosen])]
+                yield pa.RecordBatch.from_arrays(columns, ["hash", "doc_id", "line", "words"])
+
+    def vary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 500):
+                part = batch.slice(a, 500)
+                lists = [np.frombuffer(w, np.uint64) for w in part.column(3).to_pylist()]
+                n = np.array([len(w) for w in lists])
+                hashes = part.column(0).to_numpy().view(np.uint64)
+                keys = [k for i, one in enumerate(lists) for k in (*variants(one), hashes[i : i + 1])]
+                line = pa.array(np.repeat(np.arange(len(n)), 2 * n + 1))
                 kind = np.concatenate([np.repeat([0, 1, 2], [m, m, 1]) for m in n.tolist()])
-                own = np.full(len(line), -1)
-                own[kind == 2] = np.arange(len(chosen))
-                columns = [
-                    pa.array(np.concatenate(keys).view(np.int64)),
-                    pa.array(kind.astype(np.int8)),
-                    pa.array(hashes[line].view(np.int64)),
-                    batch.column(0).slice(a, b - a).take(pa.array(text[line])),
-                    pa.array(number[line], pa.int32()),
-                    pack(lists).take(pa.array(own, mask=own < 0)),
-                ]
+                own = np.full(len(kind), -1)
+                own[kind == 2] = np.arange(len(n))
+                columns = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(kind.astype(np.int8))]
+                columns += [part.column(i).take(line) for i in range(3)]
+                columns.append(part.column(3).take(pa.array(own, mask=own < 0)))
                 yield pa.RecordBatch.from_arrays(columns, ["key", "kind", "hash", "doc_id", "line", "words"])
 
-    both = docs.join(lists, "doc_id").select("doc_id", "text", "wanted")
-    return both.mapInArrow(work, "key long, kind byte, hash long, doc_id long, line int, words binary")
+    found = docs.mapInArrow(find, "hash long, doc_id long, line int, words binary")
+    lines = found.join(wanted, ["hash", "doc_id", "line"], "left_semi").dropDuplicates(["hash"])
+    return lines.mapInArrow(vary, "key long, kind byte, hash long, doc_id long, line int, words binary")
 
 
 def within_one(a: bytes, b: bytes) -> bool:
