@@ -75,16 +75,13 @@ SUBJECT_COLUMNS = ["id", "age", "sex", "cgas", "bmi", "pciat", "hours", *ITEMS,
 
 
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    events.createOrReplaceTempView("_events")
-    return spark.sql(f"SELECT {_SERIES_SPARK}, {_SERIES_COMMON} FROM _events")
+    return spark.sql(f"SELECT {_SERIES_SPARK}, {_SERIES_COMMON} FROM {{events}}", events=table(spark, sf_dir, "events"))
 
 
 def _keyed_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer")
-    customer.createOrReplaceTempView("_customer")
     return spark.sql(
-        f"SELECT *, {_SII} FROM (SELECT CAST(c_custkey AS STRING) AS id, {_SUBJECTS_COMMON} FROM _customer)"
+        f"SELECT *, {_SII} FROM (SELECT CAST(c_custkey AS STRING) AS id, {_SUBJECTS_COMMON} FROM {{customer}})",
+        customer=table(spark, sf_dir, "customer"),
     )
 
 
@@ -98,29 +95,31 @@ _PREDICTIONS = """SELECT id, CAST(floor(pciat / 26) AS INT) AS actual, CAST(hour
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Actual and predicted class and a score; NULL classes stay and are skipped by the metrics."""
-    _keyed_subjects(spark, sf_dir).createOrReplaceTempView("_subjects")
-    return spark.sql(_PREDICTIONS.format(source="_subjects"))
+    return spark.sql(_PREDICTIONS.format(source="{keyed}"), keyed=_keyed_subjects(spark, sf_dir))
 
 
-def _snapshot_sql(year: int, source: str) -> str:
-    """Per-customer order summary of one year: customers come, go and change between years."""
+# Both snapshots together cover all orders; customers come, go and change between them.
+_OLD, _NEW = "o_orderdate < TIMESTAMP '1996-01-01'", "o_orderdate >= TIMESTAMP '1994-01-01'"
+
+
+def _snapshot_sql(dates: str, source: str) -> str:
+    """Per-customer order summary of some dates."""
     return f"""SELECT o_custkey, count(*) AS n_orders, max(o_totalprice) AS largest FROM {source}
-      WHERE o_orderdate >= TIMESTAMP '{year}-01-01' AND o_orderdate < TIMESTAMP '{year + 1}-01-01'
-      GROUP BY o_custkey"""
+      WHERE {dates} GROUP BY o_custkey"""
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    table(spark, sf_dir, "orders").createOrReplaceTempView("_orders")
+    orders = table(spark, sf_dir, "orders")
 
-    def year(y: int) -> DataFrame:
-        return spark.sql(_snapshot_sql(y, "_orders").replace("TIMESTAMP '", "TIMESTAMP_NTZ '"))
+    def of(dates: str) -> DataFrame:
+        return spark.sql(_snapshot_sql(dates, "{orders}").replace("TIMESTAMP '", "TIMESTAMP_NTZ '"), orders=orders)
 
-    return year(1996), year(1997)
+    return of(_OLD), of(_NEW)
 
 
 VIEWS_SQL = f"""series AS (SELECT {_SERIES_DUCK}, {_SERIES_COMMON} FROM events),
 keyed AS (SELECT *, {_SII} FROM (SELECT CAST(c_custkey AS VARCHAR) AS id, {_SUBJECTS_COMMON} FROM customer)),
 subjects AS (SELECT {", ".join(SUBJECT_COLUMNS)} FROM keyed),
 predictions AS ({_PREDICTIONS.format(source="keyed")}),
-old_snapshot AS ({_snapshot_sql(1996, "orders")}),
-new_snapshot AS ({_snapshot_sql(1997, "orders")})"""
+old_snapshot AS ({_snapshot_sql(_OLD, "orders")}),
+new_snapshot AS ({_snapshot_sql(_NEW, "orders")})"""

@@ -66,14 +66,15 @@ def daily_features_forecast(spark, sf):
     f", s AS (SELECT id, age, sii FROM subjects), {split_cte('cut', '0.2e0', 's')},"
     " f AS (SELECT id, avg(X) AS X_mean, avg(Y) AS Y_mean, avg(Z) AS Z_mean,"
     " avg(battery_voltage) AS battery_voltage_mean FROM series GROUP BY id)"
-    f" SELECT id, {rnd('age', 'age')}, {rnd('sii', 'sii')}, "
+    f" SELECT id, {rnd('age', 'age')}, {rnd('sii', 'sii')}, split, "
     + ", ".join(rnd(c, c) for c in training.LOOKUP_FEATURES)
     + f", {rnd('battery_voltage_mean * 1.2e0', 'battery_voltage_mean_moving_avg')}"
-    " FROM cut LEFT JOIN f USING (id) WHERE split = 'train'",
+    " FROM cut LEFT JOIN f USING (id)",
 )
 def training_set(spark, sf):
+    """Training and testing rows, told apart by ``split``, with their looked-up features."""
     labelled = split.split_random(subjects(spark, sf).select("id", "age", "sii"))
-    return _with_lookups(split.take(labelled, "train"), aggregates.series_summary(series(spark, sf)))
+    return _with_lookups(labelled, aggregates.series_summary(series(spark, sf)))
 
 
 def _with_lookups(rows, features):
@@ -96,7 +97,5 @@ def train_and_evaluate(spark, sf):
         _with_lookups(split.take(labelled, "test"), features),
         SUBJECT_SPEC,
         passthrough=["battery_voltage_mean_moving_avg"],
-        num_trees=10,
-        max_depth=5,
     )
     return run.report

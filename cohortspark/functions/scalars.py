@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed values.
 DAY_PARTS = ("night", "morning", "afternoon", "evening", "unknown")
 WEEKDAY_FLAGS = ("weekday", "weekend")
+# Fixed values.
 DEFAULT_THRESHOLDS = (0.5, 1.5, 2.5, 3.5)
 
 _INF = float("inf")

@@ -18,6 +18,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from cohortspark.functions.scalars import quote
 
+# Fixed values.
 FORECAST_FEATURES = ("enmo", "light", "battery_voltage")
 DAY = 86_400
 DAILY_HARMONICS = 4
@@ -129,7 +130,11 @@ def fit_seasonal(
 
 @F.pandas_udf(ArrayType(DoubleType()))
 def _solve(sums: pd.Series) -> pd.Series:
-    """Solve a batch of normal equations, scaled to a unit diagonal, with a small ridge."""
+    """Solve a batch of normal equations, scaled to a unit diagonal, with a small ridge.
+
+    Time is first measured from the series' own mean and in its own spread: far from the origin the level and the trend
+    would be one and the same column. Both are exact linear changes of the sums, undone in the coefficients.
+    """
     values = np.stack(sums.to_numpy()) if len(sums) else np.empty((0, 0))
     if not len(sums):
         return pd.Series([], dtype=object)
@@ -137,12 +142,20 @@ def _solve(sums: pd.Series) -> pd.Series:
     gram = np.zeros((len(sums), N_TERMS, N_TERMS))
     gram[:, rows, columns] = values[:, : len(rows)]
     gram[:, columns, rows] = values[:, : len(rows)]
-    moment = values[:, len(rows) :]
+    moment = values[:, len(rows) :].copy()
+    count = np.maximum(gram[:, 0, 0], 1.0)
+    mean = gram[:, 0, 1] / count
+    spread = np.sqrt(np.maximum(gram[:, 1, 1] / count - mean**2, 0.0))
+    spread[spread < 1e-9] = 1.0
+    change = np.tile(np.eye(N_TERMS), (len(sums), 1, 1))
+    change[:, 1, 0], change[:, 1, 1] = -mean / spread, 1 / spread
+    turned = np.swapaxes(change, 1, 2)
+    gram, moment = change @ gram @ turned, (change @ moment[:, :, None])[:, :, 0]
     size = np.sqrt(np.einsum("nii->ni", gram))
     size[size == 0] = 1.0
     scaled = gram / size[:, :, None] / size[:, None, :] + RIDGE * np.eye(N_TERMS)
     solution = np.linalg.solve(scaled, (moment / size)[:, :, None])[:, :, 0] / size
-    return pd.Series(list(solution))
+    return pd.Series(list((turned @ solution[:, :, None])[:, :, 0]))
 
 
 def future_frame(df: DataFrame, periods: int = 7, key: str = "id", ds: str = "ds") -> DataFrame:

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cohortspark.functions.scalars import quote
-
-MAX_CELLS = 100_000
+from cohortspark.operators.numbering import ordered_row_id
+from cohortspark.session import ensure_checkpoint_dir
 
 
 def _pairs(df: DataFrame, actual: str, predicted: str, count: str | None = None) -> DataFrame:
@@ -27,15 +28,10 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str, count: str | No
 
 
 def collected_confusion(df: DataFrame, actual: str, predicted: str, count: str | None = None) -> DataFrame:
-    """The confusion matrix computed once and kept as a small frame, so that several metrics share one scan.
-
-    Its size is the square of the number of classes; more than ``MAX_CELLS`` cells is an error.
-    """
+    """The confusion matrix computed once, so that several metrics share one scan; it stays distributed."""
     matrix = confusion_matrix(df, actual, predicted, count)
-    rows = matrix.limit(MAX_CELLS + 1).collect()
-    if len(rows) > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} class pairs: the columns are not class labels")
-    return df.sparkSession.createDataFrame(rows, matrix.schema)
+    ensure_checkpoint_dir(df.sparkSession)
+    return matrix.checkpoint()
 
 
 def accuracy(df: DataFrame, actual: str, predicted: str, count: str | None = None) -> DataFrame:
@@ -91,7 +87,8 @@ def classification_report(df: DataFrame, actual: str, predicted: str, count: str
     is_accuracy = F.col("label") == "accuracy"
 
     def weighted(c: str) -> Column:
-        return _or_zero(F.sum(F.col(c) * F.col("weight")), F.sum("weight"))
+        exact = F.sum((F.col(c) * F.col("weight")).cast("decimal(38,15)")).cast("double")  # whatever the order of rows
+        return _or_zero(exact, F.sum("weight"))
 
     overall = _or_zero(F.sum("hits"), F.sum("support"))
     return (
@@ -125,18 +122,18 @@ def quadratic_kappa(
     Both disagreement sums follow from five sums over the confusion counts, so no table of class pairs
     is needed: expected disagreement = sum a^2 + sum p^2 - 2 * sum a * sum p / n. NULL when that is 0.
     """
+    spark = df.sparkSession
     counts = collected_confusion(df, actual, predicted, count)
     if labels is None:
-        seen = counts.select(F.explode(F.array("actual", "predicted")).alias("c")).distinct().collect()
-        labels = sorted(r["c"] for r in seen)
-    places, types = F.array(*[F.lit(label) for label in labels]), dict(counts.dtypes)
-
-    def place(c: str) -> Column:
-        at = F.array_position(places.cast(f"array<{types[c]}>"), F.col(c))
-        return F.when(at > 0, at - 1).cast("double")
-
+        classes = counts.select(F.explode(F.array("actual", "predicted")).alias("c")).distinct()
+        places = ordered_row_id(classes, ["c"], "place")
+    else:
+        rows = [(label, i) for i, label in enumerate(labels)]
+        places = spark.createDataFrame(rows, StructType([StructField("c", counts.schema["actual"].dataType), StructField("place", LongType())]))
     a, p, n = F.col("a"), F.col("p"), F.col("n")
-    placed = counts.select(place("actual").alias("a"), place("predicted").alias("p"), F.col("count").alias("n"))
+    of_actual = places.select(F.col("c").alias("actual"), F.col("place").cast("double").alias("a"))
+    of_predicted = places.select(F.col("c").alias("predicted"), F.col("place").cast("double").alias("p"))
+    placed = counts.withColumnRenamed("count", "n").join(of_actual, "actual", "left").join(of_predicted, "predicted", "left")
     sums = placed.where("a IS NOT NULL AND p IS NOT NULL").agg(
         F.sum(n * (a - p) * (a - p)).alias("observed"),
         F.sum(n * (a * a + p * p)).alias("squares"),

@@ -42,16 +42,15 @@ def _counts_by_bin(df: DataFrame, actual: str, score: str, cuts: Sequence[float]
     rows = (
         df.select(F.col(quote(actual)).cast("int").alias("c"), F.col(quote(score)).cast("double").alias("s"))
         .where("c IS NOT NULL AND s IS NOT NULL AND NOT isnan(s)")
-        .groupBy(bin_id.alias("b"), "c")
+        # Foreign classes count together, so the size is bounded whatever the column holds.
+        .groupBy(bin_id.alias("b"), F.when(F.col("c").between(0, n_classes - 1), F.col("c")).otherwise(-1).alias("c"))
         .agg(F.count(F.lit(1)).alias("n"))
-        # The size stays bounded even for a column that is no class label.
-        .limit((len(values) + 1) * n_classes + 1)
         .collect()
     )
     counts = np.zeros((len(values) + 1, n_classes))
     for b, c, n in rows:
         if not 0 <= c < n_classes:
-            raise ValueError(f"class {c} is outside 0..{n_classes - 1}")
+            raise ValueError(f"a class is outside 0..{n_classes - 1}")
         counts[b, c] = n
     return counts
 

@@ -20,7 +20,6 @@ from pyspark.sql.types import StructType
 
 from cohortspark.functions.scalars import argmax_class, quote, scale_prediction
 from cohortspark.operators.signature import check_signature
-from cohortspark.operators.sizing import MAX_LEVELS
 from cohortspark.session import ensure_checkpoint_dir
 
 # Tuned training parameters.
@@ -36,21 +35,19 @@ BOOSTING_PARAMS = {
 }
 
 
-def class_weights(df: DataFrame, label: str) -> dict[float, float]:
-    """Balanced weights: rows / (classes * rows of the class)."""
-    rows = df.groupBy(F.col(quote(label)).cast("double").alias("c")).count().where("c IS NOT NULL")
-    counts = dict(rows.limit(MAX_LEVELS + 1).collect())
-    if len(counts) > MAX_LEVELS:
-        raise ValueError(f"{label!r} has more than {MAX_LEVELS} classes")
-    total = sum(counts.values())
-    return {c: total / (len(counts) * n) for c, n in counts.items()}
+def class_weights(df: DataFrame, label: str) -> DataFrame:
+    """Balanced weights (c, w): rows / (classes * rows of the class)."""
+    counts = df.groupBy(F.col(quote(label)).cast("double").alias("c")).agg(F.count("*").alias("n")).where("c IS NOT NULL")
+    whole = counts.agg(F.sum("n").alias("rows"), F.count("*").alias("classes"))
+    rows, classes = whole.select("rows").scalar(), whole.select("classes").scalar()
+    return counts.select("c", (rows / (classes * F.col("n"))).alias("w"))
 
 
 def add_class_weights(df: DataFrame, label: str, target: str = "weight") -> DataFrame:
-    weight: Column = F.lit(1.0)
-    for c, w in class_weights(df, label).items():
-        weight = F.when(F.col(quote(label)) == F.lit(c), F.lit(w)).otherwise(weight)
-    return df.withColumn(target, weight)
+    """Join each row's class weight; rows without a class get 1."""
+    weights = class_weights(df, label).withColumnsRenamed({"c": "_class", "w": "_weight"})
+    joined = df.join(weights, F.col(quote(label)).cast("double") == F.col("_class"), "left")
+    return joined.withColumn(target, F.coalesce("_weight", F.lit(1.0))).drop("_class", "_weight")
 
 
 def train_random_forest(

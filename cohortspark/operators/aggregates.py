@@ -15,10 +15,12 @@ from cohortspark.operators.stats import column_stats
 
 _FULL = ("mean", "std", "max", "min")
 AXES = ("X", "Y", "Z")
+# Fixed values.
 SUMMARY_STATS: dict[str, tuple[str, ...]] = {
     **dict.fromkeys((*AXES, "enmo", "light"), _FULL),
     "battery_voltage": ("mean",),
 }
+# Fixed values.
 FULL_SUMMARY_STATS: dict[str, tuple[str, ...]] = {
     **dict.fromkeys((*AXES, "enmo"), _FULL),
     "anglez": ("mean",),
@@ -26,6 +28,7 @@ FULL_SUMMARY_STATS: dict[str, tuple[str, ...]] = {
     "light": _FULL,
     "battery_voltage": ("mean",),
 }
+# Fixed values.
 DAILY_STATS: dict[str, tuple[str, ...]] = {
     **dict.fromkeys(AXES, ("mean", "max", "min", "std")),
     "enmo": ("mean", "max", "std"),
@@ -200,12 +203,13 @@ def value_percentages(df: DataFrame, column: str, dropna: bool = False) -> DataF
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
-    """Equal-width bins between minimum and maximum of the non-null values; the last bin is closed.
+    """Equal-width bins between minimum and maximum of the finite values; the last bin is closed.
 
     Empty bins are listed with count 0. Minimum and maximum are one small row.
     """
     spark = df.sparkSession
-    values = df.select(F.col(quote(column)).cast("double").alias("v")).where("v IS NOT NULL")
+    values = df.select(F.col(quote(column)).cast("double").alias("v"))
+    values = values.where("v IS NOT NULL AND NOT isnan(v) AND abs(v) < double('infinity')")
     low, high = values.agg(F.min("v"), F.max("v")).first()
     if low is None:
         return spark.createDataFrame([], "bin int, low double, high double, count bigint")
@@ -281,11 +285,13 @@ def fit_modes(df: DataFrame, columns: Sequence[str]) -> FillValues:
     modes: dict[str, float | str | None] = {}
     for c in columns:
         value = found.get(c)
-        modes[c] = None if value is None else value["level" if types[c] == "string" else "number"]
+        modes[c] = None if value is None else value["number" if types[c] in ("double", "float") else "level"]
     return FillValues(modes)
 
 
 def impute(df: DataFrame, fill: FillValues) -> DataFrame:
-    """Replace NULLs by the learned values; a column without one stays as it is."""
+    """Replace NULLs by the learned values; a column without one stays as it is, and text stands for its column's type."""
     known = {c: v for c, v in fill.values.items() if v is not None}
-    return df.withColumns({c: F.coalesce(F.col(quote(c)), F.lit(v)) for c, v in known.items()}) if known else df
+    types = dict(df.dtypes)
+    literals = {c: F.lit(v).cast(types[c]) if isinstance(v, str) else F.lit(v) for c, v in known.items()}
+    return df.withColumns({c: F.coalesce(F.col(quote(c)), v) for c, v in literals.items()}) if known else df

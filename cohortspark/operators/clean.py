@@ -13,7 +13,6 @@ from pyspark.sql.types import StructType
 
 from cohortspark.functions.scalars import quote
 from cohortspark.operators.numbering import ordered_row_id
-from cohortspark.operators.sizing import MAX_LEVELS, broadcast_if_small
 from cohortspark.schemas import CohortSpec
 
 
@@ -127,19 +126,14 @@ def order_categories(df: DataFrame, column: str, levels: Sequence[str], ties: Se
     return df.orderBy(category_rank(column, levels).asc_nulls_last(), *[quote(t) for t in ties])
 
 
-def index_category(df: DataFrame, column: str, target: str, max_levels: int = MAX_LEVELS) -> DataFrame:
+def index_category(df: DataFrame, column: str, target: str) -> DataFrame:
     """Alphabetical 0-based code of a string column; NULL gets -1.
 
-    Up to ``max_levels`` levels become a constant list, so coding is a map. More levels are numbered
-    without a global window and joined back: broadcast when they prove small, otherwise by a shuffle in
-    which AQE splits hot levels.
+    The levels are numbered without a global window and joined back; AQE broadcasts them when they turn out
+    small, and otherwise splits hot levels.
     """
     levels = df.select(F.col(quote(column)).alias("_level")).where("_level IS NOT NULL").distinct()
-    found = levels.limit(max_levels + 1).collect()
-    if len(found) <= max_levels:
-        code = category_rank(column, sorted(r["_level"] for r in found)) if found else F.lit(None)
-        return df.withColumn(target, F.coalesce(code, F.lit(-1)).cast("int"))
-    codes = broadcast_if_small(ordered_row_id(levels, ["_level"], "_code"))
+    codes = ordered_row_id(levels, ["_level"], "_code")
     joined = df.join(codes, F.col(quote(column)) == F.col("_level"), "left")
     return joined.withColumn(target, F.coalesce("_code", F.lit(-1)).cast("int")).drop("_level", "_code")
 

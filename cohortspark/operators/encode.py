@@ -6,12 +6,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortspark.functions.scalars import quote
-from cohortspark.operators.sizing import MAX_LEVELS, fit_levels
+from cohortspark.operators.sizing import fit_levels
 from cohortspark.operators.stats import column_stats
 
 __all__ = ["FeatureEncoder", "Scaler", "fit_encoder", "fit_levels", "fit_scaler", "one_hot", "scale"]
@@ -73,38 +73,58 @@ class FeatureEncoder:
     passthrough_mean: dict[str, float | None]
     drop_first: bool = False
 
-    def _slots(self) -> list[tuple[str, str]]:
-        """(feature name, SQL expression) of every slot of the feature vector."""
-        slots = []
+    def _numbers(self) -> dict[str, str]:
+        """SQL of every slot that is one number: scaled columns, then those passed through."""
+        slots = {}
         for c in self.scaler.mean:
             mean, std = self.scaler.mean[c], self.scaler.std[c]
-            slots.append((c, "0D" if mean is None else f"coalesce(({quote(c)} - ({mean!r}D)) / {std!r}D, 0D)"))
-        for c, values in self.levels.items():
-            for level in values[1 if self.drop_first else 0 :]:
-                is_level = f"coalesce(cast({quote(c)} as string) = {_text(level)}, false)"
-                slots.append((f"{c}_{level}", f"if({is_level}, 1D, 0D)"))
+            slots[c] = "0D" if mean is None else f"coalesce(({quote(c)} - ({mean!r}D)) / {std!r}D, 0D)"
         for c in self.passthrough:
-            slots.append((c, f"coalesce(cast({quote(c)} as double), {self.passthrough_mean[c] or 0.0!r}D)"))
+            slots[c] = f"coalesce(cast({quote(c)} as double), {self.passthrough_mean[c] or 0.0!r}D)"
         return slots
 
+    def _encoded(self) -> dict[str, list[str]]:
+        """Levels with a place in the vector."""
+        kept = {c: values[1 if self.drop_first else 0 :] for c, values in self.levels.items()}
+        return {c: values for c, values in kept.items() if values}
+
     @property
     def names(self) -> list[str]:
-        return [name for name, _ in self._slots()]
+        levels = [f"{c}_{level}" for c, values in self._encoded().items() for level in values]
+        return [*self.scaler.mean, *levels, *self.passthrough]
+
+    def _helpers(self) -> list[str]:
+        numbers = len(self._numbers())
+        coded = len(self._encoded())
+        return [*(f"_f{i}" for i in range(numbers)), *(f"_{k}{i}" for i in range(coded) for k in "cv")]
 
     def stages(self, output: str = "features") -> list:
-        """Transformers for an ML pipeline; plain SQL text, so a saved pipeline carries the statistics."""
-        slots = self._slots()
-        columns = [f"_f{i}" for i in range(len(slots))]
-        select = ", ".join(f"{sql} AS {c}" for (_, sql), c in zip(slots, columns, strict=True))
-        keep = ", ".join(["*", select]) if select else "*"
-        return [
-            SQLTransformer(statement=f"SELECT {keep} FROM __THIS__"),
-            VectorAssembler(inputCols=columns, outputCol=output),
-        ]
+        """Transformers for an ML pipeline; plain SQL text, so a saved pipeline carries the statistics.
+
+        A level is one lookup and one place of a sparse vector, so the number of levels doesn't matter. Codes beyond the
+        levels stand for NULL and unseen values, which the encoder turns into zeros.
+        """
+        numbers, encoded = self._numbers(), self._encoded()
+        select = [f"{sql} AS _f{i}" for i, sql in enumerate(numbers.values())]
+        for i, (c, values) in enumerate(encoded.items()):
+            place = f"array_position(array({', '.join(map(_text, values))}), cast({quote(c)} as string))"
+            select.append(f"cast(coalesce(nullif({place}, 0) - 1, {len(values)}) as double) AS _c{i}")
+        stages: list = [SQLTransformer(statement=f"SELECT {', '.join(['*', *select])} FROM __THIS__")]
+        if encoded:
+            codes, vectors = [f"_c{i}" for i in range(len(encoded))], [f"_v{i}" for i in range(len(encoded))]
+            spark = SparkSession.active()
+            largest = spark.createDataFrame(
+                [tuple(float(len(v) - 1) for v in encoded.values())], ", ".join(f"{c} double" for c in codes)
+            )
+            stages.append(OneHotEncoder(inputCols=codes, outputCols=vectors, handleInvalid="keep", dropLast=True).fit(largest))
+        scaled = len(self.scaler.mean)
+        inputs = [f"_f{i}" for i in range(scaled)] + [f"_v{i}" for i in range(len(encoded))]
+        inputs += [f"_f{i}" for i in range(scaled, len(numbers))]
+        return [*stages, VectorAssembler(inputCols=inputs, outputCol=output)]
 
     def assemble(self, df: DataFrame, output: str = "features") -> DataFrame:
         """Add the feature vector and drop the per-slot helper columns."""
-        return PipelineModel(stages=self.stages(output)).transform(df).drop(*[f"_f{i}" for i in range(len(self.names))])
+        return PipelineModel(stages=self.stages(output)).transform(df).drop(*self._helpers())
 
 
 def fit_encoder(
@@ -113,12 +133,11 @@ def fit_encoder(
     categorical: Sequence[str],
     passthrough: Sequence[str] = (),
     drop_first: bool = False,
-    max_levels: int = MAX_LEVELS,
 ) -> FeatureEncoder:
     """Learn scaling and levels on ``df``: one aggregate and one distinct job."""
     measured = fit_scaler(df, [*numeric, *passthrough])
     scaler = Scaler({c: measured.mean[c] for c in numeric}, {c: measured.std[c] for c in numeric})
-    levels = fit_levels(df, categorical, max_levels) if categorical else {}
+    levels = fit_levels(df, categorical) if categorical else {}
     return FeatureEncoder(
         scaler, levels, tuple(passthrough), {c: measured.mean[c] for c in passthrough}, drop_first
     )

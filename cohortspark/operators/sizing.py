@@ -1,4 +1,4 @@
-"""Broadcasts behind a size check, and bounded level sets."""
+"""Columns in long form, and the levels of categorical columns."""
 
 from __future__ import annotations
 
@@ -6,52 +6,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from cohortspark.functions.scalars import quote
 
-MAX_BROADCAST_ROWS = 100_000
-MAX_LEVELS = 1_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Materialise and broadcast ``df`` when it proves to have at most ``max_rows`` rows.
-
-    A larger frame is returned unchanged: the caller's join is then an ordinary shuffled one.
-    Meant for narrow summary frames, whose rows are a few dozen bytes each.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per (input row, column): the column's name, its value as text and, if numeric, as a number."""
-    types = dict(df.dtypes)
+    numeric = {f.name for f in df.schema if isinstance(f.dataType, NumericType)}
     cells = [
         F.struct(
             F.lit(c).alias("column"),
             F.col(quote(c)).cast("string").alias("level"),
-            (F.lit(None) if types[c] == "string" else F.col(quote(c))).cast("double").alias("number"),
+            (F.col(quote(c)) if c in numeric else F.lit(None)).cast("double").alias("number"),
         )
         for c in columns
     ]
     return df.select(F.inline(F.array(*cells)))
 
 
-def fit_levels(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
+def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Sorted distinct non-null values of several columns, found in one job.
 
-    One-hot and label code needs one expression per level, so a column beyond ``max_levels`` is an
-    error instead of a silent cut.
+    They become names of columns or places in a vector, so they have to be known before any row is encoded.
     """
     found = long_form(df, columns).select("column", "level").where("level IS NOT NULL").distinct()
-    rows = found.limit(max_levels * len(columns) + 1).collect()
     levels: dict[str, list[str]] = {c: [] for c in columns}
-    for row in rows:
+    for row in found.collect():
         levels[row["column"]].append(row["level"])
-    for column, values in levels.items():
-        if len(values) > max_levels or len(rows) > max_levels * len(columns):
-            raise ValueError(f"column {column!r} has more than {max_levels} levels")
-        values.sort()
-    return levels
+    return {c: sorted(values) for c, values in levels.items()}

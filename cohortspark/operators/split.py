@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortspark.functions.scalars import quote
-from cohortspark.operators.sizing import broadcast_if_small
 
 # Four hex digits: at most 65,536 counters per stratum, and 1/65,536 of its rows left to rank.
 _PREFIX = 4
@@ -58,7 +57,6 @@ def _cut_hashes(hashed: DataFrame, shares: Sequence[Sequence[float]]) -> DataFra
             (F.col("_k") - F.col("_before")).alias("_k"),
         )
     )
-    edge = broadcast_if_small(edge)
     near = hashed.join(edge, F.col("_stratum").eqNullSafe(F.col("_s")) & (prefix == F.col("_p")))
     # Equal hashes (a repeated key) count together, so a hot key is one row here.
     ranked = near.groupBy("_s", "_cut", "_k", "_hash").agg(F.count(F.lit(1)).alias("_n"))
@@ -92,7 +90,7 @@ def split_labels(
         found = cuts.first()
         placed = placed.withColumns({n: F.lit(found[n] if found else None).cast("string") for n in names})
     else:
-        placed = placed.join(broadcast_if_small(cuts), F.col("_stratum").eqNullSafe(F.col("_s")), "left")
+        placed = placed.join(cuts, F.col("_stratum").eqNullSafe(F.col("_s")), "left")
     label = F.lit(rest)
     for (part, _), cut in reversed(list(zip(parts, names, strict=True))):
         label = F.when(F.col("_hash") <= F.col(cut), F.lit(part)).otherwise(label)

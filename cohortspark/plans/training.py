@@ -18,7 +18,9 @@ from cohortspark.operators.joins import feature_lookup
 from cohortspark.plans.cohort import relevant_numeric
 from cohortspark.schemas import CohortSpec
 
+# Fixed values.
 LOOKUP_FEATURES = ("X_mean", "Y_mean", "Z_mean", "battery_voltage_mean")
+# Fixed values.
 EXCLUDED = ("update_timestamp_utc", "timestamp")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+# Names and types of the sensor series.
 SERIES_SCHEMA = StructType(
     [
         StructField("step", LongType()),
@@ -45,40 +46,100 @@ SERIES_TABLE_SCHEMA = StructType(
 # Spelling used inside the sensor files -> column name used everywhere else.
 SERIES_FILE_NAMES = {"non-wear_flag": "non_wear_flag"}
 
-# Cohort column names by instrument, in dictionary order.
-_NUMERIC_BY_INSTRUMENT = {
-    "Basic_Demos": ["Age"],
-    "CGAS": ["CGAS_Score"],
-    "Physical": ["BMI", "Height", "Weight", "Waist_Circumference", "Diastolic_BP", "HeartRate", "Systolic_BP"],
-    "Fitness_Endurance": ["Max_Stage", "Time_Mins", "Time_Sec"],
-    "FGC": [f"FGC_{test}{zone}" for test in ("CU", "GSND", "GSD", "PU", "SRL", "SRR", "TL") for zone in ("", "_Zone")],
-    "BIA": [
-        f"BIA_{name}"
-        for name in (
-            "Activity_Level_num BMC BMI BMR DEE ECW FFM FFMI FMI Fat Frame_num ICW LDM LST SMM TBW".split()
-        )
-    ],
-    "PAQ_A": ["PAQ_A_Total"],
-    "PAQ_C": ["PAQ_C_Total"],
-    "PCIAT": [*(f"PCIAT_{i:02d}" for i in range(1, 21)), "PCIAT_Total"],
-    "SDS": ["SDS_Total_Raw", "SDS_Total_T"],
-    "PreInt_EduHx": ["computerinternet_hoursday"],
-}
-_SEASONS = ["CGAS", "Physical", "Fitness_Endurance", "FGC", "BIA", "PAQ_A", "PAQ_C", "PCIAT", "SDS"]
+# The study's numeric columns, in dictionary order.
+NUMERIC = (
+    "Basic_Demos-Age",
+    "CGAS-CGAS_Score",
+    "Physical-BMI",
+    "Physical-Height",
+    "Physical-Weight",
+    "Physical-Waist_Circumference",
+    "Physical-Diastolic_BP",
+    "Physical-HeartRate",
+    "Physical-Systolic_BP",
+    "Fitness_Endurance-Max_Stage",
+    "Fitness_Endurance-Time_Mins",
+    "Fitness_Endurance-Time_Sec",
+    "FGC-FGC_CU",
+    "FGC-FGC_CU_Zone",
+    "FGC-FGC_GSND",
+    "FGC-FGC_GSND_Zone",
+    "FGC-FGC_GSD",
+    "FGC-FGC_GSD_Zone",
+    "FGC-FGC_PU",
+    "FGC-FGC_PU_Zone",
+    "FGC-FGC_SRL",
+    "FGC-FGC_SRL_Zone",
+    "FGC-FGC_SRR",
+    "FGC-FGC_SRR_Zone",
+    "FGC-FGC_TL",
+    "FGC-FGC_TL_Zone",
+    "BIA-BIA_Activity_Level_num",
+    "BIA-BIA_BMC",
+    "BIA-BIA_BMI",
+    "BIA-BIA_BMR",
+    "BIA-BIA_DEE",
+    "BIA-BIA_ECW",
+    "BIA-BIA_FFM",
+    "BIA-BIA_FFMI",
+    "BIA-BIA_FMI",
+    "BIA-BIA_Fat",
+    "BIA-BIA_Frame_num",
+    "BIA-BIA_ICW",
+    "BIA-BIA_LDM",
+    "BIA-BIA_LST",
+    "BIA-BIA_SMM",
+    "BIA-BIA_TBW",
+    "PAQ_A-PAQ_A_Total",
+    "PAQ_C-PAQ_C_Total",
+    "PCIAT-PCIAT_01",
+    "PCIAT-PCIAT_02",
+    "PCIAT-PCIAT_03",
+    "PCIAT-PCIAT_04",
+    "PCIAT-PCIAT_05",
+    "PCIAT-PCIAT_06",
+    "PCIAT-PCIAT_07",
+    "PCIAT-PCIAT_08",
+    "PCIAT-PCIAT_09",
+    "PCIAT-PCIAT_10",
+    "PCIAT-PCIAT_11",
+    "PCIAT-PCIAT_12",
+    "PCIAT-PCIAT_13",
+    "PCIAT-PCIAT_14",
+    "PCIAT-PCIAT_15",
+    "PCIAT-PCIAT_16",
+    "PCIAT-PCIAT_17",
+    "PCIAT-PCIAT_18",
+    "PCIAT-PCIAT_19",
+    "PCIAT-PCIAT_20",
+    "PCIAT-PCIAT_Total",
+    "SDS-SDS_Total_Raw",
+    "SDS-SDS_Total_T",
+    "PreInt_EduHx-computerinternet_hoursday",
+)
+
+# The study's categorical columns, in dictionary order.
+CATEGORICAL = (
+    "Basic_Demos-Enroll_Season",
+    "Basic_Demos-Sex",
+    "CGAS-Season",
+    "Physical-Season",
+    "Fitness_Endurance-Season",
+    "FGC-Season",
+    "BIA-Season",
+    "PAQ_A-Season",
+    "PAQ_C-Season",
+    "PCIAT-Season",
+    "SDS-Season",
+)
 
 
 @dataclass(frozen=True)
 class CohortSpec:
     """Names of the cohort columns; defaults are the study's own column names."""
 
-    numeric: tuple[str, ...] = tuple(
-        f"{group}-{name}" for group, names in _NUMERIC_BY_INSTRUMENT.items() for name in names
-    )
-    categorical: tuple[str, ...] = (
-        "Basic_Demos-Enroll_Season",
-        "Basic_Demos-Sex",
-        *(f"{group}-Season" for group in _SEASONS),
-    )
+    numeric: tuple[str, ...] = NUMERIC
+    categorical: tuple[str, ...] = CATEGORICAL
     target: str = "sii"
     key: str = "id"
     age: str = "Basic_Demos-Age"

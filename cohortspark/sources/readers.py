@@ -86,4 +86,4 @@ def read_participants(spark: SparkSession, roots: str | Sequence[str], ids: Sequ
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
+    return nan_to_null(spark.table(name))

@@ -6,7 +6,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 
 from cohortspark.operators import clean
 from cohortspark.operators.numbering import ordered_row_id
-from cohortspark.operators.sizing import broadcast_if_small, fit_levels
+from cohortspark.operators.sizing import fit_levels
 
 
 def test_coerce_numeric(spark):
@@ -60,7 +60,6 @@ def test_index_category(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("b",)], "s string")
     expected = [(None, -1), ("a", 0), ("b", 1), ("b", 1), ("c", 2)]
     assert rows(clean.index_category(df, "s", "code")) == expected
-    assert rows(clean.index_category(df, "s", "code", max_levels=2)) == expected
     assert rows(clean.index_category(df.where("s IS NULL"), "s", "code")) == [(None, -1)]
 
 
@@ -79,17 +78,10 @@ def test_ensure_id_keeps_an_existing_id(spark):
     assert clean.ensure_id(df, ["id"]) is df
 
 
-def test_levels_beyond_the_bound_raise(spark):
-    df = spark.range(20).selectExpr("cast(id AS string) AS s")
-    assert len(fit_levels(df, ["s"], max_levels=20)["s"]) == 20
-    with pytest.raises(ValueError):
-        fit_levels(df, ["s"], max_levels=19)
-
-
-def test_broadcast_only_when_small(spark):
-    small, large = spark.range(5), spark.range(50)
-    assert broadcast_if_small(large, 10) is large
-    assert broadcast_if_small(small, 10).count() == 5
+def test_any_number_of_levels(spark):
+    df = spark.range(5000).selectExpr("lpad(cast(id AS string), 4, '0') AS s")
+    assert fit_levels(df, ["s"])["s"] == [f"{i:04d}" for i in range(5000)]
+    assert clean.index_category(df, "s", "code").where("cast(s AS int) <> code").isEmpty()
 
 
 def test_schema_report(spark):

@@ -90,9 +90,11 @@ def test_repeated_keys_stay_together(spark):
     assert got.where("id = 'hot'").select("split").distinct().count() == 1 and got.count() == 900
 
 
-def test_split_without_broadcast(spark, monkeypatch):
-    """Beyond the broadcast bound the joins are shuffled and the result is the same."""
-    df = spark.range(300).selectExpr("cast(id AS string) AS id", "id % 3 AS c")
-    small = rows(split.split_stratified(df, "c"))
-    monkeypatch.setattr(split, "broadcast_if_small", lambda frame: frame)
-    assert rows(split.split_stratified(df, "c")) == small
+def test_encoder_with_thousands_of_levels(spark):
+    """Levels are places of a sparse vector; NULL and unseen values are zeros."""
+    df = spark.range(5000).selectExpr("cast(id AS double) AS x", "concat('v', lpad(cast(id AS string), 4, '0')) AS s")
+    fitted = encode.fit_encoder(df, ["x"], ["s"])
+    other = spark.createDataFrame([(0.0, "v4999"), (1.0, None), (2.0, "new")], "x double, s string")
+    got = [r["features"] for r in fitted.assemble(other).orderBy("x").collect()]
+    assert len(fitted.names) == 5001 and all(v.size == 5001 for v in got)
+    assert [list(v.toArray()[1:].nonzero()[0]) for v in got] == [[4999], [], []]

@@ -86,10 +86,12 @@ def test_metrics_of_counts_equal_metrics_of_rows(spark):
     )
 
 
-def test_unbounded_labels_raise(spark, monkeypatch):
-    monkeypatch.setattr(metrics, "MAX_CELLS", 5)
-    with pytest.raises(ValueError):
-        metrics.quadratic_kappa(frame(spark, [(i, i) for i in range(6)]), "y", "p")
+def test_kappa_of_many_classes(spark):
+    df = spark.range(5000).selectExpr("cast(id AS int) AS y", "cast((id + 1) % 5000 AS int) AS p")
+    n = 5000
+    observed = (n - 1) + (n - 1) ** 2
+    expected = 2 * sum(i * i for i in range(n)) - 2 * sum(range(n)) ** 2 / n
+    assert abs(metrics.quadratic_kappa(df, "y", "p").first()["kappa"] - (1 - observed / expected)) < 1e-12
 
 
 def scored(spark, n=300, seed=5):

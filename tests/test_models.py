@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortspark.functions.scalars import register_multiplier
 from cohortspark.models import forecast, metrics, trees
-from cohortspark.operators import encode, joins, signature
+from cohortspark.operators import aggregates, encode, joins, signature
 from cohortspark.operators.split import split_random, take
 from cohortspark.plans import cohort, training
 from cohortspark.schemas import CohortSpec
@@ -77,7 +77,7 @@ def test_scoring_checks_the_signature(encoded):
 
 def test_balanced_weights(spark):
     df = spark.createDataFrame([(0.0,), (0.0,), (0.0,), (1.0,)], "y double")
-    assert trees.class_weights(df, "y") == {0.0: 4 / 6, 1.0: 2.0}
+    assert {r["c"]: r["w"] for r in trees.class_weights(df, "y").collect()} == {0.0: 4 / 6, 1.0: 2.0}
 
 
 def test_importance_names(separable, encoded):
@@ -173,3 +173,27 @@ def test_short_series_has_no_forecast(spark):
 def test_metrics_of_a_perfect_model(spark):
     df = spark.createDataFrame([(0, 0), (1, 1), (2, 2)], "y int, p int")
     assert metrics.accuracy(df, "y", "p").first()[0] == 1.0
+
+
+@pytest.mark.parametrize("day", [0, 1_000, 19_700])
+def test_forecast_wherever_time_starts(spark, day):
+    """A trend of half a unit a day and a daily sine are found again, also in ordinary epoch seconds."""
+    rows = spark.range(14 * 24).selectExpr("'a' AS id", f"(id * 3600 + {day} * 86400L) AS ds", "0.5D * (id / 24) + sin(2 * pi() * id / 24) AS enmo")
+    got = forecast.forecast_by_group(rows, ["enmo"]).orderBy("ds").collect()
+    for r in got:
+        t = r["ds"] / 86400 - day
+        assert abs(r["enmo_forecast"] - (0.5 * t + math.sin(2 * math.pi * t))) < 1e-2
+
+
+def test_modes_keep_types(spark):
+    rows = [(9007199254740993, True, "2024-01-02"), (9007199254740993, True, "2024-01-02"), (None, None, None), (1, False, "2024-01-01")]
+    df = spark.createDataFrame(rows, "n long, b boolean, d string").withColumn("d", F.col("d").cast("date"))
+    filled = aggregates.impute(df, aggregates.fit_modes(df, ["n", "b", "d"]))
+    assert filled.dtypes == df.dtypes
+    assert filled.where("n = 9007199254740993 AND b AND d = DATE'2024-01-02'").count() == 3
+
+
+def test_histogram_of_finite_values(spark):
+    values = [0.0, 1.0, float("nan"), float("inf"), float("-inf"), None]
+    got = aggregates.histogram(spark.createDataFrame([(v,) for v in values], "v double"), "v", 2).orderBy("bin").collect()
+    assert [tuple(r) for r in got] == [(0, 0.0, 0.5, 1), (1, 0.5, 1.0, 1)]
