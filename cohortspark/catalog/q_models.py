@@ -7,15 +7,17 @@ for each of five classes are 500 trees of depth 12 built one after another, of a
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortspark.catalog.adapters import SUBJECT_SPEC, predictions, series, subjects, table
+from cohortspark.catalog.q_encode import RANKED_SQL, split_cte
 from cohortspark.catalog.registry import query, rnd
 from cohortspark.functions import scalars
 from cohortspark.models import forecast, metrics, thresholds, trees
-from cohortspark.operators import aggregates, encode, joins, signature
+from cohortspark.operators import aggregates, encode, joins, signature, split
 from cohortspark.operators.clean import filter_not_null
+from cohortspark.plans import ordinal
 from cohortspark.plans.cohort import relevant_numeric
 from cohortspark.schemas import SERIES_SCHEMA
 from cohortspark.session import scratch_path
@@ -115,94 +117,153 @@ def optimize_thresholds_fine(spark, sf):
 
 
 _PASS = ("enmo_mean", "light_mean")
+_LABELLED = f"s AS (SELECT id, sii FROM subjects WHERE sii IS NOT NULL), {split_cte('cut', '0.2e0', 's')}"
+_TEST = f", {_LABELLED} SELECT id, {rnd('sii', 'sii')}, {{}} FROM cut WHERE split = 'test'"
 
 
 def _model_rows(spark, sf) -> DataFrame:
-    """Labelled subjects with their mean activity and light.
+    """Labelled subjects with their mean activity and light, and the part they belong to.
 
-    The series features are written once: training passes over its rows several times.
+    They are written once: training passes over its rows several times.
     """
     activity = aggregates.summarise(series(spark, sf), ["id"], {"enmo": ("mean",), "light": ("mean",)})
-    stored = readers.read_parquet(spark, writers.write_parquet(activity, scratch_path(spark, "activity")))
-    return filter_not_null(joins.left_join(subjects(spark, sf), stored, "id"), "sii")
+    rows = filter_not_null(joins.left_join(subjects(spark, sf), activity, "id"), "sii")
+    return readers.read_parquet(spark, writers.write_parquet(split.split_random(rows), scratch_path(spark, "model-rows")))
 
 
 def _encoder(rows: DataFrame) -> encode.FeatureEncoder:
     return encode.fit_encoder(rows, relevant_numeric(SUBJECT_SPEC), ["season", "sex"], _PASS)
 
 
-def _encoded(spark, sf) -> DataFrame:
+def _encoded(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Training and testing rows, encoded by what the training rows show."""
     rows = _model_rows(spark, sf)
-    return _encoder(rows).assemble(rows).select("id", "sii", "features")
+    encoder = _encoder(split.take(rows, "train"))
+    return tuple(encoder.assemble(split.take(rows, part)).select("id", "sii", "features") for part in ("train", "test"))
 
 
-_SCORED = ("id", "sii", "probabilities", "predicted_class")
+def _checked(scored: DataFrame) -> DataFrame:
+    """What holds for every scored row, whatever the model: its probabilities and its class agree."""
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, x: a + x)
+    largest = F.array_position("probabilities", F.array_max("probabilities")) - 1
+    return scored.select(
+        "id",
+        "sii",
+        F.round(total, 6).alias("probability_sum"),
+        (F.col("predicted_class") == largest).alias("class_is_argmax"),
+    )
 
 
-@query("train_random_forest")
+_PROBABLE = "1.0e0 AS probability_sum, true AS class_is_argmax"
+
+
+@query("train_random_forest", _TEST.format(_PROBABLE))
 def train_random_forest(spark, sf):
-    rows = _encoded(spark, sf)
-    return trees.score_batch(trees.train_random_forest(rows, "sii"), rows).select(*_SCORED)
+    train, test = _encoded(spark, sf)
+    return _checked(trees.score_batch(trees.train_random_forest(train, "sii"), test))
 
 
-@query("train_boosted_trees")
+@query("train_boosted_trees", _TEST.format(_PROBABLE))
 def train_boosted_trees(spark, sf):
-    rows = _encoded(spark, sf)
-    return trees.score_batch(trees.train_boosted_trees(rows, "sii", **_BOOST), rows).select(*_SCORED)
+    train, test = _encoded(spark, sf)
+    return _checked(trees.score_batch(trees.train_boosted_trees(train, "sii", **_BOOST), test))
 
 
-@query("train_ordinal_score")
+@query("train_ordinal_score", _TEST.format("true AS class_fits_score"))
 def train_ordinal_score(spark, sf):
-    rows = _encoded(spark, sf)
-    scored = trees.score_batch(trees.train_ordinal_score(rows, "sii", **_BOOST), rows)
-    return scored.select("id", "sii", "prediction", scalars.threshold_round("prediction").alias("class"))
+    train, test = _encoded(spark, sf)
+    scored = trees.score_batch(trees.train_ordinal_score(train, "sii", **_BOOST), test)
+    nearest = F.greatest(F.lit(0), F.least(F.lit(4), F.floor(F.col("prediction") + 0.5)))
+    return scored.select("id", "sii", (scalars.threshold_round("prediction") == nearest).alias("class_fits_score"))
 
 
-@query("score_batch")
+@query("score_batch", _TEST.format(_PROBABLE + ", true AS expected_class_in_range"))
 def score_batch(spark, sf):
-    rows = _encoded(spark, sf)
-    scored = trees.score_batch(trees.train_random_forest(rows, "sii"), rows)
-    return scored.select(*_SCORED, trees.expected_class().alias("expected_class"))
+    train, test = _encoded(spark, sf)
+    scored = trees.score_batch(trees.train_random_forest(train, "sii"), test)
+    inside = scored.withColumn("_inside", trees.expected_class().between(0, 3)).select("id", F.col("_inside").alias("expected_class_in_range"))
+    return _checked(scored).join(inside, "id")
 
 
-@query("score_adjusted")
+@query("score_adjusted", _TEST.format("true AS adjusted"))
 def score_adjusted(spark, sf):
-    rows = _encoded(spark, sf)
-    model = trees.train_random_forest(rows, "sii")
-    return trees.score_adjusted(model, rows, rows.schema).select("id", "predicted_class", "adjusted_prediction")
+    train, test = _encoded(spark, sf)
+    scored = trees.score_adjusted(trees.train_random_forest(train, "sii"), test, test.schema)
+    return scored.select("id", "sii", (F.round("adjusted_prediction", 9) == F.round(F.col("predicted_class") * 1.3, 9)).alias("adjusted"))
 
 
-@query("eval_by_iteration")
+@query(
+    "eval_by_iteration",
+    "SELECT NULL::INT AS class, CAST(i AS INT) AS round, true AS loss_is_positive, true AS kappa_in_range FROM range(1, 5) t(i)"
+    " UNION ALL SELECT CAST(c AS INT), CAST(i AS INT), true, NULL FROM range(1, 5) t(i), range(4) u(c)",
+)
 def eval_by_iteration(spark, sf):
-    rows = _encoded(spark, sf)
-    return trees.eval_by_iteration(trees.train_boosted_trees(rows, "sii", **_BOOST), rows, "sii")
+    """Both kinds of booster, on rows they have not seen."""
+    train, test = _encoded(spark, sf)
+    boosters = trees.train_boosted_trees(train, "sii", **_BOOST), trees.train_ordinal_score(train, "sii", **_BOOST)
+    rounds = trees.eval_by_iteration(boosters[0], test, "sii").union(trees.eval_by_iteration(boosters[1], test, "sii"))
+    return rounds.select(
+        "class",
+        "round",
+        (F.col("loss") > 0).alias("loss_is_positive"),
+        F.col("kappa").between(-1, 1).alias("kappa_in_range"),
+    )
 
 
 def _importance(spark, sf) -> DataFrame:
-    rows = _model_rows(spark, sf)
+    rows = split.take(_model_rows(spark, sf), "train")
     encoder = _encoder(rows)
     model = trees.train_random_forest(encoder.assemble(rows).select("sii", "features"), "sii")
     return trees.feature_importance(model, encoder.names, rows)
 
 
-@query("feature_importance")
+_NAMES_SQL = f""", names AS (
+    SELECT unnest({[c for c in relevant_numeric(SUBJECT_SPEC)] + list(_PASS)}) AS feature
+    UNION ALL SELECT DISTINCT 'season_' || season FROM subjects WHERE sii IS NOT NULL AND season IS NOT NULL
+    UNION ALL SELECT DISTINCT 'sex_' || CAST(sex AS VARCHAR) FROM subjects WHERE sii IS NOT NULL)"""
+
+
+@query("feature_importance", _NAMES_SQL + " SELECT feature, true AS is_share, 1.0e0 AS total FROM names")
 def feature_importance(spark, sf):
-    return _importance(spark, sf)
+    found = _importance(spark, sf)
+    total = found.agg(F.round(F.sum("importance"), 6).alias("total")).scalar()
+    return found.select("feature", F.col("importance").between(0, 1).alias("is_share"), total.alias("total"))
 
 
-@query("sort_importance")
+@query("sort_importance", _NAMES_SQL + " SELECT CAST(row_number() OVER () AS INT) AS rank, true AS in_order FROM names")
 def sort_importance(spark, sf):
-    return joins.sort_descending(_importance(spark, sf), "importance", ["feature"])
+    """One row per feature: its rank, and whether it is no more important than the one before."""
+    found = joins.sort_descending(_importance(spark, sf), "importance", ["feature"])
+    before = Window.orderBy(F.desc("importance"), "feature")  # one row per feature of the vector
+    in_order = F.coalesce(F.lag("importance").over(before) >= F.col("importance"), F.lit(True))
+    return found.select(F.row_number().over(before).alias("rank"), in_order.alias("in_order"))
 
 
-@query("save_load_model")
+@query("save_load_model", _TEST.format("0.0e0 AS difference"))
 def save_load_model(spark, sf):
-    """Preprocessing and forest saved as one pipeline, reloaded and applied to raw rows."""
+    """Preprocessing and forest saved as one pipeline and reloaded: both score the raw test rows alike."""
     rows = _model_rows(spark, sf)
-    encoder = _encoder(rows)
-    forest = trees.train_random_forest(encoder.assemble(rows).select("sii", "features"), "sii")
-    path = trees.save_model(PipelineModel(stages=[*encoder.stages(), forest]), scratch_path(spark, "model"))
-    return trees.score_batch(trees.load_pipeline(path), rows).select(*_SCORED)
+    train, test = split.take(rows, "train"), split.take(rows, "test")
+    encoder = _encoder(train)
+    forest = trees.train_random_forest(encoder.assemble(train).select("sii", "features"), "sii")
+    model = PipelineModel(stages=[*encoder.stages(), forest])
+    loaded = trees.load_pipeline(trees.save_model(model, scratch_path(spark, "model")))
+    scored = trees.score_batch(model, test).select("id", "sii", F.col("probabilities").alias("p"))
+    again = trees.score_batch(loaded, test).select("id", F.col("probabilities").alias("q"))
+    apart = F.array_max(F.transform(F.arrays_zip("p", "q"), lambda z: F.abs(z["p"] - z["q"])))
+    return scored.join(again, "id").select("id", "sii", apart.alias("difference"))
+
+
+@query(
+    "train_ordinal",
+    f""", s AS (SELECT sii, {RANKED_SQL.format(partition='PARTITION BY sii')} AS place,
+        ceil(count(*) OVER (PARTITION BY sii) * 0.3e0) AS held FROM subjects WHERE sii IS NOT NULL)
+    SELECT CAST(CAST(sii AS INT) AS VARCHAR) AS label, count(*) AS support FROM s WHERE place <= ceil(held * 0.5e0) GROUP BY sii""",
+)
+def train_ordinal(spark, sf):
+    """The ordinal run; of its report, the supports of the classes that the test rows have."""
+    run = ordinal.train_ordinal(_model_rows(spark, sf).drop("split"), SUBJECT_SPEC, _PASS, **_BOOST)
+    return run.report.where("section = 0 AND support > 0").select("label", "support")
 
 
 def _timed(spark, sf) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cohortspark.functions.scalars import argmax_class, quote, scale_prediction
+from cohortspark.functions.scalars import DEFAULT_THRESHOLDS, argmax_class, quote, scale_prediction, threshold_round
 from cohortspark.operators.signature import check_signature
 from cohortspark.session import ensure_checkpoint_dir
 
@@ -141,17 +141,42 @@ def score_adjusted(model: Model, df: DataFrame, expected_input: StructType, fact
     return scored.withColumn("adjusted_prediction", scale_prediction(prediction, factor))
 
 
-def eval_by_iteration(model: OneVsRestModel | GBTRegressionModel, df: DataFrame, label: str) -> DataFrame:
-    """Loss per boosting round on a validation frame: one row per (class, round); class is NULL for a regressor."""
-    rows: list[tuple[int | None, int, float]] = []
+def eval_by_iteration(
+    model: OneVsRestModel | GBTRegressionModel,
+    df: DataFrame,
+    label: str,
+    thresholds: Sequence[float] = DEFAULT_THRESHOLDS,
+) -> DataFrame:
+    """(class, round, loss, kappa) per boosting round on a validation frame, which the model must not have been fitted on.
+
+    ``class`` is NULL for a regressor, whose kappa is that of its scores so far, cut at the thresholds; a classifier's
+    boosters tell one class from the others and have no kappa.
+    """
+    rows: list[tuple[int | None, int, float, float | None]] = []
     if isinstance(model, GBTRegressionModel):
+        kappas = {r["round"]: r["kappa"] for r in _kappa_by_round(model, df, label, thresholds).collect()}
         losses = model.evaluateEachIteration(df, "squared")
-        rows = [(None, i + 1, float(v)) for i, v in enumerate(losses)]
+        rows = [(None, i + 1, float(v), kappas.get(i + 1)) for i, v in enumerate(losses)]
     else:
         for k, booster in enumerate(model.models):
             binary = df.withColumn(booster.getLabelCol(), (F.col(quote(label)) == F.lit(float(k))).cast("double"))
-            rows += [(k, i + 1, float(v)) for i, v in enumerate(booster.evaluateEachIteration(binary))]
-    return df.sparkSession.createDataFrame(rows, "class int, round int, loss double")
+            rows += [(k, i + 1, float(v), None) for i, v in enumerate(booster.evaluateEachIteration(binary))]
+    return df.sparkSession.createDataFrame(rows, "class int, round int, loss double, kappa double")
+
+
+def _kappa_by_round(model: GBTRegressionModel, df: DataFrame, label: str, thresholds: Sequence[float]) -> DataFrame:
+    """Every tree scores the rows once; sums over the first trees are the scores of each round."""
+    scored = df
+    for i, tree in enumerate(model.trees):
+        scored = tree.setPredictionCol(f"_tree{i}").transform(scored)
+    values = [F.col(f"_tree{i}") * F.lit(float(w)) for i, w in enumerate(model.treeWeights)]
+    parts = F.array(*values)
+    so_far = F.transform(parts, lambda _, i: F.aggregate(F.slice(parts, F.lit(1), i + 1), F.lit(0.0), lambda a, x: a + x))
+    each = scored.select(F.col(quote(label)).cast("double").alias("a"), F.posexplode(so_far).alias("at", "score"))
+    p, a, n = threshold_round("score", thresholds).cast("double"), F.col("a"), F.count("*")
+    each = each.where("a IS NOT NULL").select((F.col("at") + 1).alias("round"), "a", p.alias("p"))
+    expected = F.sum(a * a + F.col("p") * F.col("p")) - 2 * F.sum("a") * F.sum("p") / n
+    return each.groupBy("round").agg((1 - F.try_divide(F.sum((a - F.col("p")) * (a - F.col("p"))), expected)).alias("kappa"))
 
 
 def feature_importance(model, names: Sequence[str], df: DataFrame) -> DataFrame:

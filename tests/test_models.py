@@ -197,3 +197,13 @@ def test_histogram_of_finite_values(spark):
     values = [0.0, 1.0, float("nan"), float("inf"), float("-inf"), None]
     got = aggregates.histogram(spark.createDataFrame([(v,) for v in values], "v double"), "v", 2).orderBy("bin").collect()
     assert [tuple(r) for r in got] == [(0, 0.0, 0.5, 1), (1, 0.5, 1.0, 1)]
+
+
+def test_ordinal_run(spark, separable):
+    from cohortspark.plans.ordinal import train_ordinal
+
+    run = train_ordinal(separable, SPEC, n_classes=2, rounds=3, max_depth=2, learning_rate=0.5)
+    assert run.accuracy.first()["accuracy"] > 0.8 and len(run.thresholds.thresholds) == 1
+    rounds = run.by_round.orderBy("round").collect()
+    assert [r["round"] for r in rounds] == [1, 2, 3]
+    assert rounds[-1]["loss"] <= rounds[0]["loss"] and -1 <= rounds[-1]["kappa"] <= 1
