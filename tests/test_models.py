@@ -202,8 +202,8 @@ def test_histogram_of_finite_values(spark):
 def test_ordinal_run(spark, separable):
     from cohortspark.plans.ordinal import train_ordinal
 
-    run = train_ordinal(separable, SPEC, n_classes=2, rounds=3, max_depth=2, learning_rate=0.5)
-    assert run.accuracy.first()["accuracy"] > 0.8 and len(run.thresholds.thresholds) == 1
+    run = train_ordinal(separable, SPEC, n_classes=3, rounds=3, max_depth=2, learning_rate=0.5)
+    assert run.accuracy.first()["accuracy"] > 0.8 and len(run.thresholds.thresholds) == 2
     rounds = run.by_round.orderBy("round").collect()
     assert [r["round"] for r in rounds] == [1, 2, 3]
-    assert rounds[-1]["loss"] <= rounds[0]["loss"] and -1 <= rounds[-1]["kappa"] <= 1
+    assert all(r["loss"] < 0.3 and 0.5 < r["kappa"] <= 1 for r in rounds)
