@@ -76,12 +76,10 @@ def threshold_grid(
     spark = df.sparkSession
     observed, expected = _running_costs(_counts_by_bin(df, actual, score, cuts, n_classes))
     m, k = len(cuts), n_classes - 1
-    number = F.col("id")
-    picks = spark.range(m**k).select(
-        *[(F.floor(number / F.lit(m ** (k - 1 - i))) % m).cast("int").alias(f"i{i}") for i in range(k)]
-    )
-    for i in range(1, k):
-        picks = picks.where(F.col(f"i{i - 1}") < F.col(f"i{i}"))
+    picks = spark.range(m).select(F.col("id").cast("int").alias("i0"))
+    for i in range(1, k):  # only cuts above the last one, so nothing is made to be thrown away
+        above = F.sequence(F.col(f"i{i - 1}") + 1, F.lit(m - 1))
+        picks = picks.where(F.col(f"i{i - 1}") < m - 1).select("*", F.explode(above).alias(f"i{i}"))
 
     # Class j takes the bins from its lower cut (exclusive) through its upper cut: cut i closes i + 1 bins.
     edges = [F.lit(0), *[F.col(f"i{i}") + 1 for i in range(k)], F.lit(m + 1)]

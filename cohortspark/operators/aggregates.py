@@ -3,9 +3,11 @@ partial row per map task rather than all its samples."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -245,14 +247,39 @@ def count_classes(df: DataFrame, target: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair over rows where both are present, in one pass."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    row = df.agg(*[F.corr(quote(a), quote(b)).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [
-        F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(f"_{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return row.select(F.inline(F.array(*cells)))
+    """Pearson correlation of every column pair over rows where both are present; NULL without variation.
+
+    A task reduces its rows to the sums of all pairs, by matrix products on values less their column's mean, and sends one row
+    per pair; so wide tables cost matrix products instead of an aggregate per pair.
+    """
+    names, stats = list(columns), column_stats(df, columns)
+    mean = np.array([stats[c].mean or 0.0 for c in names])
+    rows, cols = np.triu_indices(len(names), 1)
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, len(names), len(names)))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float) - mean
+            there = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x, posinf=np.inf, neginf=-np.inf)
+            square = x * x
+            parts = (there.T @ there, x.T @ there, there.T @ x, square.T @ there, there.T @ square, x.T @ x)
+            sums += np.stack(parts)
+        values = [pa.array(part[rows, cols]) for part in sums]
+        pairs = [pa.array(rows.astype(np.int32)), pa.array(cols.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays([*pairs, *values], ["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    numbers = df.select(*[F.col(quote(c)).cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+    schema = "i int, j int, n double, x double, y double, xx double, yy double, xy double"
+    sums = [F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")]
+    found = numbers.mapInArrow(reduce, schema).groupBy("i", "j").agg(*sums).withColumn("n", F.nullif("n", F.lit(0.0)))
+    spread = F.expr("sqrt(greatest(xx - x * x / n, 0D)) * sqrt(greatest(yy - y * y / n, 0D))")
+    labels = F.array(*[F.lit(c) for c in names])
+    return found.select(
+        F.get(labels, F.col("i")).alias("left"),
+        F.get(labels, F.col("j")).alias("right"),
+        F.when(spread > 0, F.expr("xy - x * y / n") / spread).alias("correlation"),
+    )
 
 
 @dataclass(frozen=True)

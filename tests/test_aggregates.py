@@ -2,6 +2,7 @@ import math
 import random
 import statistics
 
+import numpy as np
 import pytest
 from conftest import rows
 
@@ -160,3 +161,18 @@ def test_count_classes_and_min_max(spark):
 def test_correlations_skip_incomplete_pairs(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.0), (None, 9.0)], "a double, b double")
     assert aggregates.correlations(df, ["a", "b"]).first()["correlation"] == pytest.approx(1.0)
+
+
+def test_correlations_of_many_columns(spark):
+    rng = np.random.default_rng(1)
+    data = rng.normal(size=(200, 70)) + 1e6
+    df = spark.createDataFrame(data.tolist(), [f"c{i}" for i in range(70)])
+    got = {(r["left"], r["right"]): r["correlation"] for r in aggregates.correlations(df, df.columns).collect()}
+    expected = np.corrcoef(data.T)
+    assert len(got) == 70 * 69 // 2
+    assert all(abs(v - expected[int(a[1:]), int(b[1:])]) < 1e-9 for (a, b), v in got.items())
+
+
+def test_correlation_without_variation(spark):
+    df = spark.createDataFrame([(1.0, 2.0, None), (1.0, 4.0, None)], "a double, b double, c double")
+    assert {r["correlation"] for r in aggregates.correlations(df, ["a", "b", "c"]).collect()} == {None}
