@@ -12,7 +12,7 @@ from cohortspark.catalog.registry import query, rnd
 from cohortspark.models.metrics import accuracy
 from cohortspark.operators import aggregates, changes, clean, joins
 from cohortspark.operators.aggregates import SUMMARY_STATS
-from cohortspark.plans import runlog
+from cohortspark.plans import feature_table, runlog
 from cohortspark.schemas import AGGREGATED_FEATURES_SCHEMA, SERIES_SCHEMA, SERIES_TABLE_SCHEMA
 from cohortspark.session import scratch_path
 from cohortspark.sources import readers, tables, writers
@@ -157,6 +157,32 @@ def check_primary_key(spark, sf):
     return changes.check_primary_key(series(spark, sf), ["id"])
 
 
+_FLOAT_SERIES = ", ".join(
+    f"CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}" for c in ("X", "Y", "Z", "enmo", "light", "battery_voltage")
+)
+
+
+@query(
+    "feature_table_pipeline",
+    f", stored AS (SELECT lpad(id, 8, '0') AS id, step, {_FLOAT_SERIES} FROM series)"
+    f" SELECT id, {SUMMARY_SQL}, count(*) FILTER (step % 2 = 1) AS with_device FROM stored GROUP BY id",
+)
+def feature_table_pipeline(spark, sf):
+    """Two batches of folders, the second with a new column and after an empty one, to a table of features."""
+    stored = clean.conform_schema(series(spark, sf), SERIES_SCHEMA).withColumn("id", F.lpad("id", 8, "0"))
+    stored = clean.rename_columns(stored, {"non_wear_flag": "non-wear_flag"})
+    first = writers.write_series(stored.where("step % 2 = 0"), scratch_path(spark, "batch"))
+    second = writers.write_series(stored.where("step % 2 = 1").withColumn("device", F.lit("wrist")), scratch_path(spark, "batch"))
+    raw = tables.create_table(spark, _name("series"), SERIES_TABLE_SCHEMA, scratch_path(spark, "table"))
+    features = tables.create_table(spark, _name("features"), AGGREGATED_FEATURES_SCHEMA, scratch_path(spark, "table"))
+    feature_table.append_series(spark, first, raw)
+    feature_table.append_series(spark, scratch_path(spark, "absent"), raw)
+    feature_table.append_series(spark, second, raw, StructType([*SERIES_SCHEMA, StructField("device", StringType())]))
+    feature_table.insert_features(spark, raw, features)
+    devices = readers.read_table(spark, raw).groupBy("id").agg(F.count("device").alias("with_device"))
+    return joins.left_join(readers.read_table(spark, features), devices, "id")
+
+
 @query("write_parquet_features", f"SELECT id, {SUMMARY_SQL} FROM series GROUP BY id")
 def write_parquet_features(spark, sf):
     path = writers.write_parquet(aggregates.series_summary(series(spark, sf)), scratch_path(spark, "features"))
