@@ -21,6 +21,7 @@ LANES = 2
 SAMPLE = 256
 CANDIDATES = 4096
 BLOCK = 1 << 22
+LEAF = 1 << 13
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -117,22 +118,46 @@ def shard_rows(distinct: DataFrame, count: int, distance: int, lanes: int) -> Da
     return out
 
 
+def split_shards(rows: DataFrame, leaf: int) -> DataFrame:
+    """(cell, side, home, fp): shards of at most ``leaf`` rows are cells; larger ones are cut into blocks by the fingerprint's
+    hash, and every pair of blocks is a cell, whose rows are told apart by ``side``.
+
+    So a dense group of near copies costs many tasks of bounded size; only the sizes of large shards are joined.
+    """
+    sizes = rows.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > leaf)
+    sizes = sizes.select("shard", F.ceil(F.col("n") / leaf).cast("int").alias("blocks"))
+    found = rows.join(sizes, "shard", "left")
+    block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    pairs = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+    found = found.select("shard", "home", "fp", "blocks", block.alias("block"), F.explode(pairs).alias("other"))
+    cell = F.xxhash64("shard", F.least("block", "other"), F.greatest("block", "other"))
+    return found.select(
+        F.when(F.col("blocks").isNull(), F.xxhash64("shard")).otherwise(cell).alias("cell"),
+        F.coalesce(F.col("block") > F.col("other"), F.lit(False)).alias("side"),
+        "home",
+        "fp",
+    )
+
+
+def near(fp: np.ndarray, homes: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of all pairs within the distance, in blocks."""
+    step = max(1, BLOCK // max(1, len(homes)))
+    for a in range(0, len(fp), step):
+        i, j = np.nonzero(np.bitwise_count(fp[a : a + step, None] ^ homes[None, :]) <= distance)
+        yield i + a, j
+
+
 def forest(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
-    """Links that connect what is connected within each shard, at most one per fingerprint in it."""
-    for _, shard in runs(batches, "shard"):
-        fp = shard.column("fp").to_numpy().view(np.uint64)
-        home = shard.column("home").to_numpy()
-        if len(fp) < 2 or not home.any():
-            continue
-        fp = np.r_[fp[home], fp[~home]]
-        homes = int(home.sum())
+    """Links that connect what is connected within each cell, at most one per fingerprint in it."""
+    for _, cell in runs(batches, "cell"):
+        fp = cell.column("fp").to_numpy().view(np.uint64)
+        home, side = (cell.column(name).to_numpy() for name in ("home", "side"))
         label = np.arange(len(fp))
-        step = max(1, BLOCK // homes)
-        for a in range(0, len(fp), step):
-            near = np.bitwise_count(fp[a : a + step, None] ^ fp[None, :homes]) <= distance
-            i, j = np.nonzero(near)
-            keep = i + a > j
-            label = unite(label, i[keep] + a, j[keep])
+        whole = not side.any()
+        for rows, others in [(~side, ~side & home)] if whole else [(~side, side & home), (side, ~side & home)]:
+            rows, others = np.flatnonzero(rows), np.flatnonzero(others)
+            for i, j in near(fp[rows], fp[others], distance):
+                label = unite(label, rows[i], others[j])
         at = np.flatnonzero(label != np.arange(len(fp)))
         if len(at):
             columns = [pa.array(fp[at].view(np.int64)), pa.array(fp[label[at]].view(np.int64))]
@@ -146,6 +171,7 @@ def near_duplicates(
     distance: int = DISTANCE,
     shingle: int = SHINGLE,
     lanes: int = LANES,
+    leaf: int = LEAF,
 ) -> DataFrame:
     """(doc_id, fp, component_id) per row: the smallest doc_id reachable by links of at most ``distance`` differing bits.
 
@@ -155,8 +181,8 @@ def near_duplicates(
     """
     marked = saved(fingerprints(docs, id_col, text_col, shingle))
     nodes = saved(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    rows = shard_rows(nodes.select("fp"), nodes.count(), distance, lanes)
-    rows = rows.repartition(parts(docs.sparkSession), "shard").sortWithinPartitions("shard")
+    rows = split_shards(shard_rows(nodes.select("fp"), nodes.count(), distance, lanes), leaf)
+    rows = rows.repartition(parts(docs.sparkSession), "cell").sortWithinPartitions("cell")
     roots = components(rows.mapInArrow(lambda batches: forest(batches, distance), "a long, b long"))
     linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp")
     least = linked.groupBy("root").agg(F.min("first").alias("least"))

@@ -47,8 +47,8 @@ def test_fingerprints_and_components(spark, small):
     assert {i: r.component_id for i, r in rows.items()} == component
 
 
-@pytest.mark.parametrize("lanes", [1, 2, 4])
-def test_near_links_are_found_at_the_bound(spark, lanes, monkeypatch):
+@pytest.mark.parametrize("lanes, leaf", [(1, 8192), (2, 8192), (2, 3), (4, 8192)])
+def test_near_links_are_found_at_the_bound(spark, lanes, leaf, monkeypatch):
     """Chains of fingerprints that differ by exactly three bits, wherever these bits are."""
     from cohortspark.llm import simhash
 
@@ -64,7 +64,7 @@ def test_near_links_are_found_at_the_bound(spark, lanes, monkeypatch):
     signed = np.array(prints, np.uint64).view(np.int64).tolist()
     marked = spark.createDataFrame(list(enumerate(signed)), "doc_id long, fp long")
     monkeypatch.setattr(simhash, "fingerprints", lambda *_: marked)
-    found = by_id(simhash.near_duplicates(marked, lanes=lanes))
+    found = by_id(simhash.near_duplicates(marked, lanes=lanes, leaf=leaf))
     assert [found[i].component_id for i in range(len(prints))] == group
 
 
@@ -331,3 +331,20 @@ def test_equal_texts_have_one_component(spark):
     found = by_id(near_duplicates(docs))
     assert fingerprint("A b") == fingerprint("a  B")
     assert all(found[i].component_id == found[i % 3].component_id for i in range(300))
+
+
+def test_dense_groups_are_cut_into_cells(spark, monkeypatch):
+    """Thousands of fingerprints within a few bits of each other: small cells, all links kept."""
+    from cohortspark.llm import simhash
+    from cohortspark.llm.graph import unite
+
+    rng = np.random.default_rng(6)
+    prints = np.array([sum(1 << int(b) for b in rng.choice(64, 4, replace=False)) for _ in range(1500)], np.uint64)
+    prints = np.unique(prints)
+    label = np.arange(len(prints))
+    i, j = np.nonzero(np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 3)
+    label = unite(label, i, j)
+    marked = spark.createDataFrame(list(enumerate(prints.view(np.int64).tolist())), "doc_id long, fp long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda *_: marked)
+    found = by_id(simhash.near_duplicates(marked, leaf=100))
+    assert [found[k].component_id for k in range(len(prints))] == label.tolist()
