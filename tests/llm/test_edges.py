@@ -1,7 +1,7 @@
 """Nulls, empty and very long texts, repeated rows and ids, empty tables and clashing columns."""
 
 import pytest
-from helpers import words
+from llm.helpers import words
 from pyspark.sql import functions as F
 
 from cohortspark.llm.chats import as_events, digest, fold_events, render

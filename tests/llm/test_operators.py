@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from helpers import alnum, by_id, lowered, windows, words
+from llm.helpers import alnum, by_id, lowered, windows, words
 from pyspark.sql import functions as F
 
 from cohortspark.llm import QUERIES

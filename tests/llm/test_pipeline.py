@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 import numpy as np
-from helpers import alnum, by_id, windows
+from llm.helpers import alnum, by_id, windows
 
 from cohortspark.llm.lines import duplicate_lines
 from cohortspark.llm.simhash import near_duplicates
