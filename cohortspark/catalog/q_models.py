@@ -7,7 +7,7 @@ for each of five classes are 500 trees of depth 12 built one after another, of a
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.catalog.adapters import SUBJECT_SPEC, predictions, series, subjects, table
@@ -17,6 +17,7 @@ from cohortspark.functions import scalars
 from cohortspark.models import forecast, metrics, thresholds, trees
 from cohortspark.operators import aggregates, encode, joins, signature, split
 from cohortspark.operators.clean import filter_not_null
+from cohortspark.operators.numbering import ordered_row_id
 from cohortspark.plans import ordinal
 from cohortspark.plans.cohort import relevant_numeric
 from cohortspark.schemas import SERIES_SCHEMA
@@ -232,11 +233,12 @@ def feature_importance(spark, sf):
 
 @query("sort_importance", _NAMES_SQL + " SELECT CAST(row_number() OVER () AS INT) AS rank, true AS in_order FROM names")
 def sort_importance(spark, sf):
-    """One row per feature: its rank, and whether it is no more important than the one before."""
+    """One row per feature: its place after sorting, and whether it is no more important than the one before."""
     found = joins.sort_descending(_importance(spark, sf), "importance", ["feature"])
-    before = Window.orderBy(F.desc("importance"), "feature")  # one row per feature of the vector
-    in_order = F.coalesce(F.lag("importance").over(before) >= F.col("importance"), F.lit(True))
-    return found.select(F.row_number().over(before).alias("rank"), in_order.alias("in_order"))
+    placed = ordered_row_id(found.withColumn("_slot", F.monotonically_increasing_id()), ["_slot"], "rank", start=1)
+    before = placed.select((F.col("rank") + 1).alias("rank"), F.col("importance").alias("before"))
+    in_order = F.coalesce(F.col("before") >= F.col("importance"), F.lit(True)).alias("in_order")
+    return placed.join(before, "rank", "left").select(F.col("rank").cast("int").alias("rank"), in_order)
 
 
 @query("save_load_model", _TEST.format("0.0e0 AS difference"))
