@@ -64,13 +64,16 @@ def lane(column, number: int, lanes: int):
 
 
 def depth(count: int, reach: int, width: int, most: int = CANDIDATES) -> int:
-    """Levels at which a fingerprint meets about ``most`` others at random: the smallest number that suffices."""
+    """Levels at which a fingerprint meets about ``most`` others at random: the smallest number that suffices.
+
+    A random pair meets if all its differences of distances are at most ``reach`` and of one parity, see ``overlaps``.
+    """
     rng = np.random.default_rng(1)
     x, y, v = rng.integers(0, 1 << width, (3, 20_000), dtype=np.uint64)
-    gap = np.bitwise_count(x ^ v).astype(int) - np.bitwise_count(y ^ v).astype(int)
-    share = sum(float(np.mean(np.abs(gap) == d)) for d in range(1, reach + 1)) + float(np.mean(gap == 0))
+    gap = np.abs(np.bitwise_count(x ^ v).astype(int) - np.bitwise_count(y ^ v).astype(int))
+    even, odd = (float(np.mean((gap <= reach) & (gap % 2 == parity))) for parity in (0, 1))
     levels = 1
-    while levels < 8 and count * share**levels > most:
+    while levels < 8 and count * (even**levels + odd**levels) > most:
         levels += 1
     return levels
 
