@@ -7,16 +7,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm.arrays import LOWER, SPACE, chunks, owners, span_hashes, spans, text_bytes
-from cohortspark.llm.frames import table
+from cohortspark.llm.arrays import LOWER, SPACE, STEP, chunks, mix, owners, span_hashes, spans, text_bytes
+from cohortspark.llm.frames import parts, runs, saved, table
 
-SYMBOLS = 2048  # the vocabulary's size, which bounds the table of pairs at SYMBOLS * (SYMBOLS + 1) cells
+SYMBOLS = 2048  # the closed vocabulary's size, which bounds the table of pairs at SYMBOLS * (SYMBOLS + 1) cells
 ENDINGS = 64  # symbols for all other words, by their last two bytes
 PRIOR = 64.0
 CHUNK = 4 << 20
+BUCKETS = 1024
+START = mix(np.array([0], np.uint64) + STEP)  # the history of a text's first word
+SALTS = mix(np.arange(2, 4, dtype=np.uint64) * STEP)  # tell words and histories apart
+CHUNKS = "chunk long, bucket int, ids array<long>, texts array<string>, flags array<boolean>"
+COUNTS = "bucket int, chunk long, keys binary, target binary, background binary"
 
 
 def read_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -61,18 +67,23 @@ def with_target(docs: DataFrame, target: Column, id_col: str, text_col: str) ->
     )
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """(word, n) over all documents."""
+def count_words(docs: DataFrame, by_target: bool = False) -> DataFrame:
+    """(word, n) over all documents; with ``by_target`` also how often documents of the target have it."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
+            flag = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             for a, b in chunks(offsets, CHUNK):
-                hashes, _, _ = read_words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                word, n = np.unique(hashes, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
+                hashes, _, bounds = read_words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                word, inverse = np.unique(hashes, return_inverse=True)
+                n = np.bincount(inverse, minlength=len(word))
+                target = np.bincount(inverse[flag[a:b][owners(bounds)]], minlength=len(word))
+                columns = [pa.array(v.astype(np.int64)) for v in (word.view(np.int64), n, target)]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "n", "target"])
 
-    return docs.mapInArrow(work, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    sums = [F.sum(name).alias(name) for name in ("n", "target")[: 1 + by_target]]
+    return docs.mapInArrow(work, "word long, n long, target long").groupBy("word").agg(*sums)
 
 
 def count_pairs(docs: DataFrame, vocabulary: np.ndarray, size: int) -> DataFrame:
@@ -158,9 +169,118 @@ def score_documents(docs: DataFrame, models: Models, id_col: str = "doc_id", tex
     return with_target(docs, F.lit(False), id_col, text_col).select("doc_id", "text").mapInArrow(work, SCHEMA)
 
 
+def fields(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]
+
+
+def cut_chunks(held: DataFrame) -> DataFrame:
+    """Runs of whole rows of about ``CHUNK`` bytes, numbered; saved, so that a number always means the same rows."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.bool_())]
+        for batch in batches:
+            _, offsets = text_bytes(batch.column(1))
+            for a, b in chunks(offsets, CHUNK):
+                lists = [pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), c.slice(a, b - a).cast(k.value_type)) for c, k in zip(batch.columns, kinds[2:])]
+                yield pa.RecordBatch.from_arrays([pa.array([number], kinds[0]), pa.array([-1], kinds[1]), *lists], fields(CHUNKS))
+                number += 1
+
+    return saved(held.mapInArrow(work, CHUNKS))
+
+
+def gram_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of each word, of its history (the word before it, or a text's start) and of the pair; where each text's words begin."""
+    words, _, bounds = read_words(data, offsets)
+    history = np.r_[START, words[:-1]] if len(words) else words
+    history[bounds[:-1][np.diff(bounds) > 0]] = START[0]
+    return np.stack([mix(words ^ SALTS[0]), mix(history ^ SALTS[1]), mix(history * STEP + words)]), bounds
+
+
+def count_grams(cut: DataFrame, bits: int) -> DataFrame:
+    """Each chunk's different keys, sorted, and how often its rows of either kind have them; a row per bucket of keys."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys, bounds = gram_keys(*text_bytes(batch.column(1)[i].values))
+                flag = np.tile(batch.column(2)[i].values.to_numpy(zero_copy_only=False)[owners(bounds)].astype(bool), 3)
+                found, inverse = np.unique(keys.ravel(), return_inverse=True)
+                total = np.bincount(inverse, minlength=len(found))
+                target = np.bincount(inverse[flag], minlength=len(found))
+                bucket = (found >> np.uint64(64 - bits)).astype(np.int64)
+                first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(found) else np.zeros(0, int)
+                columns = [[v[a:b].tobytes() for a, b in zip(first, np.r_[first[1:], len(found)])] for v in (found, target.astype("<u4"), (total - target).astype("<u4"))]
+                chunk = pa.array([batch.column(0)[i].as_py()] * len(first), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int32()), chunk, *(pa.array(c, pa.binary()) for c in columns)], fields(COUNTS))
+
+    return cut.select("chunk", "texts", "flags").mapInArrow(work, COUNTS)
+
+
+def total_grams(sent: DataFrame) -> DataFrame:
+    """(chunk, bucket, target, background): the counts over all chunks, in the order of the chunk's keys."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, shard in runs(batches, "bucket"):
+            keys, target, background = ([x.as_py() for x in shard.column(name)] for name in fields(COUNTS)[2:])
+            bounds = np.cumsum([0, *(len(k) // 8 for k in keys)])
+            _, inverse = np.unique(np.frombuffer(b"".join(keys), "<u8"), return_inverse=True)
+            sums = [np.bincount(inverse, np.frombuffer(b"".join(v), "<u4")).astype("<i8")[inverse] for v in (target, background)]
+            columns = [pa.array([v[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()) for v in sums]
+            chunk = shard.column("chunk").combine_chunks()
+            yield pa.RecordBatch.from_arrays([chunk, pa.array([bucket] * len(keys), pa.int32()), *columns], names)
+
+    names = ["chunk", "bucket", "target", "background"]
+    ordered = sent.repartition(parts(sent.sparkSession), "bucket").sortWithinPartitions("bucket")
+    return ordered.mapInArrow(work, "chunk long, bucket int, target binary, background binary")
+
+
+def score_corpus(
+    docs: DataFrame,
+    target: Column,
+    prior: float = PRIOR,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    buckets: int | None = None,
+) -> DataFrame:
+    """Columns as ``score_documents``, by models of all words and pairs that occur: those of the rows where ``target`` holds,
+    and those of all others.
+
+    A pair's probability is its count smoothed by ``prior`` towards the word's, and that towards equality over the words of both
+    models and one unknown word. Each chunk of rows sends its different words, histories and pairs once, as 64-bit hashes in
+    buckets, gets their counts over all documents back and scores its rows, so what is moved grows with the text, and a pair
+    however frequent counts once per chunk. Only the numbers of words and of different words reach the driver.
+    """
+    spark = docs.sparkSession
+    held = with_target(docs, target, id_col, text_col)
+    bits = ((buckets or max(BUCKETS, 4 * parts(spark))) - 1).bit_length()
+    cut = cut_chunks(held)
+    row = count_words(held, True).agg(F.count("*"), F.sum("n"), F.sum("target")).head()
+    words, total, own = (int(v or 0) for v in row)
+    base = [(n + words + 1.0) for n in (own, total - own)]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in runs(batches, "chunk"):
+            ids, texts = (group.column(name)[0].values for name in ("ids", "texts"))
+            keys, bounds = gram_keys(*text_bytes(texts))
+            inverse = np.unique(keys.ravel(), return_inverse=True)[1].reshape(keys.shape)
+            n = np.diff(bounds)
+            losses = []
+            for name, size in zip(("target", "background"), base):
+                counts = np.frombuffer(b"".join(x.as_py() for x in group.column(name)[1:]), "<i8")
+                word, history, pair = counts[inverse] if len(counts) else np.zeros(keys.shape)
+                loss = -np.log((pair + prior * (word + 1.0) / size) / (history + prior))
+                losses.append(np.bincount(owners(bounds), loss, len(n)) / np.maximum(n, 1))
+            columns = [ids, pa.array(n), *map(pa.array, (*losses, losses[1] - losses[0]))]
+            yield pa.RecordBatch.from_arrays(columns, fields(SCHEMA))
+
+    both = cut.drop("flags").unionByName(total_grams(count_grams(cut, bits)), allowMissingColumns=True)
+    both = both.repartition(parts(spark), "chunk").sortWithinPartitions("chunk", "bucket")
+    return both.mapInArrow(work, SCHEMA)
+
+
 def op4_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return score_documents(docs, fit_models(docs, F.col("source") == "src1"))
+    return score_corpus(table(spark, sf_dir, "documents"), F.col("source") == "src1")
 
 
 QUERIES = {"op4_scoring": op4_scoring}
