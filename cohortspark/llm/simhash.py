@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortspark.llm.frames import parts, runs, saved, table, texts
 from cohortspark.llm.graph import components, unite
@@ -167,6 +168,33 @@ def forest(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
+def linked_roots(nodes: DataFrame, distance: int = DISTANCE, lanes: int = LANES, leaf: int = LEAF) -> DataFrame:
+    """(node, root) of the different fingerprints (saved, in ``fp``) that have a link to another."""
+    rows = split_shards(shard_rows(nodes.select("fp"), nodes.count(), distance, lanes), leaf)
+    rows = rows.repartition(parts(nodes.sparkSession), "cell").sortWithinPartitions("cell")
+    return components(rows.mapInArrow(lambda batches: forest(batches, distance), "a long, b long"))
+
+
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of every component, over rows: the row with the smallest (id, hash of the text, row), and likewise one of those without
+    an id. Minima are combined in the map tasks, so copies meet in no task; rows that share an id are rows of their own."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts_ = batch.column(batch.schema.get_field_index(text_col))
+            values = np.array([fingerprint(t.as_py()) for t in texts_], np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], [*batch.schema.names, "_fp"])
+
+    schema = T.StructType([*docs.schema, T.StructField("_fp", T.LongType())])
+    rows = docs.mapInArrow(work, schema)
+    roots = linked_roots(saved(fingerprints(docs, id_col, text_col).select("fp").distinct()))
+    order = F.struct(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), F.struct(*docs.columns).alias("_row"))
+    kinds = [F.min(F.when(kind, order)).alias(name) for kind, name in ((F.col(id_col).isNotNull(), "_a"), (F.col(id_col).isNull(), "_b"))]
+    best = rows.groupBy("_fp").agg(*kinds).join(roots.withColumnRenamed("node", "_fp"), "_fp", "left")
+    best = best.groupBy(F.coalesce("root", "_fp")).agg(F.min("_a").alias("_a"), F.min("_b").alias("_b"))
+    return best.select(F.explode(F.array("_a", "_b")).alias("_it")).where("_it IS NOT NULL").select("_it._row.*")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -184,9 +212,7 @@ def near_duplicates(
     """
     marked = saved(fingerprints(docs, id_col, text_col, shingle))
     nodes = saved(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    rows = split_shards(shard_rows(nodes.select("fp"), nodes.count(), distance, lanes), leaf)
-    rows = rows.repartition(parts(docs.sparkSession), "cell").sortWithinPartitions("cell")
-    roots = components(rows.mapInArrow(lambda batches: forest(batches, distance), "a long, b long"))
+    roots = linked_roots(nodes, distance, lanes, leaf)
     linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp")
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
     linked = linked.join(least, "root").select("fp", "least")

@@ -3,14 +3,14 @@ left, written as Parquet in the shared checkpoint folder."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortspark.llm.decontaminate import drop_contaminated
 from cohortspark.llm.frames import table
 from cohortspark.llm.lines import drop_duplicate_lines
 from cohortspark.llm.packing import pack_documents
-from cohortspark.llm.simhash import near_duplicates
+from cohortspark.llm.simhash import one_per_component
 from cohortspark.llm.toxicity import drop_toxic, fit_toxicity
 from cohortspark.session import scratch_path
 
@@ -26,11 +26,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near duplicates, once if its row is repeated. Null ids stay."""
-    gone = near_duplicates(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    once = Window.partitionBy("doc_id").orderBy("doc_id")
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns, F.row_number().over(once).alias("_row"))
-    return left.where("_row = 1 OR doc_id IS NULL").drop("_row")
+    """Of every group of near duplicate rows the one with the smallest id, and one of its rows without an id."""
+    return one_per_component(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
