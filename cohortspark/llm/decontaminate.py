@@ -210,36 +210,42 @@ def match_type() -> pa.DataType:
     return pa.list_(pa.struct([(n, pa.int64()) for n in ("item_id", "doc_start", "item_start", "n_words")]))
 
 
-def searcher(test: TestWords | None):
-    """A pass that appends the matches with one block of items."""
+def searcher(test: TestWords | None, text_col: str = "text"):
+    """A pass that appends the matches with one block of items to those in the last column."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [m for _, lists in list_matches(test, batch.column(1)) for m in lists.to_pylist()]
-            both = [a + b for a, b in zip(batch.column(2).to_pylist(), found)]
-            columns = [batch.column(0), batch.column(1), pa.array(both, match_type())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "matches"])
+            texts_ = batch.column(batch.schema.get_field_index(text_col))
+            found = [m for _, lists in list_matches(test, texts_) for m in lists.to_pylist()]
+            both = [a + b for a, b in zip(batch.columns[-1].to_pylist(), found)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(both, match_type())], batch.schema.names)
 
     return work
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", bound: int = BLOCK_BYTES) -> DataFrame:
-    """The rows, all columns as they are, whose text isn't contaminated. With a benchmark beyond ``bound`` the contaminated
-    ``doc_id`` are found first and all their rows go."""
+    """The rows, all columns as they are, whose text isn't contaminated. Each row is judged by itself, whatever its id; with a
+    benchmark beyond ``bound`` the rows carry their matches from block to block."""
     tests = item_blocks(benchmark, "item_id", "text", bound)
-    test = next(tests)
-    if next(tests, False) is not False:
-        bad = contamination(docs, benchmark, text_col=text_col, bound=bound).where("contaminated").select("doc_id")
-        return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    test, held = next(tests), "_matches"
+    while held in docs.columns:
+        held += "_"
+    now = docs.withColumn(held, F.expr(f"CAST(array() AS {MATCH})"))
+    for following in tests:
+        now = saved(now.mapInArrow(searcher(test, text_col), now.schema))
+        test = following
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep: list[bool] = []
+            earlier = batch.columns[-1].to_pylist()
             for words, lists in list_matches(test, batch.column(batch.schema.get_field_index(text_col))):
-                keep += [not judge(n, measure(m)[0]) for n, m in zip(words.tolist(), lists.to_pylist())]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+                for n, found in zip(words.tolist(), lists.to_pylist()):
+                    keep.append(not judge(n, measure(earlier[len(keep)] + found)[0]))
+            left = pa.RecordBatch.from_arrays(batch.columns[:-1], batch.schema.names[:-1])
+            yield left.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(work, docs.schema)
+    return now.mapInArrow(work, docs.schema)
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

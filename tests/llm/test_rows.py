@@ -1,6 +1,9 @@
 """Stages of the pipeline judge rows, not ids."""
 
 import corpus_pipeline
+import pytest
+
+from cohortspark.llm.decontaminate import drop_contaminated
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -15,3 +18,14 @@ def test_near_dedup_judges_rows(spark):
     assert left.columns == docs.columns
     found = [(r.doc_id, r.text) for r in left.collect()]
     assert sorted(found, key=str) == sorted([(1, text), (7, other), (7, third), (None, other), (None, third)], key=str)
+
+
+@pytest.mark.parametrize("bound", [1 << 25, 10])
+def test_decontamination_judges_rows(spark, bound):
+    bad = " ".join(f"w{i}" for i in range(13))
+    benchmark = spark.createDataFrame([(i, f"{bad} {i}") for i in range(9)], "item_id long, text string")
+    rows = [(None, bad), (None, "clean"), (1, bad), (1, "clean too"), (2, "clean as well")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 9) for i, t in rows], DOCS)
+    left = drop_contaminated(docs, benchmark, bound=bound)
+    assert left.schema == docs.schema
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
