@@ -22,7 +22,7 @@ def length_histogram(docs: DataFrame, text_col: str = "text", vocabulary: str =
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = Encoder(vocabulary, added=True)
         for batch in batches:
             counts = np.array([encoder.count(t.as_py()) for t in batch.column(0)], np.int64)
             lengths, times = np.unique(counts, return_counts=True)

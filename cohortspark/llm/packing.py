@@ -106,7 +106,7 @@ def pack_documents(
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer, end = Encoder(vocabulary), Packer(capacity), np.array([END_ID], "<u4").tobytes()
+        encoder, packer, end = Encoder(vocabulary, added=True), Packer(capacity), np.array([END_ID], "<u4").tobytes()
         sequence = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
         schema = pa.schema([(n, pa.int64()) for n in names] + [("ids", pa.binary())])

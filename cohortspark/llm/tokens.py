@@ -3,26 +3,32 @@
 from __future__ import annotations
 
 import base64
+import json
 from array import array
+from functools import partial
 
 VOCABULARY = "byte_bpe_50k"
 
 
 class Encoder:
-    """``ids(text)``: the ids as bytes of little-endian unsigned 32-bit numbers; special tokens' strings are ordinary text.
+    """``ids(text)``: the ids as bytes of little-endian unsigned 32-bit numbers.
 
-    The rank file is the same vocabulary as the JSON file of that name and gives the same ids in less time.
+    The rank file is the same vocabulary as the JSON file of that name and gives the same ids in less time. With ``added`` the
+    strings of the JSON file's added tokens have their one id, as ``tokenizers`` gives it; without, they are ordinary text.
     """
 
-    def __init__(self, vocabulary: str = VOCABULARY):
+    def __init__(self, vocabulary: str = VOCABULARY, added: bool = False):
         import public_tokenizers
         import tiktoken
 
         with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.encode = tiktoken.Encoding(
-            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        ).encode_ordinary
+        tokens = {}
+        if added:
+            with open(public_tokenizers.path(f"{vocabulary}.json"), encoding="utf-8") as file:
+                tokens = {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
+        encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=tokens)
+        self.encode = partial(encoding.encode, allowed_special="all") if tokens else encoding.encode_ordinary
 
     def ids(self, text: str | None) -> bytes:
         return array("I", self.encode(text or "")).tobytes()
