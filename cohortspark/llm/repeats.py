@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortspark.llm.arrays import SPACE, chunks, covered, inside_texts, mix, ngrams, owners, span_hashes, spans, text_bytes
-from cohortspark.llm.frames import parts, runs, table, texts
+from cohortspark.llm.frames import parts, runs, saved, table, texts
 
 K = 13
 PART = 4  # words of the part that decides an edge's bucket
@@ -20,6 +20,8 @@ CHUNK = 8 << 20
 LONGEST = 255
 EDGES = "bucket int, known boolean, docs binary, starts binary, sizes binary, low binary, high binary"
 PATHS = "doc_id long, start int, n int, source_id long, source_start int"
+NAMES = [field.split()[0] for field in PATHS.split(", ")]
+KINDS = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
 
 
 def smallest(values: np.ndarray, width: int) -> np.ndarray:
@@ -44,12 +46,25 @@ def pieces(breaks: np.ndarray, longest: int | None = None) -> tuple[np.ndarray,
     return first, size
 
 
+def word_numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Equal only for equal words: of the words of one hash, those with other bytes than the first have a number of their own."""
+    _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+    size, other = ends - starts, starts[first][number]
+    same = size == size[first][number]
+    order = np.argsort(size, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(size[order])) + 1):
+        part = part[same[part] & (other[part] != starts[part])]
+        for j in range(size[part[0]] if len(part) else 0):
+            same[part] &= data[starts[part] + j] == data[other[part] + j]
+    return np.where(same, number, -1 - np.arange(len(number)))
+
+
 def edge_rows(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, k: int, buckets: int) -> Iterator[tuple]:
     """Edges of these texts, whose ids rise, as runs by bucket.
 
     An edge is a window of k words. Its bucket follows from its smallest ``PART`` words' hash, so neighbours mostly share one
     and travel as one run: document, first place, and a 48-bit hash of each edge. An edge that a smaller document of this chunk
-    has as well needs no more search: it is sent as ``known``, in runs without hashes.
+    has as well, word by word, needs no more search: it is sent as ``known``, in runs without hashes.
     """
     starts, ends, bounds = spans(data, offsets, SPACE)
     words = span_hashes(data, starts, ends)
@@ -62,7 +77,13 @@ def edge_rows(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, k: int, bu
     order = np.argsort(edge, kind="stable")
     group = np.flatnonzero(np.r_[True, edge[order][1:] != edge[order][:-1]])
     known = np.zeros(len(at), bool)
-    known[order] = ids[doc[order]] > np.repeat(ids[doc[order[group]]], np.diff(np.r_[group, len(at)]))
+    source = np.empty(len(at), np.int64)
+    source[order] = np.repeat(order[group], np.diff(np.r_[group, len(at)]))
+    hit = np.flatnonzero(ids[doc] > ids[doc[source]])
+    number, same = word_numbers(data, starts, ends, words), np.ones(len(hit), bool)
+    for j in range(k):
+        same &= number[at[hit] + j] == number[at[source[hit]] + j]
+    known[hit[same]] = True
     place = at - bounds[doc]
     breaks = np.r_[True, (np.diff(at) > 1) | (np.diff(doc) > 0) | (np.diff(known.astype(np.int8)) != 0)]
     for flag in (True, False):
@@ -165,6 +186,101 @@ def repeated_paths(
     return sent.repartition(parts(spark), "bucket").sortWithinPartitions("bucket").mapInArrow(find, PATHS)
 
 
+def arrays(name: str, *columns: str) -> list:
+    return [F.collect_list(F.struct(*columns)).alias(name)]
+
+
+def whole_spans(paths: DataFrame) -> DataFrame:
+    """Paths of one document and one source whose edges follow each other in both, joined to one: PATHS."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, source, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                start, n, at = (held.values.field(i).to_numpy().astype(np.int64) for i in range(3))
+                shift = start - at
+                order = np.lexsort((start, shift))
+                start, n, at, shift = start[order], n[order], at[order], shift[order]
+                first = np.flatnonzero(np.r_[True, (np.diff(shift) != 0) | (np.diff(start) > n[:-1])])
+                end = np.maximum.reduceat(start + n, first)
+                columns = [[doc] * len(first), start[first], end - start[first], [source] * len(first), at[first]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, KINDS)], NAMES)
+
+    grouped = paths.groupBy("doc_id", "source_id").agg(*arrays("held", "start", "n", "source_start"))
+    return grouped.mapInArrow(work, PATHS)
+
+
+def slices(held: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(source_id, source_start, n, words) of each version of each wanted source."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, text, places in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                words = (text or "").encode().split()
+                rows = [(doc, p["source_start"], p["n"], b" ".join(words[p["source_start"] : p["source_start"] + p["n"] + k - 1])) for p in places]
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["source_id", "source_start", "n", "words"])
+
+    places = wanted.groupBy(F.col("source_id").alias("doc_id")).agg(*arrays("places", "source_start", "n"))
+    both = held.join(places, "doc_id").select("doc_id", "text", "places")
+    return both.mapInArrow(work, "source_id long, source_start int, n int, words binary")
+
+
+def compared(held: DataFrame, spans_: DataFrame, k: int) -> DataFrame:
+    """(doc_id, start, n, same) of each span: whether a version of the document has the words of a version of its source there."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, text, places in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                words = (text or "").encode().split()
+                rows = [(doc, p["start"], p["n"], b" ".join(words[p["start"] : p["start"] + p["n"] + k - 1]) == p["words"]) for p in places]
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["doc_id", "start", "n", "same"])
+
+    source = slices(held, spans_.select("source_id", "source_start", "n").distinct(), k)
+    asked = spans_.join(source, ["source_id", "source_start", "n"]).groupBy("doc_id").agg(*arrays("places", "start", "n", "words"))
+    both = held.join(asked, "doc_id").select("doc_id", "text", "places").mapInArrow(work, "doc_id long, start int, n int, same boolean")
+    return both.groupBy("doc_id", "start", "n").agg(F.max("same").alias("same"))
+
+
+def searched_words(held: DataFrame, failed: DataFrame, k: int) -> DataFrame:
+    """(doc_id, start, n) of the windows of spans that were not the same, found by their words instead of hashes."""
+    asked = failed.groupBy("doc_id").agg(*arrays("places", "start", "n"))
+
+    def windows(every: bool):
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in zip(*(c.to_pylist() for c in batch.columns)):
+                    words = (row[1] or "").encode().split()
+                    top = len(words) - k + 1
+                    at = range(top) if every else sorted({i for p in row[2] for i in range(p["start"], min(top, p["start"] + p["n"]))})
+                    for a in range(0, len(at), 10_000):
+                        part = at[a : a + 10_000]
+                        columns = [pa.array([row[0]] * len(part), pa.int64()), pa.array(part, pa.int32())]
+                        yield pa.RecordBatch.from_arrays([*columns, pa.array([b" ".join(words[i : i + k]) for i in part], pa.binary())], ["doc_id", "start", "words"])
+
+        return work
+
+    kind = "doc_id long, start int, words binary"
+    own = saved(held.join(asked, "doc_id").select("doc_id", "text", "places").mapInArrow(windows(False), kind))
+    every = held.mapInArrow(windows(True), kind).join(own.select("words").distinct(), "words", "left_semi")
+    least = every.groupBy("words").agg(F.min("doc_id").alias("least"))
+    return own.join(least, "words").where("least < doc_id").select("doc_id", "start", F.lit(1).alias("n"))
+
+
+def verified_paths(docs: DataFrame, k: int = K, buckets: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, start, n): n windows from word ``start`` on whose words a smaller document has as well.
+
+    Hashes only find candidates. Every span's words are compared with its source's; what a chunk decided was compared there.
+    Windows of spans that differ are searched once more by their words, as another document may have them.
+    """
+    held = texts(docs, id_col, text_col).where("doc_id IS NOT NULL")
+    found = saved(repeated_paths(docs, k, buckets, id_col, text_col))
+    judged = saved(compared(held, whole_spans(found.where("source_start >= 0")), k))
+    sure = found.where("source_start < 0").select("doc_id", "start", "n").union(judged.where("same").drop("same"))
+    failed = judged.where("NOT same")
+    return sure if failed.isEmpty() else sure.union(searched_words(held, failed, k))
+
+
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
 
 
@@ -177,7 +293,7 @@ def remove_repeats(
     null id lose none and take none. Rows that share an id are versions of one document: a place removed from one is removed
     from all. An empty table gives an empty result.
     """
-    found = repeated_paths(docs, k, buckets, id_col, text_col).groupBy("doc_id")
+    found = verified_paths(docs, k, buckets, id_col, text_col).groupBy("doc_id")
     found = found.agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("sizes"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
