@@ -2,8 +2,36 @@
 
 from __future__ import annotations
 
-from cohortspark.llm import chats, decontaminate, lengths, lines, packing, quality, repeats, scoring, simhash, toxicity
+from cohortspark.llm import (
+    chats,
+    clusters,
+    decontaminate,
+    lengths,
+    lines,
+    packing,
+    quality,
+    repeats,
+    scoring,
+    shards,
+    simhash,
+    toxicity,
+    whitening,
+)
 
-MODULES = [chats, decontaminate, lengths, lines, packing, quality, repeats, scoring, simhash, toxicity]
+MODULES = [
+    chats,
+    clusters,
+    decontaminate,
+    lengths,
+    lines,
+    packing,
+    quality,
+    repeats,
+    scoring,
+    shards,
+    simhash,
+    toxicity,
+    whitening,
+]
 QUERIES = {name: build for module in MODULES for name, build in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in getattr(module, "ORACLES", {}).items()}

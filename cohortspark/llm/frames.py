@@ -26,6 +26,14 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def free_names(df: DataFrame, words: str) -> tuple[str, ...]:
+    """The words as column names that ``df`` has not, whatever its columns are called."""
+    taken, lead = {c.lower() for c in df.columns}, "_"
+    while any(c.startswith(lead) for c in taken):
+        lead += "_"
+    return tuple(lead + word for word in words.split())
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
