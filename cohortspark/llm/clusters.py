@@ -17,6 +17,7 @@ from cohortspark.llm.frames import saved, table
 from cohortspark.session import scratch_path
 
 CENTROIDS, ROUNDS, DIMS, SCALE = 8, 10, 64, 1024
+ROWS_A_FILE = 1 << 18  # of a heap's run; one task then holds about 64 MB of 64 components
 LARGEST = 1 << 27  # squared distances over 64 components of this size still fit a long
 ENTRY = "vec_id long, x array<int>, was int, cluster int, gap double"
 HEAP = "vec_id long, x array<int>, was int, gap double, round int, cluster int"
@@ -153,6 +154,7 @@ def cluster_vectors(x: DataFrame, starts: list[list[int]], rounds: int = ROUNDS)
                 break
             reached, offset = offset, offset + step
             popped = heap(number).where(_between(reached, offset)).select("vec_id", "x", F.col("cluster").alias("was"))
+            popped = popped.coalesce(max(spark.sparkContext.defaultParallelism, -(-rescanned[0] // ROWS_A_FILE)))
         pushed = popped.mapInArrow(rescan(np.array(centroids, np.int64), offset), ENTRY)
         pushed.sortWithinPartitions("cluster", "gap").write.partitionBy("cluster").parquet(f"{folder}/round={number}")
         run = heap(number + 1).where(F.col("round") == number)
