@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cohortspark.catalog.adapters import ITEMS, SUBJECT_SPEC, series, subjects
 from cohortspark.catalog.q_aggregates import DAILY_CTE, LAG_SQL, ROLLING_SQL, mode_sql
 from cohortspark.catalog.q_encode import flags_sql, split_cte
@@ -9,6 +11,7 @@ from cohortspark.catalog.q_joins import BLOCKS_SQL
 from cohortspark.catalog.q_scalars import AGE_SQL, BMI_SQL, HOURS_SQL, PCIAT_SQL
 from cohortspark.catalog.registry import query, rnd
 from cohortspark.functions.scalars import register_multiplier
+from cohortspark.models import trees
 from cohortspark.operators import aggregates, split
 from cohortspark.operators.aggregates import DAILY_STATS
 from cohortspark.plans import cohort, training
@@ -89,19 +92,28 @@ def _with_lookups(rows, features):
 @query(
     "train_and_evaluate",
     f", s AS (SELECT id, sii FROM subjects), {split_cte('cut', '0.2e0', 's')},"
-    " h AS (SELECT CAST(CAST(sii AS INT) AS VARCHAR) AS label FROM cut WHERE split = 'test' AND sii IS NOT NULL)"
-    " SELECT label, count(*) AS support FROM h GROUP BY label"
-    " UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), (SELECT count(*) FROM h)",
+    " h AS (SELECT CAST(CAST(sii AS INT) AS VARCHAR) AS label FROM cut WHERE split = 'test' AND sii IS NOT NULL),"
+    " trained AS (SELECT sii, count(*) AS n FROM cut WHERE split = 'train' AND sii IS NOT NULL GROUP BY sii),"
+    f" r AS (SELECT label, count(*) AS support FROM h GROUP BY label"
+    " UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), (SELECT count(*) FROM h))"
+    f" SELECT label, support, true AS accuracy_agrees, {rnd('(SELECT max(n) / sum(n) FROM trained)', 'majority')}, true AS beats_majority FROM r",
 )
 def train_and_evaluate(spark, sf):
     """Store the series features, split, look features up, train on one part and report on the other."""
     stored = writers.write_parquet(aggregates.series_summary(series(spark, sf)), scratch_path(spark, "features"))
     features = readers.read_parquet(spark, stored)
     labelled = split.split_random(subjects(spark, sf))
+    train = _with_lookups(split.take(labelled, "train"), features)
     run = training.train_and_evaluate(
-        _with_lookups(split.take(labelled, "train"), features),
+        train,
         _with_lookups(split.take(labelled, "test"), features),
         SUBJECT_SPEC,
         passthrough=["battery_voltage_mean_moving_avg"],
     )
-    return run.report.where("section > 0 OR support > 0").select("label", "support")
+    again = run.scored.agg(F.avg((F.col("actual") == F.col("predicted_class")).cast("double")).alias("a"))
+    quality = trees.fit_quality(run.model, train, "sii").join(again).select(
+        (F.abs(F.col("a") - F.lit(run.accuracy)) < 1e-9).alias("accuracy_agrees"),
+        "majority",
+        (F.col("accuracy") > 1.1 * F.col("majority")).alias("beats_majority"),
+    )
+    return run.report.where("section > 0 OR support > 0").select("label", "support").join(F.broadcast(quality))

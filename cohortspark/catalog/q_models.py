@@ -1,7 +1,9 @@
 """Metric, threshold, training and forecast queries.
 
-Forests are trained with the tuned parameters, the functions' defaults. Boosting runs few, shallow rounds: the tuned 100 rounds
-for each of five classes are 500 trees of depth 12 built one after another, of a dozen Spark jobs each.
+All models are trained with the tuned parameters, the functions' defaults. A model has no SQL counterpart, so its query returns
+what a right one must show: its scores are those of its exported trees, descended by joins that share no code with the model, and
+on the rows it learnt from it is right more often than the commonest class by a tenth (a score: its squared error is below the
+label's variance). A stump or a model of other labels fails that.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from cohortspark.catalog.adapters import SUBJECT_SPEC, predictions, series, subj
 from cohortspark.catalog.q_encode import RANKED_SQL, split_cte
 from cohortspark.catalog.registry import query, rnd
 from cohortspark.functions import scalars
-from cohortspark.models import forecast, metrics, thresholds, trees
+from cohortspark.models import boosting, forecast, metrics, thresholds, trees
 from cohortspark.operators import aggregates, encode, joins, signature, split
 from cohortspark.operators.clean import filter_not_null
 from cohortspark.operators.numbering import ordered_row_id
@@ -24,7 +26,6 @@ from cohortspark.schemas import SERIES_SCHEMA
 from cohortspark.session import scratch_path
 from cohortspark.sources import readers, writers
 
-_BOOST = {"rounds": 4, "max_depth": 3, "learning_rate": 0.1}
 _BOTH = "actual IS NOT NULL AND predicted IS NOT NULL"
 
 
@@ -143,79 +144,150 @@ def _encoded(spark, sf) -> tuple[DataFrame, DataFrame]:
     return tuple(encoder.assemble(split.take(rows, part)).select("id", "sii", "features") for part in ("train", "test"))
 
 
-def _checked(scored: DataFrame) -> DataFrame:
-    """What holds for every scored row, whatever the model: its probabilities and its class agree."""
-    total = F.aggregate("probabilities", F.lit(0.0), lambda a, x: a + x)
-    largest = F.array_position("probabilities", F.array_max("probabilities")) - 1
-    return scored.select(
-        "id",
-        "sii",
-        F.round(total, 6).alias("probability_sum"),
-        (F.col("predicted_class") == largest).alias("class_is_argmax"),
-    )
+_PARTS = f", {_LABELLED}, trained AS (SELECT sii, count(*) AS n FROM cut WHERE split = 'train' GROUP BY sii)"
+_MAJORITY = rnd("(SELECT max(n) / sum(n) FROM trained)", "majority") + ", true AS beats_majority"
+_VARIANCE = rnd("(SELECT sum(n * sii * sii) / sum(n) - (sum(n * sii) / sum(n)) ** 2 FROM trained)", "variance") + ", true AS below_variance"
+
+
+def _judged(rows: DataFrame, model, train: DataFrame) -> DataFrame:
+    """Adds how the model does on the rows it learnt from."""
+    quality = trees.fit_quality(model, train, "sii")
+    if "majority" in quality.columns:
+        flag = (F.col("accuracy") > 1.1 * F.col("majority")).alias("beats_majority")
+        return rows.join(F.broadcast(quality.select("majority", flag)))  # one row
+    return rows.join(F.broadcast(quality.select("variance", (F.col("error") < 0.97 * F.col("variance")).alias("below_variance"))))
+
 
+def _apart(p: str, q: str):
+    return F.array_max(F.transform(F.arrays_zip(p, q), lambda z: F.abs(z[p] - z[q])))
 
-_PROBABLE = "1.0e0 AS probability_sum, true AS class_is_argmax"
 
+_AGREES = "true AS agrees"
+_FOREST_SQL = f"{_PARTS} SELECT id, {rnd('sii', 'sii')}, {_AGREES}, {_MAJORITY} FROM cut WHERE split = 'test'"
 
-@query("train_random_forest", _TEST.format(_PROBABLE))
+
+@query("train_random_forest", _FOREST_SQL)
 def train_random_forest(spark, sf):
     train, test = _encoded(spark, sf)
-    return _checked(trees.score_batch(trees.train_random_forest(train, "sii"), test))
+    model = trees.train_random_forest(train, "sii")
+    joined = trees.probabilities_by_join(model, test).withColumnRenamed("probabilities", "q")
+    rows = trees.score_batch(model, test).join(joined, "id").select("id", "sii", (_apart("probabilities", "q") < 1e-9).alias("agrees"))
+    return _judged(rows, model, train)
+
+
+def _joined_margins(model, rows: DataFrame) -> DataFrame:
+    """(id, sii, round, m) with the margins of all classes after every round."""
+    margins = boosting.margins_by_join(model, rows, ["id", "sii"])
+    in_order = F.array_sort(F.collect_list(F.struct("class", "margin")))
+    return margins.groupBy("id", "sii", "round").agg(F.transform(in_order, lambda z: z["margin"]).alias("m"))
+
+
+def _softmax(m: str):
+    e = F.transform(m, lambda x: F.exp(x - F.array_max(m)))
+    total = F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
+    return F.transform(e, lambda x: x / total)
 
 
-@query("train_boosted_trees", _TEST.format(_PROBABLE))
+@query("train_boosted_trees", _FOREST_SQL)
 def train_boosted_trees(spark, sf):
     train, test = _encoded(spark, sf)
-    return _checked(trees.score_batch(trees.train_boosted_trees(train, "sii", **_BOOST), test))
+    model = trees.train_boosted_trees(train, "sii")
+    joined = _joined_margins(model, test).where(F.col("round") == len(model.rounds)).select("id", _softmax("m").alias("q"))
+    rows = trees.score_batch(model, test).join(joined, "id").select("id", "sii", (_apart("probabilities", "q") < 1e-9).alias("agrees"))
+    return _judged(rows, model, train)
 
 
-@query("train_ordinal_score", _TEST.format("true AS class_fits_score"))
+@query("train_ordinal_score", f"{_PARTS} SELECT id, {rnd('sii', 'sii')}, {_AGREES}, {_VARIANCE} FROM cut WHERE split = 'test'")
 def train_ordinal_score(spark, sf):
     train, test = _encoded(spark, sf)
-    scored = trees.score_batch(trees.train_ordinal_score(train, "sii", **_BOOST), test)
-    nearest = F.greatest(F.lit(0), F.least(F.lit(4), F.floor(F.col("prediction") + 0.5)))
-    return scored.select("id", "sii", (scalars.threshold_round("prediction") == nearest).alias("class_fits_score"))
+    model = trees.train_ordinal_score(train, "sii")
+    joined = _joined_margins(model, test).where(F.col("round") == len(model.rounds)).select("id", F.get("m", F.lit(0)).alias("q"))
+    rows = trees.score_batch(model, test).join(joined, "id")
+    return _judged(rows.select("id", "sii", (F.abs(F.col("prediction") - F.col("q")) < 1e-9).alias("agrees")), model, train)
 
 
-@query("score_batch", _TEST.format(_PROBABLE + ", true AS expected_class_in_range"))
+@query(
+    "score_batch",
+    f"{_PARTS} SELECT id, {rnd('sii', 'sii')}, {_AGREES}, true AS class_agrees, true AS expected_agrees, {_MAJORITY} FROM cut WHERE split = 'test'",
+)
 def score_batch(spark, sf):
     train, test = _encoded(spark, sf)
-    scored = trees.score_batch(trees.train_random_forest(train, "sii"), test)
-    inside = scored.withColumn("_inside", trees.expected_class().between(0, 3)).select("id", F.col("_inside").alias("expected_class_in_range"))
-    return _checked(scored).join(inside, "id")
+    model = trees.train_random_forest(train, "sii")
+    joined = trees.probabilities_by_join(model, test).withColumnRenamed("probabilities", "q")
+    largest = F.aggregate(
+        F.transform("q", lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
+        F.struct(F.lit(-1.0).alias("x"), F.lit(-1).alias("i")),
+        lambda a, z: F.when(z["x"] > a["x"] + 1e-9, z).otherwise(a),
+    )["i"]
+    expected = F.aggregate(F.transform("q", lambda x, i: x * i), F.lit(0.0), lambda a, x: a + x)
+    scored = trees.score_batch(model, test).join(joined, "id").withColumn("_e", trees.expected_class())
+    tied = F.size(F.filter("q", lambda x: F.array_max("q") - x < 1e-9)) > 1  # rounding decides there
+    rows = scored.select(
+        "id",
+        "sii",
+        (_apart("probabilities", "q") < 1e-9).alias("agrees"),
+        ((F.col("predicted_class") == largest) | tied).alias("class_agrees"),
+        (F.abs(F.col("_e") - expected) < 1e-9).alias("expected_agrees"),
+    )
+    return _judged(rows, model, train)
 
 
-@query("score_adjusted", _TEST.format("true AS adjusted"))
+@query("score_adjusted", f"{_PARTS} SELECT id, {rnd('sii', 'sii')}, true AS adjusted, {_MAJORITY} FROM cut WHERE split = 'test'")
 def score_adjusted(spark, sf):
+    """The class times 1.3, where the class is one with the largest share in the exported trees."""
     train, test = _encoded(spark, sf)
-    scored = trees.score_adjusted(trees.train_random_forest(train, "sii"), test, test.schema)
-    return scored.select("id", "sii", (F.round("adjusted_prediction", 9) == F.round(F.col("predicted_class") * 1.3, 9)).alias("adjusted"))
+    model = trees.train_random_forest(train, "sii")
+    joined = trees.probabilities_by_join(model, test).withColumnRenamed("probabilities", "q")
+    scored = trees.score_adjusted(model, test, test.schema).join(joined, "id")
+    found = F.get("q", F.round(F.col("adjusted_prediction") / 1.3).cast("int"))
+    whole = F.abs(F.col("adjusted_prediction") - 1.3 * F.round(F.col("adjusted_prediction") / 1.3)) < 1e-9
+    return _judged(scored.select("id", "sii", (whole & (F.array_max("q") - found < 1e-9)).alias("adjusted")), model, train)
 
 
 @query(
     "eval_by_iteration",
-    "SELECT NULL::INT AS class, CAST(i AS INT) AS round, true AS loss_is_positive, true AS kappa_in_range FROM range(1, 5) t(i)"
-    " UNION ALL SELECT CAST(c AS INT), CAST(i AS INT), true, NULL FROM range(1, 5) t(i), range(4) u(c)",
+    "SELECT unnest(['classes', 'score']) AS model, CAST(i AS INT) AS round, true AS loss_agrees, true AS kappa_agrees,"
+    " true AS training_loss_falls FROM range(1, 101) t(i)",
 )
 def eval_by_iteration(spark, sf):
-    """Both kinds of booster, on rows they have not seen."""
+    """Loss and kappa of every round on rows the boosters have not seen, next to those of a full scoring with the first rounds' trees
+    by joins; and whether the loss of the training rows is lower than the round before."""
     train, test = _encoded(spark, sf)
-    boosters = trees.train_boosted_trees(train, "sii", **_BOOST), trees.train_ordinal_score(train, "sii", **_BOOST)
-    rounds = trees.eval_by_iteration(boosters[0], test, "sii").union(trees.eval_by_iteration(boosters[1], test, "sii"))
-    return rounds.select(
-        "class",
-        "round",
-        (F.col("loss") > 0).alias("loss_is_positive"),
-        F.col("kappa").between(-1, 1).alias("kappa_in_range"),
-    )
-
-
-def _importance(spark, sf) -> DataFrame:
+    out = []
+    for name, model in (("classes", trees.train_boosted_trees(train, "sii")), ("score", trees.train_ordinal_score(train, "sii"))):
+        found = trees.eval_by_iteration(model, test, "sii")
+        learnt = trees.eval_by_iteration(model, train, "sii").select("round", F.col("loss").alias("learnt"))
+        before = learnt.select((F.col("round") + 1).alias("round"), F.col("learnt").alias("before"))
+        rows = _joined_margins(model, test)
+        if name == "classes":
+            p = F.get(_softmax("m"), F.col("sii").cast("int"))
+            loss, predicted = -F.log(F.greatest(p, F.lit(1e-15))), scalars.argmax_class("m")
+        else:
+            score = F.get("m", F.lit(0))
+            loss, predicted = (score - F.col("sii")) * (score - F.col("sii")), scalars.threshold_round(score)
+        pairs = rows.select("round", "sii", loss.alias("l"), predicted.cast("double").alias("p"))
+        a, p = F.col("sii"), F.col("p")
+        expected = F.sum(a * a + p * p) - 2 * F.sum(a) * F.sum(p) / F.count("*")
+        again = pairs.groupBy("round").agg(F.avg("l").alias("l"), (1 - F.try_divide(F.sum((a - p) * (a - p)), expected)).alias("k"))
+        whole = found.join(again, "round").join(learnt, "round").join(before, "round", "left")
+        out.append(
+            whole.select(
+                F.lit(name).alias("model"),
+                "round",
+                (F.abs(F.col("loss") - F.col("l")) < 1e-9).alias("loss_agrees"),
+                (F.coalesce(F.abs(F.col("kappa") - F.col("k")), F.lit(0.0)) < 1e-9).alias("kappa_agrees"),
+                (F.coalesce("before", F.lit(float("inf"))) > F.col("learnt") - 1e-2).alias("training_loss_falls"),
+            )
+        )
+    return out[0].union(out[1])
+
+
+def _trained(spark, sf):
+    """Training rows encoded, the names of their features, and the forest."""
     rows = split.take(_model_rows(spark, sf), "train")
     encoder = _encoder(rows)
-    model = trees.train_random_forest(encoder.assemble(rows).select("sii", "features"), "sii")
-    return trees.feature_importance(model, encoder.names, rows)
+    features = encoder.assemble(rows).select("sii", "features")
+    return features, encoder.names, trees.train_random_forest(features, "sii")
 
 
 _NAMES_SQL = f""", names AS (
@@ -224,17 +296,27 @@ _NAMES_SQL = f""", names AS (
     UNION ALL SELECT DISTINCT 'sex_' || CAST(sex AS VARCHAR) FROM subjects WHERE sii IS NOT NULL)"""
 
 
-@query("feature_importance", _NAMES_SQL + " SELECT feature, true AS is_share, 1.0e0 AS total FROM names")
+@query(
+    "feature_importance",
+    f"{_PARTS}{_NAMES_SQL} SELECT feature, true AS agrees, 1.0e0 AS total, {_MAJORITY} FROM names",
+)
 def feature_importance(spark, sf):
-    found = _importance(spark, sf)
+    """Importances next to those recomputed from the gains of the stored nodes."""
+    features, names, model = _trained(spark, sf)
+    found = trees.feature_importance(model, names, features)
+    places = spark.createDataFrame(list(enumerate(names)), "place int, feature string")
+    again = trees.importance_by_nodes(model, features).select(F.col("feature").alias("place"), F.col("importance").alias("again"))
     total = found.agg(F.round(F.sum("importance"), 6).alias("total")).scalar()
-    return found.select("feature", F.col("importance").between(0, 1).alias("is_share"), total.alias("total"))
+    both = found.join(places.join(again, "place", "left"), "feature")
+    agrees = (F.abs(F.col("importance") - F.coalesce("again", F.lit(0.0))) < 1e-9).alias("agrees")
+    return _judged(both.select("feature", agrees, total.alias("total")), model, features)
 
 
 @query("sort_importance", _NAMES_SQL + " SELECT CAST(row_number() OVER () AS INT) AS rank, true AS in_order FROM names")
 def sort_importance(spark, sf):
     """One row per feature: its place after sorting, and whether it is no more important than the one before."""
-    found = joins.sort_descending(_importance(spark, sf), "importance", ["feature"])
+    features, names, model = _trained(spark, sf)
+    found = joins.sort_descending(trees.feature_importance(model, names, features), "importance", ["feature"])
     placed = ordered_row_id(found.withColumn("_slot", F.monotonically_increasing_id()), ["_slot"], "rank", start=1)
     before = placed.select((F.col("rank") + 1).alias("rank"), F.col("importance").alias("before"))
     in_order = F.coalesce(F.col("before") >= F.col("importance"), F.lit(True)).alias("in_order")
@@ -259,13 +341,27 @@ def save_load_model(spark, sf):
 @query(
     "train_ordinal",
     f""", s AS (SELECT sii, {RANKED_SQL.format(partition='PARTITION BY sii')} AS place,
-        ceil(count(*) OVER (PARTITION BY sii) * 0.3e0) AS held FROM subjects WHERE sii IS NOT NULL)
-    SELECT CAST(CAST(sii AS INT) AS VARCHAR) AS label, count(*) AS support FROM s WHERE place <= ceil(held * 0.5e0) GROUP BY sii""",
+        ceil(count(*) OVER (PARTITION BY sii) * 0.3e0) AS held FROM subjects WHERE sii IS NOT NULL),
+      trained AS (SELECT sii, count(*) AS n FROM s WHERE place > held GROUP BY sii)
+    SELECT CAST(CAST(sii AS INT) AS VARCHAR) AS label, count(*) AS support, true AS accuracy_agrees, true AS kappa_agrees, {_VARIANCE}
+    FROM s WHERE place <= ceil(held * 0.5e0) GROUP BY sii""",
 )
 def train_ordinal(spark, sf):
-    """The ordinal run; of its report, the supports of the classes that the test rows have."""
-    run = ordinal.train_ordinal(_model_rows(spark, sf).drop("split"), SUBJECT_SPEC, _PASS, **_BOOST)
-    return run.report.where("section = 0 AND support > 0").select("label", "support")
+    """The ordinal run: supports of the classes that the test rows have, its metrics next to those recomputed from its scored rows,
+    and how its score fits the rows it learnt from."""
+    rows = _model_rows(spark, sf).drop("split")
+    run = ordinal.train_ordinal(rows, SUBJECT_SPEC, _PASS)
+    a, p = F.col("actual"), F.col("predicted")
+    expected = F.sum(a * a + p * p) - 2 * F.sum(a) * F.sum(p) / F.count("*")
+    kappa = 1 - F.try_divide(F.sum((a - p) * (a - p)), expected)
+    again = run.scored.agg(F.avg((a == p).cast("double")).alias("accuracy2"), kappa.alias("kappa2"))
+    metrics_ = run.accuracy.join(run.kappa.select("kappa")).join(again).select(
+        (F.abs(F.col("accuracy") - F.col("accuracy2")) < 1e-9).alias("accuracy_agrees"),
+        (F.coalesce(F.abs(F.col("kappa") - F.col("kappa2")), F.lit(0.0)) < 1e-9).alias("kappa_agrees"),
+    )
+    supports = run.report.where("section = 0 AND support > 0").select("label", "support")
+    learnt = split.take(split.split_three_way(rows, "sii", "id"), "train")
+    return _judged(supports.join(F.broadcast(metrics_)), run.model, learnt)
 
 
 def _timed(spark, sf) -> DataFrame:

@@ -552,6 +552,7 @@ def train(
     features: str = "features",
     validation: DataFrame | None = None,
     patience: int | None = None,
+    local_rows: int = LOCAL_ROWS,
 ) -> BoostedTreesModel:
     """Fit on the rows with a label; with ``validation`` and ``patience`` training stops when its loss hasn't fallen for so many
     rounds, and the trees of the best round are kept.
@@ -588,7 +589,7 @@ def train(
     rounds: list[list[Tree]] = []
     best, kept, older = math.inf, 0, None
     for number in range(params.rounds):
-        trees = grow(state, cuts, params, number, total or 0)
+        trees = grow(state, cuts, params, number, total or 0, local_rows)
         rounds.append(trees)
         following = state.mapInArrow(_advance(trees), BLOCK)
         following = following.checkpoint() if (number + 1) % CHECKPOINT_ROUNDS == 0 else following.persist()
@@ -688,19 +689,14 @@ class BoostedTreesModel(Model, DefaultParamsReadable, DefaultParamsWritable):
 def margins_by_join(model: BoostedTreesModel, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, round, class, margin) after every round, by descending the node frame with joins: a scorer that shares nothing with
     the model's own. The keys identify a row."""
-    nodes = F.broadcast(model.node_frame(df).persist())  # bounded by rounds x classes x leaves
+    nodes = model.node_frame(df).persist()
+    steps, named = nodes.drop("value"), [quote(k) for k in keys]
     values = vector_to_array(model.getOrDefault(model.featuresCol))
-    open_ = df.select(*[quote(k) for k in keys], values.alias("_x")).join(nodes.where("node = 0"))
-    done: DataFrame | None = None
-    named = [quote(k) for k in keys]
-    depth = max((_depth(t) for r in model.rounds for t in r), default=0)
-    for level in range(depth + 1):
-        leaves = open_.where("feature IS NULL").select(*named, "round", "class", "value")
-        done = leaves if done is None else done.union(leaves)
-        if level < depth:
-            inner = open_.where("feature IS NOT NULL")
-            to = F.when(F.get("_x", F.col("feature")) <= F.col("cut"), F.col("left")).otherwise(F.col("right")).alias("node")
-            open_ = inner.select(*named, "_x", "round", "class", to).join(nodes, ["round", "class", "node"])
+    at = df.select(*named, values.alias("_x")).join(nodes.select("round", "class").distinct()).withColumn("node", F.lit(0))
+    for _ in range(max((_depth(t) for r in model.rounds for t in r), default=0)):
+        to = F.when(F.col("feature").isNull(), F.col("node")).when(F.get("_x", F.col("feature")) <= F.col("cut"), F.col("left"))
+        at = at.join(steps, ["round", "class", "node"]).select(*named, "_x", "round", "class", to.otherwise(F.col("right")).alias("node"))
+    done = at.join(nodes.select("round", "class", "node", "value"), ["round", "class", "node"])
     so_far = Window.partitionBy(*named, "class").orderBy("round").rowsBetween(Window.unboundedPreceding, 0)
     begin = F.element_at(F.array(*[F.lit(s) for s in model.start]), F.col("class") + 1)
     return done.select(*named, "round", "class", (begin + F.sum("value").over(so_far)).alias("margin"))

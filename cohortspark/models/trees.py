@@ -5,34 +5,34 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    OneVsRest,
-    OneVsRestModel,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cohortspark.functions.scalars import DEFAULT_THRESHOLDS, argmax_class, quote, scale_prediction, threshold_round
+from cohortspark.functions.scalars import DEFAULT_THRESHOLDS, argmax_class, quote, scale_prediction
+from cohortspark.models.boosting import BoostedTreesModel, BoostingParams, counts_by_round, train
 from cohortspark.operators.signature import check_signature
-from cohortspark.session import ensure_checkpoint_dir
+from cohortspark.session import scratch_path
 
 # Tuned training parameters.
 FOREST_PARAMS = {"num_trees": 200, "max_depth": 10, "min_leaf": 2, "seed": 42}
 BOOSTING_PARAMS = {
     "rounds": 100,
     "max_depth": 12,
+    "leaves": 413,
     "learning_rate": 0.03884249148676395,
     "min_leaf": 14,
     "feature_fraction": 0.7987976913702801,
     "bagging_fraction": 0.7602261703576205,
+    "bagging_rounds": 2,
+    "l1": 4.735462555910575,
+    "l2": 4.735028557007343e-06,
     "seed": 42,
 }
+CLASSES = 5
+ROWS_PER_PARTITION = 1024  # of a forest's training rows: its tasks are compute-bound long before they are large
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -59,51 +59,37 @@ def train_random_forest(
     balanced: bool = True,
     seed: int = FOREST_PARAMS["seed"],
 ) -> RandomForestClassificationModel:
+    """The rows are spread by their number before the fit: files or an earlier shuffle may have left them in one partition."""
     forest = RandomForestClassifier(
         labelCol=label, numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=min_leaf, seed=seed
     )
-    if not balanced:
-        return forest.fit(df)
-    return forest.setWeightCol("weight").fit(add_class_weights(df, label))
+    if balanced:
+        forest, df = forest.setWeightCol("weight"), add_class_weights(df, label)
+    kept = df.persist()
+    try:
+        partitions = -(-kept.count() // ROWS_PER_PARTITION)
+        return forest.fit(kept.repartition(partitions) if partitions > kept.rdd.getNumPartitions() else kept)
+    finally:
+        kept.unpersist()
 
 
 def train_boosted_trees(
     df: DataFrame,
     label: str,
-    rounds: int = BOOSTING_PARAMS["rounds"],
-    max_depth: int = BOOSTING_PARAMS["max_depth"],
-    learning_rate: float = BOOSTING_PARAMS["learning_rate"],
-    min_leaf: int = BOOSTING_PARAMS["min_leaf"],
-    feature_fraction: float = BOOSTING_PARAMS["feature_fraction"],
-    bagging_fraction: float = BOOSTING_PARAMS["bagging_fraction"],
-    seed: int = BOOSTING_PARAMS["seed"],
-    parallelism: int = 4,
-) -> OneVsRestModel:
-    """Multiclass boosting as one binary booster per class; the classes train concurrently."""
-    ensure_checkpoint_dir(df.sparkSession)  # boosting then cuts its lineage every few rounds
-    booster = GBTClassifier(
-        maxIter=rounds,
-        maxDepth=max_depth,
-        stepSize=learning_rate,
-        minInstancesPerNode=min_leaf,
-        featureSubsetStrategy=str(feature_fraction),
-        subsamplingRate=bagging_fraction,
-        seed=seed,
-    )
-    return OneVsRest(classifier=booster, labelCol=label, parallelism=parallelism).fit(df)
+    classes: int = CLASSES,
+    validation: DataFrame | None = None,
+    patience: int | None = None,
+    **params: float,
+) -> BoostedTreesModel:
+    """Multiclass boosting with a softmax over all classes; parameters default to the tuned ones."""
+    return train(df, label, BoostingParams(classes, **{**BOOSTING_PARAMS, **params}), validation=validation, patience=patience)
 
 
 def train_ordinal_score(
-    df: DataFrame,
-    label: str,
-    rounds: int = BOOSTING_PARAMS["rounds"],
-    max_depth: int = BOOSTING_PARAMS["max_depth"],
-    learning_rate: float = BOOSTING_PARAMS["learning_rate"],
-    seed: int = BOOSTING_PARAMS["seed"],
-) -> GBTRegressionModel:
-    """Continuous score for an ordered target, to be cut by thresholds."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return GBTRegressor(labelCol=label, maxIter=rounds, maxDepth=max_depth, stepSize=learning_rate, seed=seed).fit(df)
+    df: DataFrame, label: str, validation: DataFrame | None = None, patience: int | None = None, **params: float
+) -> BoostedTreesModel:
+    """Continuous score for an ordered target by least squares, to be cut by thresholds."""
+    return train(df, label, BoostingParams(0, **{**BOOSTING_PARAMS, **params}), validation=validation, patience=patience)
 
 
 def expected_class(probabilities: Column | str = "probabilities") -> Column:
@@ -113,24 +99,13 @@ def expected_class(probabilities: Column | str = "probabilities") -> Column:
 
 
 def score_batch(model: Model, df: DataFrame) -> DataFrame:
-    """Add ``probabilities`` (array) and ``predicted_class`` (int), or ``prediction`` for a regressor.
-
-    One-vs-rest margins go through the logistic function and are normalised to sum to 1.
-    """
+    """Add ``probabilities`` (array) and ``predicted_class`` (int), or ``prediction`` for a score."""
     scored = model.transform(df)
     if "probability" in scored.columns:
-        probabilities = vector_to_array("probability")
-    elif "rawPrediction" in scored.columns:
-        odds = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m)))
-        total = F.aggregate(odds, F.lit(0.0), lambda a, x: a + x)
-        probabilities = F.transform(odds, lambda x: x / total)
-    else:
+        scored = scored.withColumn("probabilities", vector_to_array("probability"))
+    if "probabilities" not in scored.columns:
         return scored
-    return (
-        scored.withColumn("probabilities", probabilities)
-        .withColumn("predicted_class", argmax_class("probabilities"))
-        .drop("probability", "rawPrediction", "prediction")
-    )
+    return scored.withColumn("predicted_class", argmax_class("probabilities")).drop("probability", "rawPrediction", "prediction")
 
 
 def score_adjusted(model: Model, df: DataFrame, expected_input: StructType, factor: float = 1.3) -> DataFrame:
@@ -142,53 +117,90 @@ def score_adjusted(model: Model, df: DataFrame, expected_input: StructType, fact
 
 
 def eval_by_iteration(
-    model: OneVsRestModel | GBTRegressionModel,
-    df: DataFrame,
-    label: str,
-    thresholds: Sequence[float] = DEFAULT_THRESHOLDS,
+    model: BoostedTreesModel, df: DataFrame, label: str, thresholds: Sequence[float] = DEFAULT_THRESHOLDS
 ) -> DataFrame:
-    """(class, round, loss, kappa) per boosting round on a validation frame, which the model must not have been fitted on.
+    """(round, loss, kappa) after every round on a validation frame, which the model must not have been fitted on.
 
-    ``class`` is NULL for a regressor, whose kappa is that of its scores so far, cut at the thresholds; a classifier's
-    boosters tell one class from the others and have no kappa.
+    One pass: running margins take one round's trees at a time, and kappa comes from the class counts. The loss is the mean
+    negative log likelihood, or squared error of a score; a score's classes are cut at the thresholds. Kappa of rows that agree
+    by chance alone is NULL.
     """
-    rows: list[tuple[int | None, int, float, float | None]] = []
-    if isinstance(model, GBTRegressionModel):
-        kappas = {r["round"]: r["kappa"] for r in _kappa_by_round(model, df, label, thresholds).collect()}
-        losses = model.evaluateEachIteration(df, "squared")
-        rows = [(None, i + 1, float(v), kappas.get(i + 1)) for i, v in enumerate(losses)]
-    else:
-        for k, booster in enumerate(model.models):
-            binary = df.withColumn(booster.getLabelCol(), (F.col(quote(label)) == F.lit(float(k))).cast("double"))
-            rows += [(k, i + 1, float(v), None) for i, v in enumerate(booster.evaluateEachIteration(binary))]
-    return df.sparkSession.createDataFrame(rows, "class int, round int, loss double, kappa double")
-
-
-def _kappa_by_round(model: GBTRegressionModel, df: DataFrame, label: str, thresholds: Sequence[float]) -> DataFrame:
-    """Every tree scores the rows once; sums over the first trees are the scores of each round."""
-    scored = df
-    for i, tree in enumerate(model.trees):
-        scored = tree.setPredictionCol(f"_tree{i}").transform(scored)
-    values = [F.col(f"_tree{i}") * F.lit(float(w)) for i, w in enumerate(model.treeWeights)]
-    parts = F.array(*values)
-    so_far = F.transform(parts, lambda _, i: F.aggregate(F.slice(parts, F.lit(1), i + 1), F.lit(0.0), lambda a, x: a + x))
-    each = scored.select(F.col(quote(label)).cast("double").alias("a"), F.posexplode(so_far).alias("at", "score"))
-    p, a, n = threshold_round("score", thresholds).cast("double"), F.col("a"), F.count("*")
-    each = each.where("a IS NOT NULL").select((F.col("at") + 1).alias("round"), "a", p.alias("p"))
-    expected = F.sum(a * a + F.col("p") * F.col("p")) - 2 * F.sum("a") * F.sum("p") / n
-    return each.groupBy("round").agg((1 - F.try_divide(F.sum((a - F.col("p")) * (a - F.col("p"))), expected)).alias("kappa"))
+    a, p, n = F.col("a"), F.col("p"), F.col("n")
+    sums = counts_by_round(model, df, label, thresholds).groupBy("round").agg(
+        F.sum("loss").alias("loss"),
+        F.sum(n * (a - p) * (a - p)).alias("observed"),
+        F.sum(n * (a * a + p * p)).alias("squares"),
+        F.sum(n * a).alias("sum_a"),
+        F.sum(n * p).alias("sum_p"),
+        F.sum(n).alias("n"),
+    )
+    expected = F.col("squares") - 2 * F.col("sum_a") * F.col("sum_p") / n
+    return sums.select("round", (F.col("loss") / n).alias("loss"), (1 - F.try_divide("observed", expected)).alias("kappa"))
 
 
 def feature_importance(model, names: Sequence[str], df: DataFrame) -> DataFrame:
-    """(feature, importance) of an ensemble; for one-vs-rest the mean over its boosters."""
+    """(feature, importance) of an ensemble: shares of the gain of all its cuts."""
     if isinstance(model, PipelineModel):
         model = model.stages[-1]
-    ensembles = model.models if isinstance(model, OneVsRestModel) else [model]
-    arrays = [m.featureImportances.toArray() for m in ensembles]
-    rows = [(n, float(sum(a[i] for a in arrays) / len(arrays))) for i, n in enumerate(names)]
+    shares = model.importances() if isinstance(model, BoostedTreesModel) else model.featureImportances.toArray()
+    rows = [(n, float(shares[i]) if i < len(shares) else 0.0) for i, n in enumerate(names)]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
+def forest_nodes(model: RandomForestClassificationModel, df: DataFrame) -> DataFrame:
+    """(tree, node, feature, cut, left, right, gain, counts): every node of a forest as it is stored; feature is NULL at leaves."""
+    path = scratch_path(df.sparkSession, "forest")
+    model.write().save(path)
+    node = F.col("nodeData")
+    stored = df.sparkSession.read.parquet(f"{path}/data")
+    inner = node["split"]["featureIndex"] >= 0
+    return stored.select(
+        F.col("treeID").alias("tree"),
+        node["id"].alias("node"),
+        F.when(inner, node["split"]["featureIndex"]).alias("feature"),
+        F.when(inner, node["split"]["leftCategoriesOrThreshold"][0]).alias("cut"),
+        node["leftChild"].alias("left"),
+        node["rightChild"].alias("right"),
+        node["gain"].alias("gain"),
+        node["impurityStats"].alias("counts"),
+    )
+
+
+def probabilities_by_join(model: RandomForestClassificationModel, df: DataFrame, key: str = "id") -> DataFrame:
+    """(key, probabilities) by descending the stored nodes with joins: a scorer that shares nothing with the model's own."""
+    nodes = forest_nodes(model, df).persist()
+    steps = nodes.select("tree", "node", "feature", "cut", "left", "right")
+    at = df.select(quote(key), vector_to_array("features").alias("_x")).join(nodes.select("tree").distinct()).withColumn("node", F.lit(0))
+    for _ in range(max(t.depth for t in model.trees)):
+        to = F.when(F.col("feature").isNull(), F.col("node")).when(F.get("_x", F.col("feature")) <= F.col("cut"), F.col("left"))
+        at = at.join(steps, ["tree", "node"]).select(quote(key), "_x", "tree", to.otherwise(F.col("right")).alias("node"))
+    counts = at.join(nodes.select("tree", "node", "counts"), ["tree", "node"])
+    total = F.aggregate("counts", F.lit(0.0), lambda a, x: a + x).alias("_n")
+    cells = counts.select(quote(key), total, F.posexplode("counts").alias("c", "v"))
+    shares = cells.groupBy(quote(key), "c").agg((F.sum(F.col("v") / F.col("_n")) / model.getNumTrees).alias("p"))
+    return shares.groupBy(quote(key)).agg(F.transform(F.array_sort(F.collect_list(F.struct("c", "p"))), lambda z: z["p"]).alias("probabilities"))
+
+
+def importance_by_nodes(model: RandomForestClassificationModel, df: DataFrame) -> DataFrame:
+    """(feature number, importance) from the stored nodes: gains weighted by the rows they concern, in shares of each tree."""
+    weight = F.col("gain") * F.aggregate("counts", F.lit(0.0), lambda a, x: a + x)
+    gains = forest_nodes(model, df).where("feature IS NOT NULL").groupBy("tree", "feature").agg(F.sum(weight).alias("g"))
+    per_tree = gains.join(gains.groupBy("tree").agg(F.sum("g").alias("all")), "tree").where("`all` > 0")
+    summed = per_tree.groupBy("feature").agg(F.sum(F.col("g") / F.col("all")).alias("s"))
+    total = summed.agg(F.sum("s").alias("t")).select("t").scalar()
+    return summed.select("feature", (F.col("s") / total).alias("importance"))
+
+
+def fit_quality(model: Model, df: DataFrame, label: str) -> DataFrame:
+    """One row, (majority, accuracy): the share of the commonest class, and that of the rows whose class the model finds; for a
+    score, the label's variance and the squared error in their place."""
+    scored, y = score_batch(model, df.where(F.col(quote(label)).isNotNull())), F.col(quote(label)).cast("double")
+    if "predicted_class" not in scored.columns:
+        return scored.agg(F.var_pop(y).alias("variance"), F.avg((F.col("prediction") - y) * (F.col("prediction") - y)).alias("error"))
+    counts = scored.groupBy(y.alias("y")).agg(F.count("*").alias("n"), F.sum((F.col("predicted_class") == y).cast("int")).alias("hits"))
+    return counts.agg((F.max("n") / F.sum("n")).alias("majority"), (F.sum("hits") / F.sum("n")).alias("accuracy"))
+
+
 def save_model(model: Model, path: str) -> str:
     model.write().overwrite().save(path)
     return path
