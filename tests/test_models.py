@@ -17,6 +17,7 @@ SPEC = CohortSpec(
     function_score="signal", bmi="bmi", total="total", hours="hours", items=(),
 )
 SMALL = {"num_trees": 5, "max_depth": 4}
+PLAIN = {"l1": 0.0, "bagging_fraction": 1.0, "feature_fraction": 1.0}
 BOOST = {"classes": 3, "rounds": 3, "max_depth": 3, "learning_rate": 0.3, "min_leaf": 1, "l1": 0.0}
 
 
@@ -58,7 +59,7 @@ def test_boosting_learns_every_class(encoded):
 
 
 def test_ordinal_score_and_adjustment(encoded):
-    model = trees.train_ordinal_score(encoded, "y", rounds=5, max_depth=3, learning_rate=0.5, min_leaf=1, l1=0.0)
+    model = trees.train_ordinal_score(encoded, "y", rounds=5, max_depth=3, learning_rate=0.5, min_leaf=1, **PLAIN)
     scored = trees.score_adjusted(model, encoded, encoded.schema)
     row = scored.first()
     assert row["adjusted_prediction"] == pytest.approx(1.3 * row["prediction"])
@@ -202,7 +203,7 @@ def test_histogram_of_finite_values(spark):
 def test_ordinal_run(spark, separable):
     from cohortspark.plans.ordinal import train_ordinal
 
-    run = train_ordinal(separable, SPEC, n_classes=3, rounds=3, max_depth=2, learning_rate=0.5, l1=0.0)
+    run = train_ordinal(separable, SPEC, n_classes=3, rounds=3, max_depth=2, learning_rate=1.0, **PLAIN)  # the first tree at full weight
     assert run.accuracy.first()["accuracy"] > 0.8 and len(run.thresholds.thresholds) == 2
     rounds = run.by_round.orderBy("round").collect()
     assert [r["round"] for r in rounds] == [1, 2, 3]
