@@ -118,6 +118,28 @@ def optimize_thresholds_fine(spark, sf):
     return spark.createDataFrame([(*best.thresholds, best.kappa)], "t1 double, t2 double, t3 double, t4 double, kappa double")
 
 
+@query(
+    "optimize_thresholds_exact",
+    f""", rated AS (SELECT actual FROM predictions WHERE actual IS NOT NULL AND score IS NOT NULL)
+    SELECT count(*) AS "rows", true AS in_order, true AS kappa_agrees, true AS not_below_grid FROM rated""",
+)
+def optimize_thresholds_exact(spark, sf):
+    """Of the exact optimum: kappa of its cuts recomputed from the rows, and that no cuts on the fine grid are better."""
+    rows = predictions(spark, sf)
+    best, grid = thresholds.optimize_thresholds_exact(rows, "actual", "score"), thresholds.optimize_thresholds(rows, "actual", "score")
+    a, p = F.col("actual"), scalars.threshold_round("score", best.thresholds)
+    rated = rows.where("actual IS NOT NULL AND score IS NOT NULL").select("actual", p.alias("p"))
+    p = F.col("p")
+    expected = F.sum(a * a + p * p) - 2 * F.sum(a) * F.sum(p) / F.count("*")
+    again = rated.agg(F.count("*").alias("rows"), (1 - F.sum((a - p) * (a - p)) / expected).alias("kappa"))
+    return again.select(
+        "rows",
+        F.lit(list(best.thresholds) == sorted(best.thresholds)).alias("in_order"),
+        (F.abs(F.col("kappa") - F.lit(best.kappa)) < 1e-9).alias("kappa_agrees"),
+        F.lit(best.kappa >= grid.kappa - 1e-12).alias("not_below_grid"),
+    )
+
+
 _PASS = ("enmo_mean", "light_mean")
 _LABELLED = f"s AS (SELECT id, sii FROM subjects WHERE sii IS NOT NULL), {split_cte('cut', '0.2e0', 's')}"
 _TEST = f", {_LABELLED} SELECT id, {rnd('sii', 'sii')}, {{}} FROM cut WHERE split = 'test'"

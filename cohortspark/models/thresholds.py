@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.functions.scalars import quote
+from cohortspark.session import ensure_checkpoint_dir
 
 COARSE_CUTS = tuple(0.25 * i for i in range(1, 16))
 
@@ -134,3 +135,106 @@ def optimize_thresholds(
             break
         ratio, chosen, trial = num / den, picks, num / den
     return ThresholdFit(tuple(cuts[i] for i in chosen), float(1.0 - ratio))
+
+
+def optimize_thresholds_exact(df: DataFrame, actual: str, score: str, n_classes: int = 5) -> ThresholdFit:
+    """The cutpoints with the highest kappa of all there are: every distinct score can be a cut, and infinity an empty class.
+
+    Rows are counted by (score, class), range-partitioned by score and written once; running class counts start from the totals of
+    the partitions before. For a trial ratio of observed to expected disagreement the cost of cut i depends on the counts below it
+    alone, so a partition's best cuts i to j, for all i and j, are one small matrix, and partitions combine from left to right. The
+    ratio of the best cuts is the next trial, until it repeats: a pass over the counts each time, a handful in all. The driver holds
+    one such matrix for each partition. Rows without class or score are left out; scores in a tie for the best may be any of them.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    c, s = F.col(quote(actual)).cast("int"), F.col(quote(score)).cast("double")
+    rows = df.select(c.alias("c"), (s + 0.0).alias("s")).where("c IS NOT NULL AND s IS NOT NULL AND NOT isnan(s)")
+    counts = rows.groupBy("s").agg(*[F.count(F.when(F.col("c") == k, 1)).alias(f"n{k}") for k in range(n_classes)], F.count("*").alias("n"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kept = counts.repartitionByRange(parts, "s").sortWithinPartitions("s").withColumn("part", F.spark_partition_id()).checkpoint()
+    totals = {r[0]: np.array(r[1:], float) for r in kept.groupBy("part").agg(*[F.sum(x) for x in kept.columns[1:-1]]).collect()}
+    per_class = sum((t[:-1] for t in totals.values()), np.zeros(n_classes))
+    if per_class.sum() != sum(t[-1] for t in totals.values()):
+        raise ValueError(f"a class is outside 0..{n_classes - 1}")
+    if not totals:
+        return ThresholdFit((np.inf,) * (n_classes - 1), None)
+    before, start = np.zeros(n_classes), {}
+    for part in sorted(totals):
+        start[part], before = before, before + totals[part][:-1]
+
+    gaps = (np.arange(n_classes)[:, None] - np.arange(n_classes)[None, :]) ** 2.0
+    expected = gaps @ per_class / per_class.sum()
+    ratio, best, trial = np.inf, None, 1.0
+    while True:
+        found = kept.mapInArrow(_segment(start, gaps, expected, trial), "part int, cells array<double>")
+        pieces = {r.part: np.array(r.cells) for r in found.collect()}
+        end = _costs(per_class[None, :], gaps, expected, trial)  # a cut above all scores
+        cuts = _join([*(pieces[p] for p in sorted(pieces)), _best_runs(np.array([np.inf]), end, per_class[None, :])], n_classes)
+        below = np.vstack([np.zeros(n_classes), cuts[1], per_class])
+        own = np.diff(below, axis=0)
+        num, den = float((gaps * own).sum()), float((expected * own.sum(axis=1)).sum())
+        if den <= 0:
+            return ThresholdFit(tuple(cuts[0]), None)
+        if best is not None and num / den >= ratio - 1e-12:
+            return ThresholdFit(best, float(1 - ratio))
+        ratio, best, trial = num / den, tuple(cuts[0]), num / den
+
+
+def _costs(below: np.ndarray, gaps: np.ndarray, expected: np.ndarray, trial: float) -> np.ndarray:
+    """cost[i, x]: what cut i at x, with the given class counts below, adds to observed - trial * expected disagreement."""
+    each = gaps @ below.T - trial * np.outer(expected, below.sum(axis=1))
+    return each[:-1] - each[1:]
+
+
+def _best_runs(scores: np.ndarray, cost: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """For every i <= j the least cost of cuts i to j within a segment, with the cuts and the counts below them, as numbers in a row."""
+    k, n = cost.shape[0], below.shape[1]
+    out = []
+    for i in range(k):
+        reach, origins = cost[i], []
+        for j in range(i, k):
+            if j > i:
+                lowest = np.minimum.accumulate(reach)
+                origins.append(np.maximum.accumulate(np.where(reach == lowest, np.arange(len(reach)), 0)))
+                reach = cost[j] + lowest
+            picks = [int(reach.argmin())]
+            for origin in reversed(origins):
+                picks.insert(0, int(origin[picks[0]]))
+            row = np.full((k, 1 + n), np.nan)
+            row[i : j + 1, 0], row[i : j + 1, 1:] = scores[picks], below[picks]
+            out.append(np.concatenate([[i, j, reach.min()], row.ravel()]))
+    return np.concatenate(out)
+
+
+def _segment(start: dict[int, np.ndarray], gaps: np.ndarray, expected: np.ndarray, trial: float):
+    """Map task: the best runs of cuts of its partition, whose counts it holds."""
+
+    def work(batches):
+        import pyarrow as pa
+
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        part = table.column("part")[0].as_py()
+        own = np.array([table.column(f"n{k}").to_numpy() for k in range(len(expected))], float).T
+        below = start[part] + np.cumsum(own, axis=0) - own  # strictly below each score
+        cells = _best_runs(table.column("s").to_numpy(), _costs(below, gaps, expected, trial), below)
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "cells": pa.array([cells.tolist()], pa.list_(pa.float64()))})
+
+    return work
+
+
+def _join(pieces: list[np.ndarray], n_classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The best cuts over segments in order: each takes a run of the cuts that those before have left."""
+    k = n_classes - 1
+    best: list[tuple[float, np.ndarray] | None] = [(0.0, np.full((k, 1 + n_classes), np.nan)), *[None] * k]
+    for piece in pieces:
+        now = list(best)
+        for row in piece.reshape(-1, 3 + k * (1 + n_classes)):
+            i, j, cost, cells = int(row[0]), int(row[1]), row[2], row[3:].reshape(k, -1)
+            if best[i] is not None and (now[j + 1] is None or best[i][0] + cost < now[j + 1][0]):
+                now[j + 1] = (best[i][0] + cost, np.where(np.isnan(cells), best[i][1], cells))
+        best = now
+    return best[k][1][:, 0], best[k][1][:, 1:]
