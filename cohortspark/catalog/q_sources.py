@@ -56,6 +56,18 @@ def read_parquet_table(spark, sf):
     )
 
 
+@query(
+    "read_parquet_filtered",
+    f"SELECT l_orderkey, l_linenumber, {rnd('l_quantity', 'l_quantity')}, {rnd('l_extendedprice', 'l_extendedprice')} FROM lineitem"
+    " WHERE l_extendedprice > 30000 AND l_quantity <= 45 AND NOT isnan(l_extendedprice) AND NOT isnan(l_quantity)",
+)
+def read_parquet_filtered(spark, sf):
+    """Filters on floating columns that the scan checks against its row groups."""
+    filters = [("l_extendedprice", ">", 30000.0), ("l_quantity", "<=", 45.0)]
+    found = readers.read_parquet(spark, f"{sf}/lineitem.parquet", filters=filters)
+    return found.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+
+
 def _series_files(spark, sf) -> str:
     """Sensor files as stored by the devices: padded participant folders, hyphenated flag."""
     stored = clean.conform_schema(series(spark, sf), SERIES_SCHEMA).withColumn("id", F.lpad("id", 8, "0"))
@@ -79,6 +91,30 @@ def read_series_missing(spark, sf):
     return readers.read_series(spark, roots, skip_unreadable=True)
 
 
+@query(
+    "read_series_filtered",
+    _series_sql("lpad(id, 8, '0')") + " WHERE CAST(enmo AS FLOAT) > 60 AND NOT isnan(enmo) AND light IS NOT NULL AND NOT isnan(light) AND light >= 2",
+)
+def read_series_filtered(spark, sf):
+    return readers.read_series(spark, _series_files(spark, sf), filters=[("enmo", ">", 60.0), ("light", ">=", 2.0)])
+
+
+@query(
+    "unreadable_files",
+    "SELECT 'missing root' AS reason, CAST(1 AS BIGINT) AS files, count(*) AS rows_read FROM series"
+    " UNION ALL SELECT 'no Parquet footer', count(DISTINCT id), count(*) FROM series",
+)
+def unreadable_files(spark, sf):
+    """Of a series with one spoilt file for each participant, and of a missing root: what is reported, and that no sound row is lost."""
+    folder = _series_files(spark, sf)
+    spoilt = series(spark, sf).select(F.lpad("id", 8, "0").alias("id")).distinct().withColumn("value", F.concat(F.lit("not Parquet "), "id"))
+    spoilt.repartition("id").write.mode("append").partitionBy("id").text(folder)
+    roots = [folder, scratch_path(spark, "absent")]
+    rows = readers.read_series(spark, roots, skip_unreadable=True).agg(F.count("*").alias("n"))
+    found = readers.unreadable_files(spark, roots).groupBy("reason").agg(F.count("*").alias("files"))
+    return found.withColumn("rows_read", rows.select("n").scalar())
+
+
 @query("read_catalog_table", _subject_sql())
 def read_catalog_table(spark, sf):
     name = writers.save_table(subjects(spark, sf), _name("subjects"), scratch_path(spark, "table"), stamped=False)

@@ -141,3 +141,51 @@ def test_shared_folder_comes_from_the_session():
     assert os.path.isdir(shared_dir(Session("local[2]")))
     with pytest.raises(RuntimeError):
         shared_dir(Session("spark://host:7077"))
+
+
+def test_filters_on_floats_reach_the_scan(spark, tmp_path):
+    """The comparison is pushed and row groups without a match are skipped; NaN and NULL meet no filter."""
+    path = str(tmp_path / "t")
+    rows = [(float(i), i) for i in range(1000)] + [(math.nan, -1), (None, -2)]
+    spark.createDataFrame(rows, "v double, k int").repartitionByRange(4, "v").write.parquet(path)
+    found = readers.read_parquet(spark, path, filters=[("v", ">", 990.5), ("k", "<>", 999)])
+    assert "GreaterThan(v,990.5)" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.k for r in found.collect()) == list(range(991, 999))
+    assert sorted(r.k for r in readers.read_parquet(spark, path, filters=[("v", "in", [1.0, 2.0])]).collect()) == [1, 2]
+    assert readers.read_parquet(spark, path, filters=[("v", ">=", 0.0)]).count() == 1000
+    with pytest.raises(ValueError):
+        readers.read_parquet(spark, path, filters=[("v", "like", 1)])
+
+
+def test_series_filter_uses_the_stored_spelling(spark, tmp_path):
+    frame = spark.createDataFrame([("a", 1.0, 5), ("a", math.nan, 6), ("b", 3.0, 7)], "id string, `non-wear_flag` float, step long")
+    frame.write.partitionBy("id").parquet(str(tmp_path / "s"))
+    found = readers.read_series(spark, str(tmp_path / "s"), filters=[("non_wear_flag", ">", 0.5)])
+    assert "GreaterThan(" in found._jdf.queryExecution().executedPlan().toString().replace("`", "")
+    assert sorted(r.step for r in found.collect()) == [5, 7]
+
+
+def test_unreadable_files_are_listed_with_reasons(spark, tmp_path):
+    root = tmp_path / "s"
+    frame = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "id string, step long")
+    frame.write.partitionBy("id").parquet(str(root))
+    victim = next((root / "id=b").glob("*.parquet"))
+    short = victim.read_bytes()[:-30]
+    victim.write_bytes(short)  # beside a checksum that is wrong now
+    (root / "id=f").mkdir()
+    (root / "id=f" / "part-0.parquet").write_bytes(short)
+    (root / "id=d").mkdir()
+    (root / "id=d" / "part-0.parquet").write_bytes(b"")
+    (root / "id=e").mkdir()
+    (root / "id=e" / "part-0.parquet").write_bytes(b"PAR1 damaged footer PAR1")
+    roots = [str(root), str(tmp_path / "gone")]
+    found = {r.path.split("/")[-2 if "part" in r.path else -1]: (r.reason, r.bytes) for r in readers.unreadable_files(spark, roots).collect()}
+    assert found == {
+        "gone": ("missing root", None),
+        "id=b": ("bytes cannot be read", len(short)),
+        "id=f": ("no Parquet footer", len(short)),
+        "id=e": ("no rows or damaged footer", 24),
+    }
+    assert sorted(r.step for r in readers.read_series(spark, roots, skip_unreadable=True).collect()) == [1, 3]
+    assert readers.unreadable_files(spark, str(root / "id=a")).isEmpty()
+    assert readers.unreadable_files(spark, [str(tmp_path / "gone")]).count() == 1
