@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortspark.llm.arrays import LOWER, SPACE, STEP, chunks, mix, owners, span_hashes, spans, text_bytes
-from cohortspark.llm.frames import parts, runs, saved, table
+from cohortspark.llm.frames import parts, runs, table
+from cohortspark.session import scratch_path
 
 SYMBOLS = 2048  # the closed vocabulary's size, which bounds the table of pairs at SYMBOLS * (SYMBOLS + 1) cells
 ENDINGS = 64  # symbols for all other words, by their last two bytes
@@ -186,7 +187,22 @@ def cut_chunks(held: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([number], kinds[0]), pa.array([-1], kinds[1]), *lists], fields(CHUNKS))
                 number += 1
 
-    return saved(held.mapInArrow(work, CHUNKS))
+    path = scratch_path(held.sparkSession, "chunks")
+    held.mapInArrow(work, CHUNKS).write.option("compression", "zstd").parquet(path)
+    return held.sparkSession.read.parquet(path)
+
+
+def pack(counts: np.ndarray) -> bytes:
+    """Counts in the least width that holds them, which comes first; nothing where all are zero."""
+    most = int(counts.max(initial=0))
+    if not most:
+        return b""
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def unpack(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype("<i8") if packed else np.zeros(n, "<i8")
 
 
 def gram_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,7 +226,8 @@ def count_grams(cut: DataFrame, bits: int) -> DataFrame:
                 target = np.bincount(inverse[flag], minlength=len(found))
                 bucket = (found >> np.uint64(64 - bits)).astype(np.int64)
                 first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(found) else np.zeros(0, int)
-                columns = [[v[a:b].tobytes() for a, b in zip(first, np.r_[first[1:], len(found)])] for v in (found, target.astype("<u4"), (total - target).astype("<u4"))]
+                ends = list(zip(first, np.r_[first[1:], len(found)]))
+                columns = [[found[a:b].tobytes() for a, b in ends], *([pack(v[a:b]) for a, b in ends] for v in (target, total - target))]
                 chunk = pa.array([batch.column(0)[i].as_py()] * len(first), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int32()), chunk, *(pa.array(c, pa.binary()) for c in columns)], fields(COUNTS))
 
@@ -218,21 +235,23 @@ def count_grams(cut: DataFrame, bits: int) -> DataFrame:
 
 
 def total_grams(sent: DataFrame) -> DataFrame:
-    """(chunk, bucket, target, background): the counts over all chunks, in the order of the chunk's keys."""
+    """(chunk, bucket, n, target, background): the n counts over all chunks, in the order of the chunk's keys."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, shard in runs(batches, "bucket"):
             keys, target, background = ([x.as_py() for x in shard.column(name)] for name in fields(COUNTS)[2:])
             bounds = np.cumsum([0, *(len(k) // 8 for k in keys)])
             _, inverse = np.unique(np.frombuffer(b"".join(keys), "<u8"), return_inverse=True)
-            sums = [np.bincount(inverse, np.frombuffer(b"".join(v), "<u4")).astype("<i8")[inverse] for v in (target, background)]
-            columns = [pa.array([v[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()) for v in sums]
+            each = np.diff(bounds)
+            sent_ = [np.concatenate([unpack(x, n) for x, n in zip(v, each)]) for v in (target, background)]
+            sums = [np.bincount(inverse, v).astype("<i8")[inverse] for v in sent_]
+            columns = [pa.array([pack(v[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()) for v in sums]
             chunk = shard.column("chunk").combine_chunks()
-            yield pa.RecordBatch.from_arrays([chunk, pa.array([bucket] * len(keys), pa.int32()), *columns], names)
+            yield pa.RecordBatch.from_arrays([chunk, pa.array([bucket] * len(keys), pa.int32()), pa.array(each, pa.int32()), *columns], names)
 
-    names = ["chunk", "bucket", "target", "background"]
+    names = ["chunk", "bucket", "n", "target", "background"]
     ordered = sent.repartition(parts(sent.sparkSession), "bucket").sortWithinPartitions("bucket")
-    return ordered.mapInArrow(work, "chunk long, bucket int, target binary, background binary")
+    return ordered.mapInArrow(work, "chunk long, bucket int, n int, target binary, background binary")
 
 
 def score_corpus(
@@ -267,7 +286,8 @@ def score_corpus(
             n = np.diff(bounds)
             losses = []
             for name, size in zip(("target", "background"), base):
-                counts = np.frombuffer(b"".join(x.as_py() for x in group.column(name)[1:]), "<i8")
+                sizes = group.column("n").to_pylist()[1:]
+                counts = np.concatenate([unpack(x.as_py(), n) for x, n in zip(group.column(name)[1:], sizes)] or [np.zeros(0, "<i8")])
                 word, history, pair = counts[inverse] if len(counts) else np.zeros(keys.shape)
                 loss = -np.log((pair + prior * (word + 1.0) / size) / (history + prior))
                 losses.append(np.bincount(owners(bounds), loss, len(n)) / np.maximum(n, 1))
