@@ -8,6 +8,7 @@ from cohortspark.catalog.adapters import ITEMS, SUBJECT_SPEC, series, subjects
 from cohortspark.catalog.q_aggregates import DAILY_CTE, LAG_SQL, ROLLING_SQL, mode_sql
 from cohortspark.catalog.q_encode import flags_sql, split_cte
 from cohortspark.catalog.q_joins import BLOCKS_SQL
+from cohortspark.catalog.q_models import beside
 from cohortspark.catalog.q_scalars import AGE_SQL, BMI_SQL, HOURS_SQL, PCIAT_SQL
 from cohortspark.catalog.registry import query, rnd
 from cohortspark.functions.scalars import register_multiplier
@@ -111,9 +112,9 @@ def train_and_evaluate(spark, sf):
         passthrough=["battery_voltage_mean_moving_avg"],
     )
     again = run.scored.agg(F.avg((F.col("actual") == F.col("predicted_class")).cast("double")).alias("a"))
-    quality = trees.fit_quality(run.model, train, "sii").join(again).select(
+    quality = beside(trees.fit_quality(run.model, train, "sii"), again).select(
         (F.abs(F.col("a") - F.lit(run.accuracy)) < 1e-9).alias("accuracy_agrees"),
         "majority",
         (F.col("accuracy") > 1.1 * F.col("majority")).alias("beats_majority"),
     )
-    return run.report.where("section > 0 OR support > 0").select("label", "support").join(F.broadcast(quality))
+    return beside(run.report.where("section > 0 OR support > 0").select("label", "support"), quality)

@@ -171,13 +171,18 @@ _MAJORITY = rnd("(SELECT max(n) / sum(n) FROM trained)", "majority") + ", true A
 _VARIANCE = rnd("(SELECT sum(n * sii * sii) / sum(n) - (sum(n * sii) / sum(n)) ** 2 FROM trained)", "variance") + ", true AS below_variance"
 
 
+def beside(rows: DataFrame, one: DataFrame) -> DataFrame:
+    """The columns of a frame of one row beside every row, from one scalar subquery."""
+    held = rows.withColumn("_one", one.select(F.struct(*one.columns).alias("s")).scalar())
+    return held.select(*rows.columns, *[F.col("_one")[c].alias(c) for c in one.columns])
+
+
 def _judged(rows: DataFrame, model, train: DataFrame) -> DataFrame:
     """Adds how the model does on the rows it learnt from."""
     quality = trees.fit_quality(model, train, "sii")
     if "majority" in quality.columns:
-        flag = (F.col("accuracy") > 1.1 * F.col("majority")).alias("beats_majority")
-        return rows.join(F.broadcast(quality.select("majority", flag)))  # one row
-    return rows.join(F.broadcast(quality.select("variance", (F.col("error") < 0.97 * F.col("variance")).alias("below_variance"))))
+        return beside(rows, quality.select("majority", (F.col("accuracy") > 1.1 * F.col("majority")).alias("beats_majority")))
+    return beside(rows, quality.select("variance", (F.col("error") < 0.97 * F.col("variance")).alias("below_variance")))
 
 
 def _apart(p: str, q: str):
@@ -377,13 +382,13 @@ def train_ordinal(spark, sf):
     expected = F.sum(a * a + p * p) - 2 * F.sum(a) * F.sum(p) / F.count("*")
     kappa = 1 - F.try_divide(F.sum((a - p) * (a - p)), expected)
     again = run.scored.agg(F.avg((a == p).cast("double")).alias("accuracy2"), kappa.alias("kappa2"))
-    metrics_ = run.accuracy.join(run.kappa.select("kappa")).join(again).select(
+    metrics_ = beside(beside(run.accuracy, run.kappa.select("kappa")), again).select(
         (F.abs(F.col("accuracy") - F.col("accuracy2")) < 1e-9).alias("accuracy_agrees"),
         (F.coalesce(F.abs(F.col("kappa") - F.col("kappa2")), F.lit(0.0)) < 1e-9).alias("kappa_agrees"),
     )
     supports = run.report.where("section = 0 AND support > 0").select("label", "support")
     learnt = split.take(split.split_three_way(rows, "sii", "id"), "train")
-    return _judged(supports.join(F.broadcast(metrics_)), run.model, learnt)
+    return _judged(beside(supports, metrics_), run.model, learnt)
 
 
 def _timed(spark, sf) -> DataFrame:

@@ -692,7 +692,9 @@ def margins_by_join(model: BoostedTreesModel, df: DataFrame, keys: Sequence[str]
     nodes = model.node_frame(df).persist()
     steps, named = nodes.drop("value"), [quote(k) for k in keys]
     values = vector_to_array(model.getOrDefault(model.featuresCol))
-    at = df.select(*named, values.alias("_x")).join(nodes.select("round", "class").distinct()).withColumn("node", F.lit(0))
+    rounds = F.explode(F.sequence(F.lit(1), F.lit(len(model.rounds)))).alias("round")
+    classes = F.explode(F.sequence(F.lit(0), F.lit(len(model.start) - 1))).alias("class")
+    at = df.select(*named, values.alias("_x"), rounds).select("*", classes, F.lit(0).alias("node"))
     for _ in range(max((_depth(t) for r in model.rounds for t in r), default=0)):
         to = F.when(F.col("feature").isNull(), F.col("node")).when(F.get("_x", F.col("feature")) <= F.col("cut"), F.col("left"))
         at = at.join(steps, ["round", "class", "node"]).select(*named, "_x", "round", "class", to.otherwise(F.col("right")).alias("node"))

@@ -170,7 +170,8 @@ def probabilities_by_join(model: RandomForestClassificationModel, df: DataFrame,
     """(key, probabilities) by descending the stored nodes with joins: a scorer that shares nothing with the model's own."""
     nodes = forest_nodes(model, df).persist()
     steps = nodes.select("tree", "node", "feature", "cut", "left", "right")
-    at = df.select(quote(key), vector_to_array("features").alias("_x")).join(nodes.select("tree").distinct()).withColumn("node", F.lit(0))
+    each = F.explode(F.sequence(F.lit(0), F.lit(model.getNumTrees - 1))).alias("tree")
+    at = df.select(quote(key), vector_to_array("features").alias("_x"), each).withColumn("node", F.lit(0))
     for _ in range(max(t.depth for t in model.trees)):
         to = F.when(F.col("feature").isNull(), F.col("node")).when(F.get("_x", F.col("feature")) <= F.col("cut"), F.col("left"))
         at = at.join(steps, ["tree", "node"]).select(quote(key), "_x", "tree", to.otherwise(F.col("right")).alias("node"))

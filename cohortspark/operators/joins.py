@@ -25,8 +25,30 @@ def join_blocks(blocks: Sequence[DataFrame], key: str = "id") -> DataFrame:
 
 
 def concat_columns(blocks: Sequence[DataFrame], key: str = "id") -> DataFrame:
-    """Column-wise concatenation of blocks aligned by key; a key missing from a block gives NULLs."""
-    return reduce(lambda a, b: a.join(b, key, "full"), dedup_columns(blocks, key))
+    """Column-wise concatenation of blocks aligned by key; a key missing from a block gives NULLs there.
+
+    The blocks' rows are united under their block's number and grouped once by key, so any number of blocks takes one exchange,
+    and rows are combined before it. A key names one row in each block, as an index does: a repeated key is an error when the
+    result is computed. A NULL key is a key like any other.
+    """
+    parts = dedup_columns(blocks, key)
+    columns = [(i, c) for i, part in enumerate(parts) for c in part.columns if c != key]
+
+    def tagged(i: int, part: DataFrame) -> DataFrame:
+        slots = [
+            (F.col(quote(c)) if at == i else F.lit(None).cast(parts[at].schema[c].dataType)).alias(f"_{n}") for n, (at, c) in enumerate(columns)
+        ]
+        return part.select(F.col(quote(key)).alias("_key"), F.lit(i).alias("_block"), *slots)
+
+    united = reduce(DataFrame.union, [tagged(i, part) for i, part in enumerate(parts)])
+    # Values and their row's count travel together, so that a NULL in the row isn't taken for a missing row.
+    values = [F.first(F.when(F.col("_block") == i, F.struct(F.col(f"_{n}").alias("v"))), ignorenulls=True).alias(f"_{n}") for n, (i, _) in enumerate(columns)]
+    counts = [F.count(F.when(F.col("_block") == i, 1)).alias(f"_rows{i}") for i in range(len(parts))]
+    grouped = united.groupBy("_key").agg(*values, *counts)
+    most = F.greatest(*[F.col(f"_rows{i}") for i in range(len(parts))], F.lit(0))
+    text = F.concat(F.lit("a block has several rows for the key "), F.coalesce(F.col("_key").cast("string"), F.lit("NULL")))
+    checked = F.when(most > 1, F.raise_error(text).cast(grouped.schema["_key"].dataType)).otherwise(F.col("_key"))
+    return grouped.select(checked.alias(key), *[F.col(f"_{n}")["v"].alias(c) for n, (_, c) in enumerate(columns)])
 
 
 def feature_lookup(
