@@ -8,9 +8,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortspark.llm.arrays import INVERSE, LINE, LOWER, SPACE, chunks, mix, owners, pack, powers, range_hashes, span_hashes, spans, text_bytes
-from cohortspark.llm.frames import saved, table, texts
+from cohortspark.llm.frames import free_names, saved, table, texts
 
 EDIT_FROM = 10  # lines of at least so many words may differ by one word; shorter ones must be equal
 CHUNK = 4 << 20
@@ -210,14 +211,17 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, all columns as they are, without their superfluous lines; rows that lose every line with a word go."""
-    gone = duplicate_lines(docs, id_col, text_col).groupBy(F.col("doc_id").alias("_line_id"))
-    gone = gone.agg(F.collect_list(F.struct("line", "hash")).alias("_lines"))
-    both = docs.join(gone, F.col(id_col).cast("long") == F.col("_line_id"), "left").drop("_line_id")
+    """The rows, all columns as they are, without their superfluous lines; rows that lose every line with a word go.
+
+    Rows with a null id or text and rows without any word stay as they are; extra columns may have any name and type.
+    """
+    key, held = free_names(docs, "line_id lines")
+    gone = duplicate_lines(docs, id_col, text_col).groupBy(F.col("doc_id").alias(key))
+    gone = gone.agg(F.collect_list(F.struct("line", "hash")).alias(held))
+    both = docs.join(gone, F.col(id_col).cast("long") == F.col(key), "left").drop(key)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index(text_col)
             column, lists = batch.column(at), batch.column(batch.num_columns - 1)
             data, offsets = text_bytes(column)
             kept = column.to_pylist()
@@ -237,7 +241,9 @@ def drop_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
             new = pa.array([None if k is False else k for k in kept], column.type)
             yield batch.set_column(at, batch.schema.field(at), new).select(list(range(batch.num_columns - 1))).filter(keep)
 
-    return both.mapInArrow(work, docs.schema)
+    at, numbered = docs.columns.index(text_col), [f"c{i}" for i in range(len(both.columns))]  # names may hold dots
+    schema = T.StructType([T.StructField(name, field.dataType) for name, field in zip(numbered, docs.schema)])
+    return both.toDF(*numbered).mapInArrow(work, schema).toDF(*docs.columns)
 
 
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

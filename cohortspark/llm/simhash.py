@@ -9,7 +9,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohortspark.llm.frames import parts, runs, saved, table, texts
 from cohortspark.llm.graph import components, unite
@@ -176,23 +175,38 @@ def linked_roots(nodes: DataFrame, distance: int = DISTANCE, lanes: int = LANES,
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Of every component, over rows: the row with the smallest (id, hash of the text, row), and likewise one of those without
-    an id. Minima are combined in the map tasks, so copies meet in no task; rows that share an id are rows of their own."""
+    """Of every component, over rows: the row with the smallest (id, hash of the text, hash of the rest), and likewise one of
+    those without an id. Rows that share an id are rows of their own; of wholly equal rows one stays.
+
+    Null, empty and blank texts have fingerprint 0 and are linked like others. Extra columns may have any name and type. Each
+    text of any length is fingerprinted once, and its row's key decides; only the survivors' rows are joined back. Minima are
+    combined in the map tasks, so copies meet in no task. An empty table gives an empty result.
+    """
+    columns = {c: F.col("`" + c.replace("`", "``") + "`") for c in docs.columns}
+    rest = [column for c, column in columns.items() if c not in (id_col, text_col)]
+    keys = [
+        F.col(id_col).isNull().alias("missing"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"),
+        F.xxhash64(F.col(text_col).cast("string")).alias("hash"),
+        (F.xxhash64(F.to_json(F.struct(*rest))) if rest else F.lit(0).cast("long")).alias("rest"),
+    ]
+    names = ["missing", "id", "hash", "rest"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts_ = batch.column(batch.schema.get_field_index(text_col))
-            values = np.array([fingerprint(t.as_py()) for t in texts_], np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], [*batch.schema.names, "_fp"])
-
-    schema = T.StructType([*docs.schema, T.StructField("_fp", T.LongType())])
-    rows = docs.mapInArrow(work, schema)
-    roots = linked_roots(saved(fingerprints(docs, id_col, text_col).select("fp").distinct()))
-    order = F.struct(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), F.struct(*docs.columns).alias("_row"))
-    kinds = [F.min(F.when(kind, order)).alias(name) for kind, name in ((F.col(id_col).isNotNull(), "_a"), (F.col(id_col).isNull(), "_b"))]
-    best = rows.groupBy("_fp").agg(*kinds).join(roots.withColumnRenamed("node", "_fp"), "_fp", "left")
-    best = best.groupBy(F.coalesce("root", "_fp")).agg(F.min("_a").alias("_a"), F.min("_b").alias("_b"))
-    return best.select(F.explode(F.array("_a", "_b")).alias("_it")).where("_it IS NOT NULL").select("_it._row.*")
+            values = np.array([fingerprint(t.as_py()) for t in batch.column(4)], np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(values)], [*names, "fp"])
+
+    keyed = docs.select(*keys, F.col(text_col).cast("string").alias("text"))
+    marked = saved(keyed.mapInArrow(work, "missing boolean, id long, hash long, rest long, fp long"))
+    order = F.struct(*names)
+    kinds = [F.min(F.when(kind, order)).alias(name) for kind, name in ((~F.col("missing"), "a"), (F.col("missing"), "b"))]
+    nodes = saved(marked.groupBy("fp").agg(*kinds))
+    best = nodes.join(linked_roots(nodes).withColumnRenamed("node", "fp"), "fp", "left")
+    best = best.groupBy(F.coalesce("root", "fp")).agg(F.min("a").alias("a"), F.min("b").alias("b"))
+    best = best.select(F.explode(F.array("a", "b")).alias("it")).where("it IS NOT NULL").select("it.*")
+    rows = docs.select(*keys, F.struct(*columns.values()).alias("row")).groupBy(*names).agg(F.first("row").alias("row"))
+    return rows.join(best, names).select("row.*")
 
 
 def near_duplicates(

@@ -4,6 +4,8 @@ import corpus_pipeline
 import pytest
 
 from cohortspark.llm.decontaminate import drop_contaminated
+from cohortspark.llm.lines import drop_duplicate_lines
+from cohortspark.llm.simhash import one_per_component
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -29,3 +31,25 @@ def test_decontamination_judges_rows(spark, bound):
     left = drop_contaminated(docs, benchmark, bound=bound)
     assert left.schema == docs.schema
     assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
+
+
+def test_stages_take_columns_of_any_name_and_type(spark):
+    rows = [(1, "a b c d", 1, {"k": 1}, "x"), (2, "a b c d", 2, {"k": 2}, None), (2, "e f g", 3, None, "y"), (None, None, 4, {}, "z")]
+    schema = "doc_id long, text string, _fp long, _lines map<string,int>, _line_id string"
+    docs = spark.createDataFrame(rows, schema)
+    for name in ("_fp", "row", "a.b"):
+        frame = docs.withColumnRenamed("_fp", name)
+        for stage in (one_per_component, drop_duplicate_lines):
+            left = stage(frame)
+            assert left.columns == frame.columns
+            assert sorted(r[2] for r in left.collect()) == [1, 3, 4]
+
+
+def test_near_dedup_keeps_one_of_equal_rows_and_the_least_of_ties(spark):
+    text = "one text that several rows have"
+    rows = [(4, text, "b")] * 3 + [(4, text, "a"), (9, text, "c"), (None, text, "d"), (None, text, "d"), (4, "", "e"), (5, None, "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    left = [tuple(r) for n in (1, 5) for r in one_per_component(docs.repartition(n)).collect()]
+    assert len(left) == 6 and len(set(left)) == 3
+    assert {(i, t) for i, t, _ in left} == {(4, text), (None, text), (4, "")}
+    assert one_per_component(docs.where("false")).collect() == []
