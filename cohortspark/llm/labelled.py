@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortspark.llm.frames import texts
 
 PER_CLASS = 1500
-SAMPLE_CHARS = 10_000
+CLASS_BYTES = 8 << 20
+TEXT_BYTES = 1 << 18
 
 
 def held_out(id_col: str = "doc_id"):
@@ -17,13 +18,19 @@ def held_out(id_col: str = "doc_id"):
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label_col: str, per_class: int = PER_CLASS, chars: int = SAMPLE_CHARS
+    docs: DataFrame,
+    labels: DataFrame,
+    label_col: str,
+    per_class: int = PER_CLASS,
+    class_bytes: int = CLASS_BYTES,
+    text_bytes: int = TEXT_BYTES,
 ) -> tuple[list[str], list[int], float]:
-    """Texts, labels and the share of label 1 among all labels that may be learnt from.
+    """Whole texts, labels and the share of label 1 among all labels that may be learnt from.
 
-    The bound on what a model is fitted on: ``per_class`` labelled documents of either label, those with the smallest hash of
-    their id, and of each the first ``chars`` characters. Rows with a null label or id are left out; of repeated labels the
-    largest counts, of repeated documents each is taken. Scoring is not bounded.
+    The bound on what a model is fitted on: of either label ``per_class`` documents, those with the smallest hash of their id,
+    as far as their texts together have at most ``class_bytes``; a text of more than ``text_bytes`` isn't learnt from. Texts
+    are taken whole. Rows with a null label or id are left out; of repeated labels the largest counts, of the rows of one id
+    the smallest text (a null one is empty), so an id counts once however many rows it has. Scoring is not bounded.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out())
@@ -35,6 +42,11 @@ def labelled_sample(
     if not picked:
         return [], [], 0.5
     ids = dict(picked)
-    found = texts(docs).where(F.col("doc_id").isin(list(ids))).select("doc_id", F.substring("text", 1, chars).alias("text"))
-    rows = sorted(found.collect(), key=lambda r: (r.doc_id, r.text or ""))
-    return [r.text or "" for r in rows], [ids[r.doc_id] for r in rows], share
+    one = [i for i, label in ids.items() if label]
+    text = F.coalesce("text", F.lit(""))
+    found = texts(docs).where(F.col("doc_id").isin(list(ids)) & (F.octet_length(text) <= text_bytes))
+    found = found.groupBy("doc_id").agg(F.min(text).alias("text")).withColumn("label", F.col("doc_id").isin(one).cast("int"))
+    in_turn = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")  # at most per_class rows
+    found = found.withColumn("total", F.sum(F.octet_length("text")).over(in_turn)).where(F.col("total") <= class_bytes)
+    rows = sorted(found.select("doc_id", "text").collect(), key=lambda r: r.doc_id)
+    return [r.text for r in rows], [ids[r.doc_id] for r in rows], share
