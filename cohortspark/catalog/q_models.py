@@ -12,17 +12,16 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortspark.catalog.adapters import SUBJECT_SPEC, predictions, series, subjects, table
+from cohortspark.catalog.adapters import SUBJECT_SPEC, predictions, series, subjects
 from cohortspark.catalog.q_encode import RANKED_SQL, split_cte
 from cohortspark.catalog.registry import query, rnd
 from cohortspark.functions import scalars
 from cohortspark.models import boosting, forecast, metrics, thresholds, trees
-from cohortspark.operators import aggregates, encode, joins, signature, split
+from cohortspark.operators import aggregates, encode, joins, profile, split
 from cohortspark.operators.clean import filter_not_null
 from cohortspark.operators.numbering import ordered_row_id
 from cohortspark.plans import ordinal
 from cohortspark.plans.cohort import relevant_numeric
-from cohortspark.schemas import SERIES_SCHEMA
 from cohortspark.session import scratch_path
 from cohortspark.sources import readers, writers
 
@@ -400,10 +399,40 @@ def forecast_by_group(spark, sf):
     return forecast.forecast_by_group(_timed(spark, sf))
 
 
-@query("schema_signature")
+# Recorded on a part of the rows, checked on all of them.
+_PROFILED = {
+    "series": ("weekday <= 5 AND enmo IS NOT NULL", {"step": "bigint", "X": "double", "enmo": "double", "light": "double", "weekday": "int"}),
+    "subjects": ("season IN ('Fall', 'Spring') AND age < 15", {"age": "double", "bmi": "double", "pciat": "double", "season": "string"}),
+}
+
+
+def _profile_sql(source: str, part: str, c: str, kind: str) -> str:
+    recorded = f"(SELECT * FROM {source} WHERE {part})"
+    if kind == "string":
+        outside = f"count(*) FILTER (WHERE {c} NOT IN (SELECT {c} FROM {recorded} WHERE {c} IS NOT NULL))"
+    else:
+        outside = f"count(*) FILTER (WHERE {c} < (SELECT min({c}) FROM {recorded}) OR {c} > (SELECT max({c}) FROM {recorded}))"
+    return f"""SELECT '{source}' AS source, '{c}' AS column_name, '{kind}' AS recorded, '{kind}' AS present, count(*) AS rows_checked,
+      count(*) - count({c}) AS nulls, {outside} AS outside,
+      (SELECT count(*) > count({c}) FROM {recorded}) AS had_nulls FROM {source}"""
+
+
+_PROFILES_SQL = " UNION ALL ".join(_profile_sql(s, part, c, k) for s, (part, columns) in _PROFILED.items() for c, k in columns.items())
+
+
+@query(
+    "schema_signature",
+    f"""SELECT source, column_name, recorded, present, rows_checked, nulls, outside,
+    outside = 0 AND (nulls = 0 OR had_nulls) AS matches FROM ({_PROFILES_SQL})""",
+)
 def schema_signature(spark, sf):
-    """The recorded signature of the declared series against the columns the table really has."""
-    recorded = signature.signature(spark.createDataFrame([], SERIES_SCHEMA))
-    report = signature.signature_report(series(spark, sf), recorded)
-    rows = table(spark, sf, "events").select(F.count(F.lit(1)).alias("n"))
-    return report.withColumn("rows_checked", rows.scalar())
+    """Measured profiles of parts of two tables (types, nulls, ranges, levels), stored, read back and held against all their rows."""
+    reports = []
+    for name, frame in (("series", series(spark, sf)), ("subjects", subjects(spark, sf))):
+        part, columns = _PROFILED[name]
+        known = profile.fit_profile(frame.where(part).select(*columns))
+        path = scratch_path(spark, f"profile_{name}")
+        profile.profile_frame(spark, known).write.parquet(path)
+        stored = readers.read_parquet(spark, path)
+        reports.append(profile.profile_report(frame, profile.read_profile(stored)).withColumn("source", F.lit(name)))
+    return reports[0].unionByName(reports[1])
