@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,12 +19,13 @@ from cohortspark.session import scratch_path
 SYMBOLS = 2048  # the closed vocabulary's size, which bounds the table of pairs at SYMBOLS * (SYMBOLS + 1) cells
 ENDINGS = 64  # symbols for all other words, by their last two bytes
 PRIOR = 64.0
-CHUNK = 4 << 20
-BUCKETS = 1024
+CHUNK = 16 << 20
+BUCKET_WORDS = 3_000_000  # words of all texts for each bucket of keys, which is counted as one group in a task
 START = mix(np.array([0], np.uint64) + STEP)  # the history of a text's first word
-SALTS = mix(np.arange(2, 4, dtype=np.uint64) * STEP)  # tell words and histories apart
-CHUNKS = "chunk long, bucket int, ids array<long>, texts array<string>, flags array<boolean>"
-COUNTS = "bucket int, chunk long, keys binary, target binary, background binary"
+SALTS = mix(np.arange(2, 4, dtype=np.uint64) * STEP)  # set word keys apart from pair keys
+CHUNKS = "chunk long, own_words long, other_words long, own_texts long, other_texts long, ids array<long>, texts array<string>, flags array<boolean>"
+COUNTS = "bucket int, chunk long, n int, keys binary, target binary, background binary, last_target binary, last_background binary"
+TOTALS = COUNTS.replace("keys binary", "words int, different long")
 
 
 def read_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -175,83 +177,161 @@ def fields(schema: str) -> list[str]:
 
 
 def cut_chunks(held: DataFrame) -> DataFrame:
-    """Runs of whole rows of about ``CHUNK`` bytes, numbered; saved, so that a number always means the same rows."""
+    """Runs of whole rows of about ``CHUNK`` bytes, numbered, with their words and their texts that have words, of either kind.
+
+    Saved in buckets by number: a number always means the same rows, and what comes back for a chunk is sent to its texts.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.bool_())]
+
+        def chunk(run: list[pa.RecordBatch]) -> pa.RecordBatch:
+            nonlocal number
+            rows = pa.Table.from_batches(run).combine_chunks()
+            ids, texts, flags = (c.combine_chunks().cast(k) for c, k in zip(rows.columns, (pa.int64(), pa.string(), pa.bool_())))
+            data, offsets = text_bytes(texts)
+            n = np.diff(spans(data, offsets, SPACE)[2])
+            flag = flags.to_numpy(zero_copy_only=False).astype(bool)
+            sums = [v[f].sum() for v in (n, n > 0) for f in (flag, ~flag)]
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in (ids, texts, flags)]
+            number += 1
+            return pa.RecordBatch.from_arrays([*(pa.array([int(v)], pa.int64()) for v in (number - 1, *sums)), *lists], fields(CHUNKS))
+
+        run, size = [], 0
         for batch in batches:
             _, offsets = text_bytes(batch.column(1))
-            for a, b in chunks(offsets, CHUNK):
-                lists = [pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), c.slice(a, b - a).cast(k.value_type)) for c, k in zip(batch.columns, kinds[2:])]
-                yield pa.RecordBatch.from_arrays([pa.array([number], kinds[0]), pa.array([-1], kinds[1]), *lists], fields(CHUNKS))
-                number += 1
-
-    path = scratch_path(held.sparkSession, "chunks")
-    held.mapInArrow(work, CHUNKS).write.option("compression", "zstd").parquet(path)
-    return held.sparkSession.read.parquet(path)
+            first = 0
+            while first < batch.num_rows:
+                last = int(np.searchsorted(offsets, offsets[first] + CHUNK - size, "right")) - 1
+                if last <= first and run:
+                    yield chunk(run)
+                    run, size = [], 0
+                    continue
+                last = max(last, first + 1)
+                run.append(batch.slice(first, last - first))
+                size += int(offsets[last] - offsets[first])
+                first = last
+        if run:
+            yield chunk(run)
+
+    spark = held.sparkSession
+    path = scratch_path(spark, "chunks")
+    name = os.path.basename(path).replace("-", "_")
+    rows = held.mapInArrow(work, CHUNKS)
+    # More buckets than shuffle partitions, so that chunks spread evenly and the grouping by chunk takes over the buckets.
+    rows.write.bucketBy(4 * parts(spark), "chunk").options(path=path, compression="zstd").saveAsTable(name)
+    return spark.table(name)
 
 
 def pack(counts: np.ndarray) -> bytes:
-    """Counts in the least width that holds them, which comes first; nothing where all are zero."""
+    """Counts in the least width that holds them, which comes first, their low bytes before their high ones, compressed; nothing
+    where all are zero."""
     most = int(counts.max(initial=0))
     if not most:
         return b""
     width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
-    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+    planes = counts.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+    return bytes([width]) + pa.compress(planes, "zstd", asbytes=True)
 
 
 def unpack(packed: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype("<i8") if packed else np.zeros(n, "<i8")
+    if not packed:
+        return np.zeros(n, "<i8")
+    width = packed[0]
+    planes = np.frombuffer(pa.decompress(packed[1:], n * width, "zstd", asbytes=True), np.uint8)
+    return planes.reshape(width, n).T.copy().view(f"<u{width}")[:, 0].astype("<i8")
+
+
+def pack_keys(keys: np.ndarray, base: int) -> bytes:
+    """Sorted keys from ``base`` on, by their gaps in the least number of bytes that holds the widest, which comes first."""
+    gaps = np.diff(keys, prepend=np.uint64(base))
+    width = (int(gaps.max(initial=0)).bit_length() + 7) // 8
+    return bytes([width]) + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
-def gram_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of each word, of its history (the word before it, or a text's start) and of the pair; where each text's words begin."""
+def unpack_keys(packed: bytes, n: int, base: int) -> np.ndarray:
+    gaps = np.zeros((n, 8), np.uint8)
+    gaps[:, : packed[0]] = np.frombuffer(packed, np.uint8, offset=1).reshape(n, packed[0])
+    return np.cumsum(gaps.view("<u8")[:, 0], dtype=np.uint64) + np.uint64(base)
+
+
+def gram_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of each word (odd) and of its pair with the word before it, or a text's start (even); where each text's words begin."""
     words, _, bounds = read_words(data, offsets)
     history = np.r_[START, words[:-1]] if len(words) else words
     history[bounds[:-1][np.diff(bounds) > 0]] = START[0]
-    return np.stack([mix(words ^ SALTS[0]), mix(history ^ SALTS[1]), mix(history * STEP + words)]), bounds
+    one = np.uint64(1)
+    return mix(words ^ SALTS[0]) | one, mix(history * STEP + words) & ~one, bounds
 
 
 def count_grams(cut: DataFrame, bits: int) -> DataFrame:
-    """Each chunk's different keys, sorted, and how often its rows of either kind have them; a row per bucket of keys."""
+    """Each chunk's different keys and how often its rows of either kind have them, and how often a text ends with each of the
+    words; a row for every bucket of keys, so that every chunk hears from all of them."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                keys, bounds = gram_keys(*text_bytes(batch.column(1)[i].values))
-                flag = np.tile(batch.column(2)[i].values.to_numpy(zero_copy_only=False)[owners(bounds)].astype(bool), 3)
-                found, inverse = np.unique(keys.ravel(), return_inverse=True)
-                total = np.bincount(inverse, minlength=len(found))
-                target = np.bincount(inverse[flag], minlength=len(found))
-                bucket = (found >> np.uint64(64 - bits)).astype(np.int64)
-                first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(found) else np.zeros(0, int)
-                ends = list(zip(first, np.r_[first[1:], len(found)]))
-                columns = [[found[a:b].tobytes() for a, b in ends], *([pack(v[a:b]) for a, b in ends] for v in (target, total - target))]
-                chunk = pa.array([batch.column(0)[i].as_py()] * len(first), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int32()), chunk, *(pa.array(c, pa.binary()) for c in columns)], fields(COUNTS))
+                word, pair, bounds = gram_keys(*text_bytes(batch.column("texts")[i].values))
+                if not len(word):
+                    continue
+                flag = batch.column("flags")[i].values.to_numpy(zero_copy_only=False).astype(bool)
+                flags = flag[owners(bounds)]
+                ends = bounds[1:][np.diff(bounds) > 0] - 1
+                found, counts, lasts = [], [], []
+                for keys in (word, pair):
+                    different, inverse = np.unique(keys, return_inverse=True)
+                    found.append(different)
+                    counts.append([np.bincount(inverse[f], minlength=len(different)) for f in (flags, ~flags)])
+                    if keys is word:
+                        lasts = [np.bincount(inverse[ends[f[ends]]], minlength=len(different)) for f in (flags, ~flags)]
+                order = np.argsort(np.concatenate(found))
+                keys = np.concatenate(found)[order]
+                target, background = (np.concatenate(v)[order] for v in zip(*counts))
+                edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+                cuts, word_cuts = (np.r_[np.searchsorted(k, edges), len(k)] for k in (keys, found[0]))
+                spans_, word_spans = (list(zip(c, c[1:])) for c in (cuts, word_cuts))
+                columns = [
+                    [pack_keys(keys[a:b], int(e)) for (a, b), e in zip(spans_, edges)],
+                    *([pack(v[a:b]) for a, b in spans_] for v in (target, background)),
+                    *([pack(v[a:b]) for a, b in word_spans] for v in lasts),
+                ]
+                heads = pa.array(np.arange(1 << bits, dtype=np.int32)), pa.array([batch.column("chunk")[i].as_py()] * (1 << bits), pa.int64())
+                sizes = pa.array(np.diff(cuts).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*heads, sizes, *(pa.array(c, pa.binary()) for c in columns)], fields(COUNTS))
 
     return cut.select("chunk", "texts", "flags").mapInArrow(work, COUNTS)
 
 
-def total_grams(sent: DataFrame) -> DataFrame:
-    """(chunk, bucket, n, target, background): the n counts over all chunks, in the order of the chunk's keys."""
+def total_grams(sent: DataFrame, bits: int) -> DataFrame:
+    """Every row of ``sent`` with the counts over all chunks in place of the chunk's own, in the order of the chunk's keys, and the
+    number of different words of the bucket in place of the keys."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, shard in runs(batches, "bucket"):
-            keys, target, background = ([x.as_py() for x in shard.column(name)] for name in fields(COUNTS)[2:])
-            bounds = np.cumsum([0, *(len(k) // 8 for k in keys)])
-            _, inverse = np.unique(np.frombuffer(b"".join(keys), "<u8"), return_inverse=True)
-            each = np.diff(bounds)
-            sent_ = [np.concatenate([unpack(x, n) for x, n in zip(v, each)]) for v in (target, background)]
-            sums = [np.bincount(inverse, v).astype("<i8")[inverse] for v in sent_]
-            columns = [pa.array([pack(v[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()) for v in sums]
-            chunk = shard.column("chunk").combine_chunks()
-            yield pa.RecordBatch.from_arrays([chunk, pa.array([bucket] * len(keys), pa.int32()), pa.array(each, pa.int32()), *columns], names)
-
-    names = ["chunk", "bucket", "n", "target", "background"]
+            each = shard.column("n").to_pylist()
+            keys = [unpack_keys(x.as_py(), n, bucket << 64 - bits) for x, n in zip(shard.column("keys"), each)]
+            bounds = np.cumsum([0, *each])
+            words = [k & np.uint64(1) == 1 for k in keys]
+            word_bounds = np.cumsum([0, *map(np.count_nonzero, words)])
+            every, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+            word_inverse = inverse[np.concatenate(words)]
+            del keys
+            columns = []
+            for name in fields(COUNTS)[4:]:
+                at, ends = (word_inverse, word_bounds) if name.startswith("last") else (inverse, bounds)
+                sent_ = np.concatenate([unpack(x.as_py(), n) for x, n in zip(shard.column(name), np.diff(ends).tolist())])
+                sums = np.zeros(len(every), "<i8")
+                np.add.at(sums, at, sent_)
+                sums = sums[at]
+                columns.append(pa.array([pack(sums[a:b]) for a, b in zip(ends, ends[1:])], pa.binary()))
+            different = np.count_nonzero(every & np.uint64(1))
+            heads = shard.select(["bucket", "chunk", "n"]).combine_chunks().columns
+            heads = [c.combine_chunks() for c in heads]
+            lasts = pa.array(np.diff(word_bounds).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*heads, lasts, pa.array([different] * len(each), pa.int64()), *columns], fields(TOTALS))
+
     ordered = sent.repartition(parts(sent.sparkSession), "bucket").sortWithinPartitions("bucket")
-    return ordered.mapInArrow(work, "chunk long, bucket int, n int, target binary, background binary")
+    return ordered.mapInArrow(work, TOTALS)
 
 
 def score_corpus(
@@ -266,37 +346,51 @@ def score_corpus(
     and those of all others.
 
     A pair's probability is its count smoothed by ``prior`` towards the word's, and that towards equality over the words of both
-    models and one unknown word. Each chunk of rows sends its different words, histories and pairs once, as 64-bit hashes in
-    buckets, gets their counts over all documents back and scores its rows, so what is moved grows with the text, and a pair
-    however frequent counts once per chunk. Only the numbers of words and of different words reach the driver.
+    models and one unknown word. Each chunk of rows sends its different words and pairs once, as 63-bit hashes in buckets, gets
+    their counts over all documents back and scores its rows, so what is moved grows with the text, and a pair however frequent
+    counts once per chunk. A word is the history of a pair as often as it occurs without ending a text. Only the numbers of words
+    and texts reach the driver; the number of buckets follows from them. Very long texts are chunks of their own; equal rows, rows
+    of equal or null ids and ties are scored one by one, null and empty texts get 0, an empty table gives no rows, and other
+    columns don't matter.
     """
     spark = docs.sparkSession
-    held = with_target(docs, target, id_col, text_col)
-    bits = ((buckets or max(BUCKETS, 4 * parts(spark))) - 1).bit_length()
-    cut = cut_chunks(held)
-    row = count_words(held, True).agg(F.count("*"), F.sum("n"), F.sum("target")).head()
-    words, total, own = (int(v or 0) for v in row)
-    base = [(n + words + 1.0) for n in (own, total - own)]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, group in runs(batches, "chunk"):
-            ids, texts = (group.column(name)[0].values for name in ("ids", "texts"))
-            keys, bounds = gram_keys(*text_bytes(texts))
-            inverse = np.unique(keys.ravel(), return_inverse=True)[1].reshape(keys.shape)
+    cut = cut_chunks(with_target(docs, target, id_col, text_col))
+    row = cut.agg(*[F.sum(name) for name in fields(CHUNKS)[1:5]]).head()
+    *sizes, own_texts, other_texts = (int(v or 0) for v in row)
+    bits = (max(2, buckets or max(4 * parts(spark), sum(sizes) // BUCKET_WORDS + 1)) - 1).bit_length()
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = right.sort_by("bucket")
+        each, words = (rows.column(name).to_pylist() for name in ("n", "words"))
+        known = sum(rows.column("different").to_pylist())
+        totals = {}
+        for name in fields(COUNTS)[4:]:
+            packed = zip(rows.column(name), words if name.startswith("last") else each)
+            totals[name] = np.concatenate([unpack(x.as_py(), n) for x, n in packed] or [np.zeros(0, "<i8")])
+        out = []
+        for i in range(left.num_rows):
+            ids, texts = (left.column(name).combine_chunks()[i].values for name in ("ids", "texts"))
+            word, pair, bounds = gram_keys(*text_bytes(texts))
+            keys, at = np.unique(word, return_inverse=True)
+            odd = np.unique(pair)
+            place = np.concatenate([keys, odd]).argsort().argsort()
+            pair_at = place[len(keys) :][np.searchsorted(odd, pair)]
+            word_at = place[: len(keys)][at]
             n = np.diff(bounds)
+            starts = bounds[:-1][n > 0]
             losses = []
-            for name, size in zip(("target", "background"), base):
-                sizes = group.column("n").to_pylist()[1:]
-                counts = np.concatenate([unpack(x.as_py(), n) for x, n in zip(group.column(name)[1:], sizes)] or [np.zeros(0, "<i8")])
-                word, history, pair = counts[inverse] if len(counts) else np.zeros(keys.shape)
-                loss = -np.log((pair + prior * (word + 1.0) / size) / (history + prior))
+            for name, size, begun in (("target", sizes[0], own_texts), ("background", sizes[1], other_texts)):
+                single = totals[name][word_at]
+                history = np.r_[0, (single - totals[f"last_{name}"][at])[:-1]] if len(at) else single
+                history[starts] = begun
+                base = size + known + 1.0
+                loss = -np.log((totals[name][pair_at] + prior * (single + 1.0) / base) / (history + prior))
                 losses.append(np.bincount(owners(bounds), loss, len(n)) / np.maximum(n, 1))
-            columns = [ids, pa.array(n), *map(pa.array, (*losses, losses[1] - losses[0]))]
-            yield pa.RecordBatch.from_arrays(columns, fields(SCHEMA))
+            out.append(pa.table([ids, pa.array(n), *map(pa.array, (*losses, losses[1] - losses[0]))], fields(SCHEMA)))
+        return pa.concat_tables(out)
 
-    both = cut.drop("flags").unionByName(total_grams(count_grams(cut, bits)), allowMissingColumns=True)
-    both = both.repartition(parts(spark), "chunk").sortWithinPartitions("chunk", "bucket")
-    return both.mapInArrow(work, SCHEMA)
+    texts = cut.select("chunk", "ids", "texts").groupBy("chunk")
+    return texts.cogroup(total_grams(count_grams(cut, bits), bits).groupBy("chunk")).applyInArrow(work, SCHEMA)
 
 
 def op4_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from llm.helpers import by_id, lowered
 from pyspark.sql import functions as F
@@ -63,3 +64,24 @@ def test_edge_rows(edges):
         rows = score_corpus(docs, F.col("doc_id") == 3).collect()
         assert len(rows) == docs.count() and all(r.score == 0 for r in rows if r.n_tokens == 0)
         assert sum(r.doc_id is None for r in rows) == docs.where("doc_id IS NULL").count()
+
+
+@pytest.mark.parametrize("most", [0, 1, 255, 256, 70_000, 1 << 40])
+def test_packed_counts_come_back(most):
+    counts = np.r_[np.random.default_rng(1).integers(0, most + 1, 1000), most]
+    assert (scoring.unpack(scoring.pack(counts), len(counts)) == counts).all()
+    assert len(scoring.unpack(scoring.pack(counts[:0]), 0)) == 0
+
+
+@pytest.mark.parametrize("keys", [[], [0], [5], [7, 8, 300], [7, 1 << 50], [(1 << 60) - 1]])
+@pytest.mark.parametrize("base", [0, 15 << 60])
+def test_packed_keys_come_back(keys, base):
+    keys = np.array(keys, np.uint64) + np.uint64(base)
+    assert (scoring.unpack_keys(scoring.pack_keys(keys, base), len(keys), base) == keys).all()
+
+
+def test_texts_are_not_shuffled(small, capsys):
+    """Texts are scored where they were written: the exchanges are those of the counts."""
+    score_corpus(small, F.col("source") == "src1").explain("formatted")
+    exchanges = [part for part in capsys.readouterr().out.split("\n\n") if ") Exchange" in part]
+    assert exchanges and not any("texts" in part for part in exchanges)
