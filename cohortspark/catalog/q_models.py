@@ -399,6 +399,27 @@ def forecast_by_group(spark, sf):
     return forecast.forecast_by_group(_timed(spark, sf))
 
 
+# A slope of each id's own, a bend after two weeks and a daily wave, at the times of the series.
+_CURVE = """5.0e0 + {days} * (CAST(id AS BIGINT) % 7) / 10.0e0 + 0.3e0 * greatest({days} - 14.0e0, 0.0e0)
+    + 2.0e0 * sin({days} * 2.0e0 * pi())"""
+_CURVED = "CAST(ds AS DOUBLE) / 86400.0e0"
+
+
+@query(
+    "forecast_known_curve",
+    f""", t AS (SELECT DISTINCT id, CAST(relative_date_PCIAT * 86400 + time_of_day AS BIGINT) AS ds FROM series),
+    ahead AS (SELECT id, ds, false AS is_future FROM t
+      UNION ALL SELECT id, max(ds) + i * 86400, true FROM t, range(1, 8) AS r(i) GROUP BY id, i)
+    SELECT id, ds, is_future, round({_CURVE.format(days=_CURVED)}, 6) AS enmo, true AS recovered FROM ahead""",
+)
+def forecast_known_curve(spark, sf):
+    """Forecasts of a curve known at all times, of which the model sees the series' samples: each lies within 0.01 of it."""
+    seen = _timed(spark, sf).select("id", "ds", F.expr(_CURVE.format(days=_CURVED)).alias("enmo"))
+    found = forecast.forecast_by_group(seen, ["enmo"]).withColumn("curve", F.expr(_CURVE.format(days=_CURVED)))
+    near = F.abs(F.col("enmo_forecast") - F.col("curve")) < 0.01
+    return found.select("id", "ds", "is_future", F.round("curve", 6).alias("enmo"), F.coalesce(near, F.lit(False)).alias("recovered"))
+
+
 # Recorded on a part of the rows, checked on all of them.
 _PROFILED = {
     "series": ("weekday <= 5 AND enmo IS NOT NULL", {"step": "bigint", "X": "double", "enmo": "double", "light": "double", "weekday": "int"}),

@@ -171,6 +171,64 @@ def test_short_series_has_no_forecast(spark):
     assert len(got) == 10 and all(r["enmo_forecast"] is None for r in got)
 
 
+def bent(spark, noise="0D"):
+    """Hourly samples of six weeks: a level, a slope, a bend after three weeks and a daily wave."""
+    curve = "3 + 0.2D * t + 0.5D * greatest(t - 21, 0) + sin(2 * pi() * t)"
+    return spark.range(42 * 24).selectExpr("'a' AS id", "id * 3600 AS ds", "id / 24 AS t").selectExpr("*", f"{curve} AS curve", f"{curve} + {noise} AS enmo")
+
+
+def test_bent_trend_is_recovered(spark):
+    rows = bent(spark)
+    got = {r["ds"]: r["enmo_forecast"] for r in forecast.forecast_by_group(rows.repartition(5), ["enmo"], 0).collect()}
+    assert max(abs(got[r["ds"]] - r["curve"]) for r in rows.collect()) < 1e-2
+    fitted = forecast.fit_seasonal(rows, ["enmo"], bend_days=7).first()
+    assert fitted["bends"] == [7.0, 14.0, 21.0, 28.0]
+    assert fitted["changes"] == pytest.approx([0, 0, 0.5, 0], abs=1e-3)
+    straight = {r["ds"]: r["enmo_forecast"] for r in forecast.forecast_by_group(rows, ["enmo"], 0, bend_days=None).collect()}
+    assert max(abs(straight[r["ds"]] - r["curve"]) for r in rows.collect()) > 0.3
+
+
+def test_shrunken_bends_are_the_optimum(spark):
+    """No other bends have a smaller penalised error than those found, and noise alone bends little."""
+    import numpy as np
+
+    rows = bent(spark, "3D * (pmod(xxhash64(ds), 1000) / 500 - 1)")
+    fitted = forecast.fit_seasonal(rows, ["enmo"], bend_days=7).first()
+    local = rows.toPandas()
+    y, days = local["enmo"].to_numpy(), local["ds"].to_numpy(float) / 86400
+    x = np.hstack([forecast._design_matrix(local["ds"].to_numpy(float)), np.maximum(days[:, None] - np.array(fitted["bends"]), 0)])
+    exact = x @ np.linalg.lstsq(x, y, rcond=None)[0]
+    penalty = ((y - exact) ** 2).mean() * 42 / (forecast.BEND_SCALE * np.sqrt((y**2).mean()))
+
+    def cost(b):
+        return ((y - x @ b) ** 2).sum() / 2 + penalty * np.abs(b[forecast.N_TERMS :]).sum()
+
+    found = np.array([*fitted["coef"], *fitted["changes"]])
+    least = cost(found)
+    rng = np.random.default_rng(3)
+    for step in (1e-1, 1e-2, 1e-3):
+        for _ in range(200):
+            assert cost(found + step * rng.normal(size=len(found)) * (rng.random(len(found)) < 0.2)) > least - 1e-6 * abs(least)
+    # The smooth part has no slope left, a bend that is not zero has the penalty's, a zero one less.
+    pull = x.T @ (y - x @ found)
+    size = np.sqrt((x**2).sum(0))
+    assert np.allclose(pull[: forecast.N_TERMS] / size[: forecast.N_TERMS], 0, atol=1e-3)
+    for b, p in zip(found[forecast.N_TERMS :], pull[forecast.N_TERMS :]):
+        assert abs(p) <= penalty * 1.001 if b == 0 else p == pytest.approx(np.sign(b) * penalty, rel=1e-3)
+
+
+def test_bends_of_long_and_short_series(spark):
+    """Two years have at most 25 bends; a series too short for its bends has a straight trend; null ids and times are left out."""
+    rows = spark.range(730 * 4).selectExpr("'long' AS id", "id * 21600 + 5 AS ds", "cast(id % 11 AS double) AS enmo")
+    rows = rows.union(spark.range(17).selectExpr("'short'", "id * 200000", "cast(id AS double)"))
+    rows = rows.union(spark.range(3).selectExpr("cast(NULL AS string)", "cast(NULL AS bigint)", "1D"))
+    fitted = {r["id"]: r for r in forecast.fit_seasonal(rows, ["enmo"], bend_days=7).collect()}
+    assert set(fitted) == {"long", "short"}
+    assert len(fitted["long"]["bends"]) == len(fitted["long"]["changes"]) == forecast.MAX_BENDS and max(fitted["long"]["bends"]) < 0.8 * 735
+    assert fitted["short"]["bends"] == [] and len(fitted["short"]["coef"]) == forecast.N_TERMS
+    assert forecast.forecast_by_group(rows.where("false"), ["enmo"]).count() == 0
+
+
 def test_metrics_of_a_perfect_model(spark):
     df = spark.createDataFrame([(0, 0), (1, 1), (2, 2)], "y int, p int")
     assert metrics.accuracy(df, "y", "p").first()[0] == 1.0
