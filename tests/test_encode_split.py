@@ -6,6 +6,7 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from cohortspark.operators import encode, split
 
@@ -98,3 +99,29 @@ def test_encoder_with_thousands_of_levels(spark):
     got = [r["features"] for r in fitted.assemble(other).orderBy("x").collect()]
     assert len(fitted.names) == 5001 and all(v.size == 5001 for v in got)
     assert [list(v.toArray()[1:].nonzero()[0]) for v in got] == [[4999], [], []]
+
+
+@pytest.mark.parametrize("edge_rows", [100_000, 3])
+def test_split_by_further_digits_is_exact(spark, monkeypatch, edge_rows):
+    """Cuts found below further digits of the hash are those of a full sort; one id holds a third of the rows."""
+    monkeypatch.setattr(split, "EDGE_ROWS", edge_rows)
+    keys = [str(7 if i % 3 == 0 else i) for i in range(3000)]
+    rows = spark.createDataFrame([(k, i % 2) for i, k in enumerate(keys)], "id string, y int")
+    got = split.split_three_way(rows, "y").collect()
+    for y in (0, 1):
+        own = [k for i, k in enumerate(keys) if i % 2 == y]
+        hashes = sorted(hashlib.md5(f"{k}|42".encode()).hexdigest() for k in own)
+        held = math.ceil(len(own) * 0.3)
+        cuts = hashes[math.ceil(held * 0.5) - 1], hashes[held - 1]
+        for r in (r for r in got if r["y"] == y):
+            h = hashlib.md5(f"{r['id']}|42".encode()).hexdigest()
+            assert r["split"] == ("test" if h <= cuts[0] else "validation" if h <= cuts[1] else "train")
+
+
+def test_few_rows_are_ranked(spark, monkeypatch):
+    """Of a million rows, no more than the bound are left below a cut's digits."""
+    monkeypatch.setattr(split, "EDGE_ROWS", 5)
+    rows = spark.range(1_000_000).select(F.lit("").alias("_stratum"), F.md5(F.col("id").cast("string")).alias("_hash"))
+    edge, digits = split._edges(rows, [[0.2], [0.7]])
+    left = split._below(rows, edge, digits).groupBy("_cut").count().collect()
+    assert digits > split._PREFIX and len(left) == 2 and max(r["count"] for r in left) <= 5
