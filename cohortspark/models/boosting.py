@@ -11,7 +11,7 @@ from __future__ import annotations
 import heapq
 import json
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortspark.functions.scalars import quote
-from cohortspark.session import ensure_checkpoint_dir
+from cohortspark.session import ensure_checkpoint_dir, scratch_path
 
 UNIT = 1 << 28  # gradients are rounded to its inverse; 2**34 rows can be summed
 BLOCK_ROWS = 4096
-LOCAL_ROWS = 4096  # of a node that one task grows to the end
+LOCAL_ROWS = 1 << 16  # of a node that one task grows to the end
+FEW_ROWS = 1024
 CELLS = 1 << 23  # gradient sums that a task holds at once; more nodes than that take another pass
 CHECKPOINT_ROUNDS = 20
 LEAST_HESSIAN, LEAST_GAIN = 1e-3, 1e-10
@@ -178,11 +179,27 @@ def in_bag(pick: np.ndarray, epoch: int, fraction: float) -> np.ndarray:
     return z < np.uint64(min(int(fraction * 2**64), 2**64 - 1))
 
 
-def _sums(cell: np.ndarray, g: np.ndarray, h: np.ndarray, repeats: int, size: int) -> np.ndarray:
-    """(3, size) sums of g, h and 1 by cell, where a row has ``repeats`` cells one after another by feature; exact, as sums of the
-    rows that one block or small node has stay below 2 ** 53."""
-    parts = [np.bincount(cell, np.tile(v.astype(np.float64), repeats), size) for v in (g, h)]
-    return np.array([*parts, np.bincount(cell, minlength=size)]).astype(np.int64)
+def _sums(bins: np.ndarray, g: np.ndarray, h: np.ndarray, offsets: np.ndarray, slot: np.ndarray | None = None, nodes: int = 1) -> np.ndarray:
+    """(3, nodes, cells) sums of g, h and 1 by node and cell, of rows with a bin in every feature; exact, as sums of the rows that one
+    block or small node has stay below 2 ** 53. Many rows are counted a feature at a time, whose cells stay in the cache."""
+    width, weights = int(offsets[-1]), [g.astype(np.float64)]
+    steady = len(h) > 0 and bool((h == h[0]).all())  # least squares: the second derivatives are the counts
+    if not steady:
+        weights.append(h.astype(np.float64))
+    if len(g) < FEW_ROWS:
+        cell = offsets[:-1, None] + bins
+        cell = (cell if slot is None else cell + slot * width).ravel()
+        parts = [np.bincount(cell, np.tile(v, len(bins)), nodes * width) for v in weights]
+        out = np.array([parts[0], parts[-1], np.bincount(cell, minlength=nodes * width)]).astype(np.int64).reshape(3, nodes, width)
+    else:
+        out = np.empty((3, nodes, width), np.int64)
+        for f, (first, end) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+            cell = bins[f].astype(np.intp) if slot is None else slot * (end - first) + bins[f]
+            for i, v in enumerate([*weights, None]):
+                out[2 if v is None else i, :, first:end] = np.bincount(cell, v, nodes * (end - first)).reshape(nodes, -1)
+    if steady:
+        out[1] = out[2] * h[0]
+    return out
 
 
 def choose(sums: np.ndarray, offsets: np.ndarray, params: BoostingParams) -> list[tuple | None]:
@@ -235,7 +252,7 @@ def _histograms(trees: list[Tree], wanted: list[list[int]], drawn: list[list[int
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         widths = [int(o[-1]) for o in offsets]
-        sums = [np.zeros((3, len(nodes) * width), np.int64) for nodes, width in zip(wanted, widths)]
+        sums = [np.zeros((3, len(nodes), width), np.int64) for nodes, width in zip(wanted, widths)]
         slots = _slots(trees, wanted)
         for batch in batches:
             for _, bins, label, pick, margin in _unpack(batch):
@@ -246,11 +263,10 @@ def _histograms(trees: list[Tree], wanted: list[list[int]], drawn: list[list[int
                         continue
                     slot = slots[k][tree.walk(bins, tree.bin)]
                     rows = np.flatnonzero((slot >= 0) & bag)
-                    cell = (slot[rows] * widths[k] + offsets[k][:-1, None] + bins[drawn[k]][:, rows]).ravel()
-                    sums[k] += _sums(cell, g[k][rows], h[k][rows], len(drawn[k]), sums[k].shape[1])
+                    sums[k] += _sums(bins[drawn[k]][:, rows], g[k][rows], h[k][rows], offsets[k], slot[rows], len(wanted[k]))
         for k, total in enumerate(sums):
             for i, node in enumerate(wanted[k]):
-                part = total[:, i * widths[k] : (i + 1) * widths[k]]
+                part = total[:, i]
                 if part[2].any():
                     yield pa.RecordBatch.from_pylist([{"c": k, "node": node, "sums": part.tobytes()}], _SUMS)
 
@@ -312,27 +328,30 @@ def _rows_of_nodes(trees: list[Tree], wanted: list[list[int]], drawn: list[list[
 def subtree(bins: np.ndarray, g: np.ndarray, h: np.ndarray, offsets: np.ndarray, depth: int, params: BoostingParams) -> list[tuple]:
     """All nodes below and with a small node: (rows, g, h, best cut, number of the left child; the right one follows it).
 
-    A level at a time; the larger of two siblings has its parent's sums less those of the smaller.
+    A level at a time; the larger of two siblings has its parent's sums less those of the smaller. Only cuts that leaf-wise growth
+    of this subtree alone would make are made: beside the rest of the tree there are no more of them.
     """
-    width, count = int(offsets[-1]), len(offsets) - 1
-    cells = offsets[:-1, None] + bins
     nodes: list[list] = [[len(g), int(g.sum()), int(h.sum()), None, 0]]
-    level = [(0, np.arange(len(g)), _sums(cells.ravel(), g, h, count, width))]
+    level = [(0, np.arange(len(g)), _sums(bins, g, h, offsets)[:, 0])]
     while level:
         following = []
-        for (number, rows, sums), best in zip(level, choose(np.stack([s for *_, s in level], axis=1), offsets, params)):
-            if best is None:
+        for (number, *_), best in zip(level, choose(np.stack([s for *_, s in level], axis=1), offsets, params)):
+            nodes[number][3] = best
+        picked = set(_leaf_wise(params.leaves, lambda n: nodes[n][3], lambda n: (nodes[n][4], nodes[n][4] + 1) if nodes[n][4] else ()))
+        for number, rows, sums in level:
+            n, gs, hs, best, _ = nodes[number]
+            if best is None or number not in picked:
+                nodes[number][3] = None
                 continue
             _, place, cut, gl, hl, nl = best
-            n, gs, hs = nodes[number][:3]
-            nodes[number][3:] = [best, len(nodes)]
+            nodes[number][4] = len(nodes)
             left = bins[place, rows] <= cut
             sides = [(nl, gl, hl, rows[left]), (n - nl, gs - gl, hs - hl, rows[~left])]
             nodes += [[*side[:3], None, 0] for side in sides]
             if depth + 1 < params.max_depth and max(nl, n - nl) >= 2 * params.min_leaf:
                 small = 0 if nl <= n - nl else 1
                 inside = sides[small][3]
-                own = _sums(cells[:, inside].ravel(), g[inside], h[inside], count, width)
+                own = _sums(bins[:, inside], g[inside], h[inside], offsets)[:, 0]
                 both = [own, sums - own] if small == 0 else [sums - own, own]
                 for i in range(2):
                     if sides[i][0] >= 2 * params.min_leaf:
@@ -375,23 +394,23 @@ def _by_node(df: DataFrame, nodes: int, blocks: int) -> DataFrame:
 # ---------------------------------------------------------------------------------------------------------- growth
 
 
-def _chosen(nodes: list[_Node], leaves: int) -> list[_Node]:
+def _leaf_wise(leaves: int, best: Callable[[int], tuple | None], children: Callable[[int], Sequence[int]]) -> list[int]:
     """The nodes that leaf-wise growth cuts, in order, as far as their best cuts are known: the largest gain first."""
-    picked, heap = [], []
-
-    def offer(node: _Node) -> None:
-        if node.best:
-            heapq.heappush(heap, (-node.best[0], node.number))
-
-    offer(nodes[0])
+    picked: list[int] = []
+    heap = [(-best(0)[0], 0)] if best(0) else []
     while heap and len(picked) < leaves - 1:
-        node = nodes[heapq.heappop(heap)[1]]
-        picked.append(node)
-        for child in node.children or ():
-            offer(nodes[child])
+        number = heapq.heappop(heap)[1]
+        picked.append(number)
+        for child in children(number):
+            if best(child):
+                heapq.heappush(heap, (-best(child)[0], child))
     return picked
 
 
+def _chosen(nodes: list[_Node], leaves: int) -> list[_Node]:
+    return [nodes[n] for n in _leaf_wise(leaves, lambda n: nodes[n].best, lambda n: nodes[n].children or ())]
+
+
 def _routing(nodes: list[_Node]) -> Tree:
     tree = Tree(*([0] * len(nodes) for _ in range(7)))
     for node in nodes:
@@ -676,21 +695,30 @@ class BoostedTreesModel(Model, DefaultParamsReadable, DefaultParamsWritable):
 
     def node_frame(self, df: DataFrame) -> DataFrame:
         """(round, class, node, feature, cut, left, right, value): every node of every tree; feature is NULL at leaves."""
-        rows = [
-            (r + 1, c, i, f if f >= 0 else None, t.cut[i], t.left[i], t.right[i], t.value[i])
-            for r, trees in enumerate(self.rounds)
-            for c, t in enumerate(trees)
-            for i, f in enumerate(t.feature)
-        ]
-        columns = "round int, class int, node int, feature int, cut double, left int, right int, value double"
-        return df.sparkSession.createDataFrame(rows, columns)
-
-
-def margins_by_join(model: BoostedTreesModel, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, round, class, margin) after every round, by descending the node frame with joins: a scorer that shares nothing with
-    the model's own. The keys identify a row."""
-    nodes = model.node_frame(df).persist()
-    steps, named = nodes.drop("value"), [quote(k) for k in keys]
+        trees = [(r + 1, c, t) for r, of_round in enumerate(self.rounds) for c, t in enumerate(of_round)]
+        sizes = [len(t.feature) for *_, t in trees]
+        feature = np.concatenate([np.asarray(t.feature, np.int32) for *_, t in trees])
+        columns = {
+            "round": pa.array(np.repeat([r for r, *_ in trees], sizes), pa.int32()),
+            "class": pa.array(np.repeat([c for _, c, _ in trees], sizes), pa.int32()),
+            "node": pa.array(np.concatenate([np.arange(n) for n in sizes]), pa.int32()),
+            "feature": pa.array(feature, pa.int32(), mask=feature < 0),
+        }
+        for name, kind in (("cut", pa.float64()), ("left", pa.int32()), ("right", pa.int32()), ("value", pa.float64())):
+            columns[name] = pa.array([v for *_, t in trees for v in getattr(t, name)], kind)
+        return df.sparkSession.createDataFrame(pa.table(columns))
+
+
+def margins_by_join(model: BoostedTreesModel, df: DataFrame, keys: Sequence[str], last: bool = False) -> DataFrame:
+    """(keys, round, class, margin) after every round, or after the last one only, by descending the node frame with joins: a scorer
+    that shares nothing with the model's own. The keys identify a row.
+
+    The nodes, whose number the rounds and leaves bound, are sent to the rows; only the last margins' sums, or the values of all rounds, are exchanged.
+    """
+    path = scratch_path(df.sparkSession, "nodes")
+    model.node_frame(df).write.parquet(path)
+    nodes, named = df.sparkSession.read.parquet(path), [quote(k) for k in keys]
+    steps = F.broadcast(nodes.drop("value"))
     values = vector_to_array(model.getOrDefault(model.featuresCol))
     rounds = F.explode(F.sequence(F.lit(1), F.lit(len(model.rounds)))).alias("round")
     classes = F.explode(F.sequence(F.lit(0), F.lit(len(model.start) - 1))).alias("class")
@@ -698,9 +726,12 @@ def margins_by_join(model: BoostedTreesModel, df: DataFrame, keys: Sequence[str]
     for _ in range(max((_depth(t) for r in model.rounds for t in r), default=0)):
         to = F.when(F.col("feature").isNull(), F.col("node")).when(F.get("_x", F.col("feature")) <= F.col("cut"), F.col("left"))
         at = at.join(steps, ["round", "class", "node"]).select(*named, "_x", "round", "class", to.otherwise(F.col("right")).alias("node"))
-    done = at.join(nodes.select("round", "class", "node", "value"), ["round", "class", "node"])
-    so_far = Window.partitionBy(*named, "class").orderBy("round").rowsBetween(Window.unboundedPreceding, 0)
+    done = at.join(F.broadcast(nodes.select("round", "class", "node", "value")), ["round", "class", "node"])
     begin = F.element_at(F.array(*[F.lit(s) for s in model.start]), F.col("class") + 1)
+    if last:
+        sums = done.groupBy(*named, "class").agg(F.sum("value").alias("_sum"))
+        return sums.select(*named, F.lit(len(model.rounds)).alias("round"), "class", (begin + F.col("_sum")).alias("margin"))
+    so_far = Window.partitionBy(*named, "class").orderBy("round").rowsBetween(Window.unboundedPreceding, 0)
     return done.select(*named, "round", "class", (begin + F.sum("value").over(so_far)).alias("margin"))
 
 

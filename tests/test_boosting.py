@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -253,3 +254,53 @@ def test_a_forest_of_random_labels_fails_the_query(spark, monkeypatch, name):
         monkeypatch.setattr(module, "train_random_forest", shuffled)
     sf = "/root/testdata/sf0.001"
     assert compare(QUERIES[name](spark, sf), connect(sf), ORACLES[name])
+
+
+def test_subtrees_stop_where_leaf_wise_growth_would():
+    """A small node's subtree makes no more cuts than the tree has leaves for, and the best of them; sums are the same counted a
+    feature at a time."""
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, 40, (6, 4000)).astype(np.uint8)
+    offsets = np.arange(0, 241, 40)
+    g = np.rint(rng.normal(size=4000) * boosting.UNIT).astype(np.int64)
+    h = np.rint(rng.random(4000) * boosting.UNIT).astype(np.int64)
+    grown = [boosting.subtree(bins, g, h, offsets, 0, boosting.BoostingParams(2, max_depth=8, min_leaf=5, leaves=n)) for n in (12, 4000)]
+    assert len(grown[0]) < 2 * 16 < 200 < len(grown[1])
+
+    def first(found):
+        best = lambda n: found[n][3]
+        return [best(n) for n in boosting._leaf_wise(12, best, lambda n: (found[n][4], found[n][4] + 1) if best(n) else ())]
+
+    assert len(first(grown[0])) == 11 and first(grown[0]) == first(grown[1])
+    whole = boosting._sums(bins, g, h, offsets)
+    assert all((whole[:, 0] == sum(boosting._sums(bins[:, i : i + 500], g[i : i + 500], h[i : i + 500], offsets)[:, 0] for i in range(0, 4000, 500))).ravel())
+
+
+def _below_exchange(frame):
+    """The lines of a plan that lie below an exchange, with the kinds of the exchanges above them."""
+    above = []
+    for line in frame._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        above = [(d, kind) for d, kind in above if d < depth]
+        yield line, [kind for _, kind in above]
+        if "Exchange" in line:
+            above.append((depth, "broadcast" if "BroadcastExchange" in line else "shuffle"))
+
+
+def test_scoring_by_joins_sends_the_nodes_to_the_rows(spark):
+    """Rows times trees are neither broadcast nor shuffled before they are added up, however small the rows' files are."""
+    frame = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        spark.range(200).selectExpr("cast(id AS string) AS id", "id % 7D AS a", "id % 5D AS b", "cast(id % 3 AS double) AS y")
+    )
+    forest = trees.train_random_forest(frame, "y", num_trees=4, max_depth=3)
+    booster = trees.train_boosted_trees(frame, "y", classes=3, rounds=2, max_depth=3, min_leaf=1)
+    margins = boosting.margins_by_join(booster, frame, ["id"], last=True)
+    for scored in (trees.probabilities_by_join(forest, frame), margins):
+        found = [kinds for line, kinds in _below_exchange(scored) if "Generate explode" in line]
+        assert found and all(kinds == ["shuffle"] for kinds in found)  # the one that adds up a row's trees
+    rounds = boosting.margins_by_join(booster, frame, ["id"]).where("round = 2")
+    whole = {(r["id"], r["class"]): r["margin"] for r in rounds.collect()}
+    assert {(r["id"], r["class"]): r["margin"] for r in margins.collect()} == pytest.approx(whole)
+    counts = dict(trees.score_batch(forest, frame).select("id", "probabilities").collect())
+    for r in trees.probabilities_by_join(forest, frame).collect():
+        assert r["probabilities"] == pytest.approx(counts[r["id"]])
