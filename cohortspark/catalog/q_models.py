@@ -17,6 +17,7 @@ from cohortspark.catalog.q_encode import RANKED_SQL, split_cte
 from cohortspark.catalog.registry import query, rnd
 from cohortspark.functions import scalars
 from cohortspark.models import boosting, forecast, metrics, thresholds, trees
+from cohortspark.models.trees import spread
 from cohortspark.operators import aggregates, encode, joins, profile, split
 from cohortspark.operators.clean import filter_not_null
 from cohortspark.operators.numbering import ordered_row_id
@@ -147,11 +148,13 @@ _TEST = f", {_LABELLED} SELECT id, {rnd('sii', 'sii')}, {{}} FROM cut WHERE spli
 def _model_rows(spark, sf) -> DataFrame:
     """Labelled subjects with their mean activity and light, and the part they belong to.
 
-    They are written once: training passes over its rows several times.
+    They are written once, as training passes over its rows several times, and spread by their number: files that are small in bytes
+    would leave hundreds of trees a row to one task.
     """
     activity = aggregates.summarise(series(spark, sf), ["id"], {"enmo": ("mean",), "light": ("mean",)})
     rows = filter_not_null(joins.left_join(subjects(spark, sf), activity, "id"), "sii")
-    return readers.read_parquet(spark, writers.write_parquet(split.split_random(rows), scratch_path(spark, "model-rows")))
+    parts = spread(subjects(spark, sf).count(), spark)
+    return readers.read_parquet(spark, writers.write_parquet(split.split_random(rows).repartition(parts, "id"), scratch_path(spark, "model-rows")))
 
 
 def _encoder(rows: DataFrame) -> encode.FeatureEncoder:
@@ -201,9 +204,9 @@ def train_random_forest(spark, sf):
     return _judged(rows, model, train)
 
 
-def _joined_margins(model, rows: DataFrame) -> DataFrame:
-    """(id, sii, round, m) with the margins of all classes after every round."""
-    margins = boosting.margins_by_join(model, rows, ["id", "sii"])
+def _joined_margins(model, rows: DataFrame, last: bool = False) -> DataFrame:
+    """(id, sii, round, m) with the margins of all classes after every round, or the last one."""
+    margins = boosting.margins_by_join(model, rows, ["id", "sii"], last)
     in_order = F.array_sort(F.collect_list(F.struct("class", "margin")))
     return margins.groupBy("id", "sii", "round").agg(F.transform(in_order, lambda z: z["margin"]).alias("m"))
 
@@ -218,7 +221,7 @@ def _softmax(m: str):
 def train_boosted_trees(spark, sf):
     train, test = _encoded(spark, sf)
     model = trees.train_boosted_trees(train, "sii")
-    joined = _joined_margins(model, test).where(F.col("round") == len(model.rounds)).select("id", _softmax("m").alias("q"))
+    joined = _joined_margins(model, test, last=True).select("id", _softmax("m").alias("q"))
     rows = trees.score_batch(model, test).join(joined, "id").select("id", "sii", (_apart("probabilities", "q") < 1e-9).alias("agrees"))
     return _judged(rows, model, train)
 
@@ -227,7 +230,7 @@ def train_boosted_trees(spark, sf):
 def train_ordinal_score(spark, sf):
     train, test = _encoded(spark, sf)
     model = trees.train_ordinal_score(train, "sii")
-    joined = _joined_margins(model, test).where(F.col("round") == len(model.rounds)).select("id", F.get("m", F.lit(0)).alias("q"))
+    joined = _joined_margins(model, test, last=True).select("id", F.get("m", F.lit(0)).alias("q"))
     rows = trees.score_batch(model, test).join(joined, "id")
     return _judged(rows.select("id", "sii", (F.abs(F.col("prediction") - F.col("q")) < 1e-9).alias("agrees")), model, train)
 
