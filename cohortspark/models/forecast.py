@@ -1,8 +1,8 @@
 """Seasonal forecasts per participant and feature.
 
-The model is a trend plus daily and weekly harmonics, fitted by least squares. Each task reduces its own samples,
-in Arrow batches, to the sums of the normal equations; Spark adds those up per series and segment of time, so a
-participant's samples never meet in one task. Only the finished 16 x 17 sums are solved.
+The model is a trend plus daily and weekly harmonics, fitted by least squares. Samples are brought together by participant,
+and each task reduces its own, in Arrow batches, to the sums of the normal equations; Spark adds those up per series and
+segment of time, so a participant with much of the data need not fit one task. Only the finished 16 x 17 sums are solved.
 
 The trend may change its slope where segments meet: within a segment such a bend is a straight line, so the sums of
 any bend follow from those of the segments, and one scan is enough. Changes of slope are shrunken by a penalty on
@@ -39,7 +39,9 @@ SWEEPS = 500
 _SEASONS = ((1.0, DAILY_HARMONICS), (7.0, WEEKLY_HARMONICS))
 _CYCLES = [k / period for period, harmonics in _SEASONS for k in range(1, harmonics + 1)]
 # Partial sums a task keeps before it hands them on.
-_MAX_OPEN_SERIES = 8192
+_MAX_OPEN_SERIES = 2048
+# Series whose equations, and all that solving them takes, a task holds at once.
+SOLVED_AT_ONCE = 256
 
 
 def sample_time(day: Column | str = "relative_date_PCIAT", time_of_day: Column | str = "time_of_day") -> Column:
@@ -151,7 +153,10 @@ def fit_seasonal(
         *[F.col(quote(f)).cast("double").alias(f"y{k}") for k, f in enumerate(features)],
     ).where("id IS NOT NULL AND ds IS NOT NULL")
     work = _partial_sums(list(features), bend_days and bend_days * DAY)
-    partial = samples.mapInPandas(work, "id string, segment bigint, feature string, n bigint, g array<double>")
+    # Sums are far wider than samples, so an id's samples are brought together first; AQE splits an id that holds much of the data,
+    # whose sums then still meet below.
+    together = samples.hint("rebalance", F.col("id")).sortWithinPartitions("id", "ds")
+    partial = together.mapInPandas(work, "id string, segment bigint, feature string, n bigint, g array<double>")
     totals = [F.expr(f"sum(get(g, {i}))").alias(f"g{i}") for i in range(_N_SUMS)]
     normal = partial.groupBy("id", "feature", "segment").agg(F.expr("sum(n)").alias("n"), *totals)
     packed = normal.selectExpr("id", "feature", "n", "segment", f"array({', '.join(f'g{i}' for i in range(_N_SUMS))}) AS g")
@@ -159,7 +164,10 @@ def fit_seasonal(
 
     @F.pandas_udf(_FITTED)
     def solve(segments: pd.Series) -> pd.DataFrame:
-        return _solve([[(s["segment"], s["n"], s["g"]) for s in one] for one in segments], float(bend_days or 0))
+        parts = (segments.iloc[i : i + SOLVED_AT_ONCE] for i in range(0, max(len(segments), 1), SOLVED_AT_ONCE))
+        return pd.concat(
+            [_solve([[(s["segment"], s["n"], s["g"]) for s in one] for one in part], float(bend_days or 0)) for part in parts], ignore_index=True
+        )
 
     enough = F.when(F.col("n") >= N_TERMS, solve("s"))
     return series.select("id", "feature", "n", enough.alias("m")).select("id", "feature", "n", "m.coef", "m.bends", "m.changes")

@@ -266,3 +266,16 @@ def test_ordinal_run(spark, separable):
     rounds = run.by_round.orderBy("round").collect()
     assert [r["round"] for r in rounds] == [1, 2, 3]
     assert all(r["loss"] < 0.3 and 0.5 < r["kappa"] <= 1 for r in rounds)
+
+
+def test_forecasts_of_many_series_meet_by_id_and_are_solved_in_parts(spark):
+    """Samples, not their much wider sums, are exchanged first; series beyond one part are solved like those of the first."""
+    ids = forecast.SOLVED_AT_ONCE + 40
+    rows = spark.range(ids * 40).selectExpr(
+        f"cast(id % {ids} AS string) AS id", f"cast(id / {ids} AS bigint) * 30000 AS ds", f"cast(id / {ids} AS bigint) * 0.5D + id % {ids} AS enmo"
+    ).coalesce(1)
+    fitted = forecast.fit_seasonal(rows, ["enmo"], bend_days=7)
+    assert "REBALANCE_PARTITIONS_BY_COL" in fitted._jdf.queryExecution().executedPlan().toString()
+    got = forecast.forecast_by_group(rows, ["enmo"], 0).collect()
+    assert len(got) == ids * 40
+    assert all(abs(r["enmo_forecast"] - (r["ds"] / 30000 * 0.5 + int(r["id"]))) < 1e-2 * (1 + int(r["id"])) for r in got)
