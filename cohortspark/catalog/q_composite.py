@@ -112,9 +112,10 @@ def train_and_evaluate(spark, sf):
         passthrough=["battery_voltage_mean_moving_avg"],
     )
     again = run.scored.agg(F.avg((F.col("actual") == F.col("predicted_class")).cast("double")).alias("a"))
-    quality = beside(trees.fit_quality(run.model, train, "sii"), again).select(
+    fitted = trees.fit_quality(run.model, train, "sii")
+    quality = beside(fitted, again).select(
         (F.abs(F.col("a") - F.lit(run.accuracy)) < 1e-9).alias("accuracy_agrees"),
         "majority",
-        (F.col("accuracy") > 1.1 * F.col("majority")).alias("beats_majority"),
+        trees.has_learnt(fitted).alias("beats_majority"),
     )
     return beside(run.report.where("section > 0 OR support > 0").select("label", "support"), quality)

@@ -2,8 +2,8 @@
 
 All models are trained with the tuned parameters, the functions' defaults. A model has no SQL counterpart, so its query returns
 what a right one must show: its scores are those of its exported trees, descended by joins that share no code with the model, and
-on the rows it learnt from it is right more often than the commonest class by a tenth (a score: its squared error is below the
-label's variance). A stump or a model of other labels fails that.
+on the rows it learnt from it is right clearly more often than a guess (a score: its squared error is below the label's variance;
+``trees.has_learnt``). A stump or a model of other labels fails that.
 """
 
 from __future__ import annotations
@@ -182,9 +182,8 @@ def beside(rows: DataFrame, one: DataFrame) -> DataFrame:
 def _judged(rows: DataFrame, model, train: DataFrame) -> DataFrame:
     """Adds how the model does on the rows it learnt from."""
     quality = trees.fit_quality(model, train, "sii")
-    if "majority" in quality.columns:
-        return beside(rows, quality.select("majority", (F.col("accuracy") > 1.1 * F.col("majority")).alias("beats_majority")))
-    return beside(rows, quality.select("variance", (F.col("error") < 0.97 * F.col("variance")).alias("below_variance")))
+    name, shown = ("majority", "beats_majority") if "majority" in quality.columns else ("variance", "below_variance")
+    return beside(rows, quality.select(name, trees.has_learnt(quality).alias(shown)))
 
 
 def _apart(p: str, q: str):

@@ -3,8 +3,10 @@ import random
 
 import pytest
 from pyspark.errors import SparkRuntimeException
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from cohortspark.catalog import q_models
 from cohortspark.functions.scalars import register_multiplier
 from cohortspark.models import forecast, metrics, trees
 from cohortspark.operators import aggregates, encode, joins, signature
@@ -68,6 +70,23 @@ def test_ordinal_score_and_adjustment(encoded):
     assert trees.eval_by_iteration(model, encoded, "y").count() == 5
 
 
+def test_labels_that_the_inputs_hardly_tell_are_still_seen_to_be_learnt(spark):
+    """A balanced forest on 20,000 rows of random labels is right less often than their commonest class, yet it has fitted them;
+    a stump, or a forest of other labels, has not."""
+    rng = random.Random(8)
+    data = [(rng.random(), rng.random(), float(rng.random() < 0.35), float(rng.random() < 0.35)) for _ in range(20_000)]
+    frame = spark.createDataFrame(data, "a double, b double, sii double, other double")
+    frame = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(frame).cache()
+    models = [
+        trees.train_random_forest(frame, "sii", num_trees=10, max_depth=10),
+        trees.train_random_forest(frame, "sii", num_trees=1, max_depth=1),
+        trees.train_random_forest(frame, "other", num_trees=10, max_depth=10),
+    ]
+    one = spark.range(1)
+    assert trees.fit_quality(models[0], frame, "sii").selectExpr("accuracy < 1.1 * majority").head()[0]
+    assert [q_models._judged(one, m, frame).head().beats_majority for m in models] == [True, False, False]
+
+
 def test_scoring_checks_the_signature(encoded):
     model = trees.train_random_forest(encoded, "y", **SMALL)
     with pytest.raises(TypeError):
