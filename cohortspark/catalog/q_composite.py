@@ -100,14 +100,20 @@ def _with_lookups(rows, features):
     f" SELECT label, support, true AS accuracy_agrees, {rnd('(SELECT max(n) / sum(n) FROM trained)', 'majority')}, true AS beats_majority FROM r",
 )
 def train_and_evaluate(spark, sf):
-    """Store the series features, split, look features up, train on one part and report on the other."""
+    """Store the series features, split, look features up, train on one part and report on the other.
+
+    The rows with their features are written once, as they are passed over for training, testing and judging, and spread by their
+    number, or a file small in bytes would have one task score them with every tree.
+    """
     stored = writers.write_parquet(aggregates.series_summary(series(spark, sf)), scratch_path(spark, "features"))
     features = readers.read_parquet(spark, stored)
-    labelled = split.split_random(subjects(spark, sf))
-    train = _with_lookups(split.take(labelled, "train"), features)
+    labelled = _with_lookups(split.split_random(subjects(spark, sf)), features)
+    parts = trees.spread(subjects(spark, sf).count(), spark)
+    rows = readers.read_parquet(spark, writers.write_parquet(labelled.repartition(parts, "id"), scratch_path(spark, "run-rows")))
+    train = split.take(rows, "train")
     run = training.train_and_evaluate(
         train,
-        _with_lookups(split.take(labelled, "test"), features),
+        split.take(rows, "test"),
         SUBJECT_SPEC,
         passthrough=["battery_voltage_mean_moving_avg"],
     )

@@ -43,3 +43,20 @@ def test_blocks_share_the_partitioning_of_their_key(spark):
 def test_columns_are_pruned_and_filters_pushed(spark):
     text = plan(aggregates.summarise(series(spark, SF_DIR), ["step"], {"Y": ("mean",)}))
     assert "ReadSchema: struct<event_id:bigint>" in text and "IsNotNull(event_id)" in text
+
+
+def test_the_run_reads_its_rows_from_files(spark, monkeypatch):
+    """Training, testing and judging pass over stored rows, not over the split and the lookups each time."""
+    from cohortspark.catalog import QUERIES
+    from cohortspark.plans import training
+
+    seen = []
+
+    def stop(train, test, *_, **__):
+        seen.extend([train, test])
+        raise InterruptedError
+
+    monkeypatch.setattr(training, "train_and_evaluate", stop)
+    with pytest.raises(InterruptedError):
+        QUERIES["train_and_evaluate"](spark, "/root/testdata/sf0.001")
+    assert all("run-rows-" in path for frame in seen for path in frame.inputFiles())
