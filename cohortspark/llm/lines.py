@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ from cohortspark.llm.frames import free_names, saved, table, texts
 
 EDIT_FROM = 10  # lines of at least so many words may differ by one word; shorter ones must be equal
 CHUNK = 4 << 20
-HALVES = 4
+KEY_BITS = 48  # of a half key; four keys are stored in three words
 SIEVE_BITS = 1 << 26
 TAG = np.uint64(0xD6E8FEB86659FD93)
 
@@ -58,11 +58,27 @@ def variants(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mix(left + (np.arange(n, dtype=np.uint64) + np.uint64(1)) * TAG), left
 
 
-LINES = "hash long, doc_id long, line int, k0 long, k1 long, k2 long, k3 long"
+def packed(keys: list[np.ndarray]) -> list[np.ndarray]:
+    """The four half keys cut to 48 bits, the last one in the upper bits of the other three. Keys only find lines that may have a
+    partner: a false equality lets a line pass on, to be compared as any other, and loses none."""
+    low, room = [k >> np.uint64(64 - KEY_BITS) for k in keys], np.uint64(64 - KEY_BITS)
+    part = np.uint64((1 << 64 - KEY_BITS) - 1)
+    return [low[i] | (low[3] >> np.uint64(i) * room & part) << np.uint64(KEY_BITS) for i in range(3)]
+
+
+def unpacked() -> Column:
+    """The array of the four half keys in k0, k1 and k2."""
+    words = [F.col(f"k{i}") for i in range(3)]
+    parts = [F.shiftleft(F.shiftrightunsigned(w, KEY_BITS), i * (64 - KEY_BITS)) for i, w in enumerate(words)]
+    low = [w.bitwiseAND(F.lit((1 << KEY_BITS) - 1)) for w in words]
+    return F.array(*low, parts[0].bitwiseOR(parts[1]).bitwiseOR(parts[2]))
+
+
+LINES = "hash long, doc_id long, line int, k0 long, k1 long, k2 long"
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """(hash, doc_id, line, k0..k3): a row per line with a word, and its half keys if it may differ by an edit."""
+    """(hash, doc_id, line, k0..k2): a row per line with a word, and its half keys if it may differ by an edit."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,7 +89,7 @@ def line_table(docs: DataFrame) -> DataFrame:
                 found = read_lines(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 text, number, low, high, hashes, words = found
                 short = pa.array(high - low < EDIT_FROM)
-                keys = [pa.array(k.view(np.int64)) for k in half_keys(words, low, high)]
+                keys = [pa.array(k.view(np.int64)) for k in packed(half_keys(words, low, high))]
                 nothing = pa.scalar(None, pa.int64())
                 columns = [pa.array(hashes.view(np.int64)), pa.array(ids[a:b][text]), pa.array(number, pa.int32())]
                 columns += [pa.compute.if_else(short, nothing, k) for k in keys]
@@ -191,9 +207,9 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     held = texts(docs, id_col, text_col)
     lines = saved(line_table(held))
     place = F.struct("doc_id", "line")
-    keys = [F.first(f"k{i}").alias(f"k{i}") for i in range(HALVES)]
+    keys = [F.first(f"k{i}").alias(f"k{i}") for i in range(3)]
     distinct = saved(lines.groupBy("hash").agg(F.min(place).alias("at"), *keys))
-    halves = distinct.select("hash", F.explode(F.array(*(f"k{i}" for i in range(HALVES)))).alias("key")).where("key IS NOT NULL")
+    halves = distinct.select("hash", F.explode(unpacked()).alias("key")).where("key IS NOT NULL")
     shared = halves.groupBy("key").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).where("a <> b").select("key")
     wanted = halves.join(shared, "key", "left_semi").select("hash").distinct()
     wanted = distinct.join(wanted, "hash").select("hash", "at.doc_id", "at.line")

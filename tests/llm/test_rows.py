@@ -1,8 +1,10 @@
 """Stages of the pipeline judge rows, not ids."""
 
 import corpus_pipeline
+import numpy as np
 import pytest
 
+from cohortspark.llm import lines
 from cohortspark.llm.decontaminate import drop_contaminated
 from cohortspark.llm.lines import drop_duplicate_lines
 from cohortspark.llm.simhash import one_per_component
@@ -53,3 +55,13 @@ def test_near_dedup_keeps_one_of_equal_rows_and_the_least_of_ties(spark):
     assert len(left) == 6 and len(set(left)) == 3
     assert {(i, t) for i, t, _ in left} == {(4, text), (None, text), (4, "")}
     assert one_per_component(docs.where("false")).collect() == []
+
+
+def test_half_keys_travel_in_three_words(spark):
+    """Four keys of 48 bits come back from the three words a line is stored with."""
+    rng = np.random.default_rng(3)
+    keys = [rng.integers(0, 1 << 64, 50, np.uint64, endpoint=False) for _ in range(4)]
+    stored = [lines.packed(keys)[i].view(np.int64).tolist() for i in range(3)]
+    found = spark.createDataFrame(list(zip(*stored, strict=True)), "k0 long, k1 long, k2 long").select(lines.unpacked().alias("k"))
+    assert [r.k for r in found.collect()] == [[int(k[i]) >> 16 for k in keys] for i in range(50)]
+    assert "k3" not in lines.LINES
