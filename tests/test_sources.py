@@ -189,3 +189,22 @@ def test_unreadable_files_are_listed_with_reasons(spark, tmp_path):
     assert sorted(r.step for r in readers.read_series(spark, roots, skip_unreadable=True).collect()) == [1, 3]
     assert readers.unreadable_files(spark, str(root / "id=a")).isEmpty()
     assert readers.unreadable_files(spark, [str(tmp_path / "gone")]).count() == 1
+
+
+def test_folders_are_listed_once_by_few_tasks(spark, series_root, tmp_path):
+    """Missing roots are told by the scan's error, one after another; sound roots are scanned once, and the session's setting stays."""
+    (tmp_path / "b").mkdir()
+    name, calls = "spark.sql.sources.parallelPartitionDiscovery.parallelism", []
+    before = spark.conf.get(name)
+
+    def scan(paths):
+        calls.append(list(paths))
+        return spark.read.schema("step long").parquet(*paths)
+
+    roots = [str(tmp_path / "gone" / "b"), str(series_root), str(tmp_path / "b"), str(tmp_path / "gone too/")]
+    with readers._few_listing_tasks(spark):
+        assert int(spark.conf.get(name)) == 4 * spark.sparkContext.defaultParallelism
+        frame, present = readers._scan_present(scan, roots)
+    assert spark.conf.get(name) == before and present == roots[1:3] and frame.count() == 3
+    assert sum(roots[1] in c for c in calls) == 3 and calls[-1] == present  # the first two fail before anything is listed
+    assert readers._scan_present(scan, roots[:1]) == (None, [])
