@@ -24,6 +24,9 @@ MIN_TEXTS = 5
 THRESHOLD = 0.3
 ROUNDS = 12
 CHUNK = 4 << 20
+SAMPLE_CHUNK = 1 << 18  # the fit runs on the driver, so its temporary arrays are kept to a few MB
+WORDS_AT_ONCE = 1 << 16
+DIFFERENT_AT_ONCE = 1 << 12
 
 
 @dataclass
@@ -45,7 +48,7 @@ def read_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     sizes = (ends - starts)[first]
     begin = np.r_[0, np.cumsum(sizes + 2)]
     marked = np.zeros(begin[-1], np.uint64)
-    inner = np.arange(sizes.sum()) - np.repeat(np.r_[0, np.cumsum(sizes)[:-1]], sizes)
+    inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     marked[np.repeat(begin[:-1] + 1, sizes) + inner] = BYTE_CODE[data[np.repeat(starts[first], sizes) + inner]]
     parts, owner = [], []
     where = np.repeat(np.arange(len(sizes)), sizes + 2)
@@ -61,6 +64,47 @@ def read_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(hashes, index, bounds, slots[order], np.searchsorted(owners_[order], np.arange(len(sizes) + 1)))
 
 
+def slots_of(words: Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slots of these words one after another, and each word's number of them."""
+    low, high = words.slot_bounds[which], words.slot_bounds[which + 1]
+    count = high - low
+    return words.slots[np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)], count
+
+
+def read_sample(sample: list[str]) -> Words:
+    """As ``read_words`` of all texts, but read by runs of texts, whose words are brought together by their hashes."""
+    data, offsets = text_bytes(pa.array(sample, pa.large_string()))
+    seen, parts, slots, counts, bounds, total = np.zeros(0, np.uint64), [], [], [], [np.zeros(1, np.int64)], 0
+    for a, b in chunks(offsets, SAMPLE_CHUNK):
+        part = read_words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        new = np.flatnonzero(~np.isin(part.hashes, seen))
+        seen = np.r_[seen, part.hashes[new]]
+        parts.append((part.hashes, part.index.astype(np.int32)))
+        for held, found in zip((slots, counts), slots_of(part, new)):
+            held.append(found)
+        bounds.append(part.bounds[1:] + total)
+        total += len(part.index)
+    order = np.argsort(seen)
+    hashes, count = seen[order], np.concatenate(counts)
+    read = Words(seen, np.zeros(0, np.int32), np.zeros(0, np.int64), np.concatenate(slots), np.r_[0, np.cumsum(count)])
+    index = np.concatenate([np.searchsorted(hashes, own).astype(np.int32)[at] for own, at in parts])
+    sorted_ = [slots_of(read, order[a : a + DIFFERENT_AT_ONCE])[0] for a in range(0, max(1, len(order)), DIFFERENT_AT_ONCE)]
+    return Words(hashes, index, np.concatenate(bounds), np.concatenate(sorted_), np.r_[0, np.cumsum(count[order])])
+
+
+def text_counts(words: Words, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """In how many texts each word stands, and in how many of label 1."""
+    n = len(words.hashes)
+    all_, yes = np.zeros(n, np.int64), np.zeros(n)
+    for a, b in chunks(words.bounds, WORDS_AT_ONCE):
+        part = slice(words.bounds[a], words.bounds[b])
+        pairs = np.unique(owners(words.bounds[a : b + 1]) * np.int64(n + 1) + words.index[part])
+        text, word = pairs // (n + 1), pairs % (n + 1)
+        all_ += np.bincount(word, minlength=n)
+        yes += np.bincount(word, labels[a:b][text], n)
+    return all_, yes
+
+
 def windows(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First word and length of overlapping windows over every text, and each text's first window; no words, one empty one."""
     sizes = np.diff(bounds)
@@ -127,9 +171,8 @@ class Network:
         """Each different word's vector: its embedding and the mean of its grams' embeddings, scaled."""
         low, high = words.slot_bounds[:-1], words.slot_bounds[1:]
         out = self.w["word"][self.known(words.hashes)]
-        step = 50_000
-        for a in range(0, len(low), step):
-            b = min(a + step, len(low))
+        for a in range(0, len(low), DIFFERENT_AT_ONCE):
+            b = min(a + DIFFERENT_AT_ONCE, len(low))
             if high[b - 1] > low[a]:
                 values = self.w["gram"][words.slots[low[a] : high[b - 1]]]
                 sums = np.add.reduceat(values, np.minimum(low[a:b] - low[a], len(values) - 1))
@@ -172,12 +215,13 @@ class Network:
         back = index[np.clip(first + sizes - 1 - at, 0, top)]
         return np.stack([table[0][ahead], table[1][back]])
 
-    def logits(self, words: Words, first: np.ndarray, sizes: np.ndarray, block: int = 4096) -> np.ndarray:
+    def logits(self, words: Words, first: np.ndarray, sizes: np.ndarray, block: int = 512) -> np.ndarray:
         out = np.empty(len(first), np.float32)
         if not len(words.index):
             out[:] = self.w["base"]
             return out
-        table = self.inputs(words) @ self.w["input"] + self.w["bias"]
+        table = self.inputs(words) @ self.w["input"]
+        table += self.w["bias"]
         for a in range(0, len(first), block):
             part = slice(a, a + block)
             out[part] = self.run(self.gather(table, words.index, first[part], sizes[part]), sizes[part])
@@ -192,9 +236,7 @@ class Network:
         ahead = words.index[np.minimum(first + at, top)]
         used, place = np.unique(ahead, return_inverse=True)
         place = place.reshape(ahead.shape)
-        low, high = words.slot_bounds[used], words.slot_bounds[used + 1]
-        count = high - low
-        slots = words.slots[np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
+        slots, count = slots_of(words, used)
         owner = np.repeat(np.arange(len(used)), count)
         scale = (np.maximum(count, 1) ** -0.5).astype(np.float32)
         ids = self.known(words.hashes[used])
@@ -245,12 +287,8 @@ class Network:
         return grad
 
 
-def telling(words: Words, labels: np.ndarray) -> np.ndarray:
+def telling(all_: np.ndarray, yes: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """Each word's log odds of standing in texts of label 1, by counts of texts."""
-    pairs = np.unique(owners(words.bounds) * np.int64(len(words.hashes) + 1) + words.index)
-    text, word = pairs // (len(words.hashes) + 1), pairs % (len(words.hashes) + 1)
-    yes = np.bincount(word, labels[text], len(words.hashes))
-    all_ = np.bincount(word, minlength=len(words.hashes))
     return np.log((yes + 0.5) / (labels.sum() + 1)) - np.log((all_ - yes + 0.5) / (len(labels) - labels.sum() + 1))
 
 
@@ -264,14 +302,13 @@ def fit_network(sample: list[str], labels: list[int], share: float, rounds: int
         net.w["out"][:] = 0
         net.shift = float(np.log(max(share or 0.0, 1e-6) / max(1 - (share or 0.0), 1e-6)))
         return net
-    words = read_words(*text_bytes(pa.array(sample, pa.large_string())))
-    pairs = np.unique(owners(words.bounds) * np.int64(len(words.hashes) + 1) + words.index) % (len(words.hashes) + 1)
-    often = np.bincount(pairs, minlength=len(words.hashes)) >= MIN_TEXTS
-    net = Network.fresh(words.hashes[often], seed)
+    words = read_sample(sample)
+    counts = text_counts(words, y)
+    net = Network.fresh(words.hashes[counts[0] >= MIN_TEXTS], seed)
     first, sizes, begin = windows(words.bounds)
     owner = owners(begin)
-    odds = telling(words, y)[words.index]
-    reach = np.array([odds[a : a + n].max(initial=-9) for a, n in zip(first, sizes)])
+    odds = telling(*counts, y)
+    reach = np.array([odds[words.index[a : a + n]].max(initial=-9) for a, n in zip(first, sizes)])
     rng = np.random.default_rng(seed)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.w.items()}
     count = 0
