@@ -18,7 +18,7 @@ WINDOW = 32
 HOP = 16
 WIDTH = 16  # of a word's input
 HIDDEN = 8  # of either direction
-GRAM_SLOTS = 1 << 14
+GRAM_SLOTS = 1 << 14  # at most 1 << 16, as slots are kept in 16 bits
 GRAM_SIZES = (3, 5)
 MIN_TEXTS = 5
 THRESHOLD = 0.3
@@ -57,7 +57,7 @@ def read_words(data: np.ndarray, offsets: np.ndarray) -> Words:
         for j in range(n if len(gram) else 0):
             gram = gram * STEP + marked[j : j + len(gram)]
         whole = where[: len(gram)] == where[n - 1 :] if len(gram) else np.zeros(0, bool)
-        parts.append((mix(gram[whole] + np.uint64(n)) % np.uint64(GRAM_SLOTS)).astype(np.int32))
+        parts.append((mix(gram[whole] + np.uint64(n)) % np.uint64(GRAM_SLOTS)).astype(np.uint16))
         owner.append(where[: len(gram)][whole])
     owners_, slots = np.concatenate(owner), np.concatenate(parts)
     order = np.argsort(owners_, kind="stable")
@@ -84,6 +84,7 @@ def read_sample(sample: list[str]) -> Words:
             held.append(found)
         bounds.append(part.bounds[1:] + total)
         total += len(part.index)
+    del data, part
     order = np.argsort(seen)
     hashes, count = seen[order], np.concatenate(counts)
     read = Words(seen, np.zeros(0, np.int32), np.zeros(0, np.int64), np.concatenate(slots), np.r_[0, np.cumsum(count)])
@@ -227,6 +228,17 @@ class Network:
             out[part] = self.run(self.gather(table, words.index, first[part], sizes[part]), sizes[part])
         return out
 
+    def logits_by_runs(self, words: Words, first: np.ndarray, sizes: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """As ``logits``, with the projections of one run of texts held at a time. begin: each text's first window."""
+        out = np.empty(len(first), np.float32)
+        for a, b in chunks(words.bounds, WORDS_AT_ONCE):
+            low, part = words.bounds[a], slice(begin[a], begin[b])
+            used, place = np.unique(words.index[low : words.bounds[b]], return_inverse=True)
+            slots, count = slots_of(words, used)
+            own = Words(words.hashes[used], place, words.bounds[a : b + 1] - low, slots, np.r_[0, np.cumsum(count)])
+            out[part] = self.logits(own, first[part] - low, sizes[part])
+        return out
+
     def step(self, words: Words, first: np.ndarray, sizes: np.ndarray, y: np.ndarray, drop: np.random.Generator) -> dict:
         """Gradients of the mean log loss over these windows, by back-propagation through time."""
         w = self.w
@@ -313,7 +325,7 @@ def fit_network(sample: list[str], labels: list[int], share: float, rounds: int
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.w.items()}
     count = 0
     for turn in range(rounds):
-        value = reach if turn < 3 else net.logits(words, first, sizes)
+        value = reach if turn < 3 else net.logits_by_runs(words, first, sizes, begin)
         order = np.lexsort((rng.random(len(value)), value, owner))
         top = order[begin[1:] - 1]
         other = (begin[:-1] + (rng.random(len(y)) * np.diff(begin)).astype(int))[y == 0]
