@@ -2,8 +2,9 @@
 
 Features are cut into bins once. Rows travel as blocks of bin numbers with their running margins. One job a level sums gradients
 per (class, node, feature, bin) in the map tasks, adds the sums up by (class, node) and finds the best cut there; the driver sees
-one row per node. Nodes that have become small are grown to the end by one task each. Gradients are whole numbers of 2**-28, so
-sums, and with them the trees, don't depend on how rows are partitioned.
+one row per node. Nodes that one task can hold, up to the root, are grown to the end by one task each: there the larger of two
+siblings costs no counting, and a tree of narrow cuts no job a level. Gradients are whole numbers of 2**-28, so sums, and with them
+the trees, don't depend on how rows are partitioned.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortspark.functions.scalars import quote
@@ -29,7 +30,11 @@ from cohortspark.session import ensure_checkpoint_dir, scratch_path
 
 UNIT = 1 << 28  # gradients are rounded to its inverse; 2**34 rows can be summed
 BLOCK_ROWS = 4096
-LOCAL_ROWS = 1 << 16  # of a node that one task grows to the end
+LOCAL_ROWS = 1 << 22  # of a node that one task grows to the end, in well under a second a million
+LOCAL_CELLS = 1 << 26  # bins of such a node: wider rows are fewer
+TASK_BLOCKS = 256  # that a task passes over at most; fewer where the cores have less to do
+WAVES = 2
+SORTED_ROWS = 1 << 21  # that a task sorts
 FEW_ROWS = 1024
 CELLS = 1 << 23  # gradient sums that a task holds at once; more nodes than that take another pass
 CHECKPOINT_ROUNDS = 20
@@ -113,6 +118,22 @@ def block_count(rows: int) -> int:
     return max(1, -(-rows // BLOCK_ROWS))
 
 
+def part_count(rows: int, cores: int) -> int:
+    """Partitions of the blocks: every job of every round starts a task for each, so there are some waves of the cores at most,
+    unless tasks would get more than ``TASK_BLOCKS``."""
+    return min(block_count(rows), max(WAVES * cores, -(-block_count(rows) // TASK_BLOCKS)))
+
+
+def _narrow(values: np.ndarray) -> bytes:
+    """Whole numbers in four bytes each, where all fit, or eight; ``_wide`` tells by their length."""
+    fits = not len(values) or (values.min() >= -(1 << 31) and values.max() < 1 << 31)
+    return (values.astype(np.int32) if fits else values).tobytes()
+
+
+def _wide(parts: Sequence[bytes], rows: Sequence[int]) -> np.ndarray:
+    return np.concatenate([np.frombuffer(p, np.int32 if len(p) == 4 * n else np.int64) for p, n in zip(parts, rows)])
+
+
 def _blocks(cuts: list[list[float]], start: list[float]):
     edges = [np.array(c) for c in cuts]
 
@@ -298,9 +319,9 @@ def _reduce(offsets: list[np.ndarray], params: BoostingParams):
 # ----------------------------------------------------------------------------------------------------- small nodes
 
 
-def _rows_of_nodes(trees: list[Tree], wanted: list[list[int]], drawn: list[list[int]], params: BoostingParams, number: int):
+def _rows_of_nodes(trees: list[Tree], wanted: list[list[int]], task: dict[tuple[int, int], int], drawn: list[list[int]], params: BoostingParams, number: int):
     """Map task: the bins and gradients of the rows that lie in small nodes, a row of bytes for each block and node."""
-    schema = pa.schema([("c", pa.int32()), ("node", pa.int32()), ("bins", pa.binary()), ("g", pa.binary()), ("h", pa.binary())])
+    schema = pa.schema([*((c, pa.int32()) for c in ("task", "c", "node")), *((c, pa.binary()) for c in ("bins", "g", "h"))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = _slots(trees, wanted)
@@ -317,8 +338,8 @@ def _rows_of_nodes(trees: list[Tree], wanted: list[list[int]], drawn: list[list[
                     ends = np.searchsorted(slot[order], np.arange(len(wanted[k]) + 1))
                     for i in np.flatnonzero(np.diff(ends)):
                         rows = order[ends[i] : ends[i + 1]]
-                        parts = {"bins": bins[drawn[k]][:, rows].T.tobytes(), "g": g[k][rows].tobytes(), "h": h[k][rows].tobytes()}
-                        out.append({"c": k, "node": wanted[k][i], **parts})
+                        parts = {"bins": bins[drawn[k]][:, rows].tobytes(), "g": _narrow(g[k][rows]), "h": _narrow(h[k][rows])}
+                        out.append({"task": task[k, wanted[k][i]], "c": k, "node": wanted[k][i], **parts})
                 if out:
                     yield pa.RecordBatch.from_pylist(out, schema)
 
@@ -360,13 +381,23 @@ def subtree(bins: np.ndarray, g: np.ndarray, h: np.ndarray, offsets: np.ndarray,
     return [tuple(n) for n in nodes]
 
 
+def _dealt(rows: dict[tuple[int, int], int], tasks: int) -> dict[tuple[int, int], int]:
+    """The task of every (class, node), so that tasks get about the same number of rows: the largest first, to the emptiest task."""
+    held, out = [(0, t) for t in range(tasks)], {}
+    for key in sorted(rows, key=lambda k: (-rows[k], k)):
+        filled, out[key] = heapq.heappop(held)
+        heapq.heappush(held, (filled + rows[key], out[key]))
+    return out
+
+
 def _finish(offsets: list[np.ndarray], depths: list[dict[int, int]], params: BoostingParams):
     """A small node's rows, at most ``LOCAL_ROWS``, to its whole subtree."""
 
     def grow_one(key: tuple[int, int], parts: list[list[bytes]]) -> pa.RecordBatch:
-        bins, g, h = (np.frombuffer(b"".join(p), t) for p, t in zip(zip(*parts), (np.uint8, np.int64, np.int64)))
-        columns = np.ascontiguousarray(bins.reshape(len(g), -1).T)
-        found = subtree(columns, g, h, offsets[key[0]], depths[key[0]][key[1]], params)
+        blocks = [np.frombuffer(b, np.uint8).reshape(len(offsets[key[0]]) - 1, -1) for b, *_ in parts]
+        rows = [b.shape[1] for b in blocks]
+        g, h = (_wide([p[i] for p in parts], rows) for i in (1, 2))
+        found = subtree(np.concatenate(blocks, axis=1), g, h, offsets[key[0]], depths[key[0]][key[1]], params)
         return pa.RecordBatch.from_pylist([{"c": key[0], "node": key[1], "found": json.dumps(found)}], _FOUND)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,6 +415,10 @@ def _finish(offsets: list[np.ndarray], depths: list[dict[int, int]], params: Boo
     return work
 
 
+def _widest(spark: SparkSession) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def _by_node(df: DataFrame, nodes: int, blocks: int) -> DataFrame:
     """The rows of each (class, node) in one partition; those of a single block are together as they are."""
     if blocks == 1:
@@ -446,20 +481,22 @@ def _final(nodes: list[_Node], cuts: list[list[float]], params: BoostingParams)
 
 
 def grow(
-    state: DataFrame, cuts: list[list[float]], params: BoostingParams, number: int, rows: int, local_rows: int = LOCAL_ROWS
+    state: DataFrame, cuts: list[list[float]], params: BoostingParams, number: int, rows: int, local_rows: int | None = None
 ) -> list[Tree]:
     """One tree for each class, of at most ``leaves`` leaves and ``max_depth`` levels; ``rows`` is at least the number of rows.
 
     Leaf-wise growth picks cuts by falling gain, and the best cut of a node doesn't depend on the order. So a level's open nodes
     are searched together, in one job for all classes, but only those that the growth so far would reach within its leaves; the
-    final choice is the same as if leaves had been cut one by one. Nodes of at most ``local_rows`` rows are left for a last job,
-    in which each is one task's group and is grown to the end there.
+    final choice is the same as if leaves had been cut one by one. Nodes of at most ``local_rows`` rows (by default as many as
+    ``LOCAL_ROWS`` and ``LOCAL_CELLS`` allow) are left for a last job, in which each is one task's group and is grown to the end there.
     """
     classes = params.margins
     usable = [f for f, c in enumerate(cuts) if c]
     if not usable:
         return [Tree() for _ in range(classes)]
     count = max(1, round(len(usable) * params.feature_fraction))
+    if local_rows is None:
+        local_rows = min(LOCAL_ROWS, LOCAL_CELLS // count)
     drawn = [sorted(np.random.default_rng([params.seed, number, k]).choice(usable, count, False).tolist()) for k in range(classes)]
     offsets = [np.concatenate([[0], np.cumsum([len(cuts[f]) + 1 for f in features])]).astype(np.int64) for features in drawn]
     grown: list[list[_Node]] = [[_Node(0, 0, rows)] for _ in range(classes)]
@@ -497,10 +534,14 @@ def grow(
             wanted.append(following)
     if any(small):
         trees = [_routing(nodes) for nodes in grown]
+        sizes = {(k, n): grown[k][n].rows for k, nodes in enumerate(small) for n in nodes}
+        tasks = min(len(sizes), _widest(state.sparkSession)) if blocks > 1 else 1
         rows_of = training.mapInArrow(
-            _rows_of_nodes(trees, [sorted(s) for s in small], drawn, params, number), "c int, node int, bins binary, g binary, h binary"
+            _rows_of_nodes(trees, [sorted(s) for s in small], _dealt(sizes, tasks), drawn, params, number),
+            "task int, c int, node int, bins binary, g binary, h binary",
         )
-        together = _by_node(rows_of, sum(map(len, small)), blocks).sortWithinPartitions("c", "node")
+        dealt = rows_of.repartitionById(tasks, "task") if blocks > 1 else rows_of.coalesce(1)
+        together = dealt.drop("task").sortWithinPartitions("c", "node")
         for c, at, found in together.mapInArrow(_finish(offsets, small, params), "c int, node int, found string").collect():
             _attach(grown[c], at, json.loads(found), drawn[c])
     return [_final(nodes, cuts, params) for nodes in grown]
@@ -571,7 +612,7 @@ def train(
     features: str = "features",
     validation: DataFrame | None = None,
     patience: int | None = None,
-    local_rows: int = LOCAL_ROWS,
+    local_rows: int | None = None,
 ) -> BoostedTreesModel:
     """Fit on the rows with a label; with ``validation`` and ``patience`` training stops when its loss hasn't fallen for so many
     rounds, and the trees of the best round are kept.
@@ -604,7 +645,8 @@ def train(
         total, mean = counts.agg(F.sum("n"), F.sum(F.col("y") * F.col("n")) / F.sum("n")).head()
         start = [mean or 0.0]
     rows = rows_of(df, False) if validation is None else rows_of(df, False).unionByName(rows_of(validation, True))
-    state = rows.repartition(block_count(total or 0), "pick").sortWithinPartitions("held", "pick").mapInArrow(_blocks(cuts, start), BLOCK).checkpoint()
+    parts = part_count(total or 0, df.sparkSession.sparkContext.defaultParallelism)
+    state = rows.repartition(parts, "pick").sortWithinPartitions("held", "pick").mapInArrow(_blocks(cuts, start), BLOCK).checkpoint()
     rounds: list[list[Tree]] = []
     best, kept, older = math.inf, 0, None
     for number in range(params.rounds):
@@ -694,7 +736,8 @@ class BoostedTreesModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         return dataset.withColumn("probabilities" if classes else "prediction", score(vector_to_array(self.getOrDefault(self.featuresCol))))
 
     def node_frame(self, df: DataFrame) -> DataFrame:
-        """(round, class, node, feature, cut, left, right, value): every node of every tree; feature is NULL at leaves."""
+        """(round, class, node, feature, cut, left, right, value): every node of every tree; feature is NULL at leaves. ``place``,
+        ``left_place`` and ``right_place`` number the nodes of all trees throughout."""
         trees = [(r + 1, c, t) for r, of_round in enumerate(self.rounds) for c, t in enumerate(of_round)]
         sizes = [len(t.feature) for *_, t in trees]
         feature = np.concatenate([np.asarray(t.feature, np.int32) for *_, t in trees])
@@ -706,6 +749,10 @@ class BoostedTreesModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         }
         for name, kind in (("cut", pa.float64()), ("left", pa.int32()), ("right", pa.int32()), ("value", pa.float64())):
             columns[name] = pa.array([v for *_, t in trees for v in getattr(t, name)], kind)
+        first = np.repeat(np.cumsum([0, *sizes[:-1]]), sizes)  # the place of each tree's root
+        columns["place"] = pa.array(np.arange(len(first)), pa.int64())
+        for side in ("left", "right"):
+            columns[f"{side}_place"] = pa.array(first + columns[side].to_numpy(), pa.int64())
         return df.sparkSession.createDataFrame(pa.table(columns))
 
 
@@ -713,20 +760,25 @@ def margins_by_join(model: BoostedTreesModel, df: DataFrame, keys: Sequence[str]
     """(keys, round, class, margin) after every round, or after the last one only, by descending the node frame with joins: a scorer
     that shares nothing with the model's own. The keys identify a row.
 
-    The nodes, whose number the rounds and leaves bound, are sent to the rows; only the last margins' sums, or the values of all rounds, are exchanged.
+    The nodes, whose number the rounds and leaves bound, are sent to the rows, numbered throughout, so that a step is one look into
+    an array. Only the last margins' sums are exchanged. For all rounds, rows are dealt by their keys before they are repeated, and
+    neither the running sums nor a later grouping by the keys moves them again.
     """
-    path = scratch_path(df.sparkSession, "nodes")
+    path, spark = scratch_path(df.sparkSession, "nodes"), df.sparkSession
     model.node_frame(df).write.parquet(path)
-    nodes, named = df.sparkSession.read.parquet(path), [quote(k) for k in keys]
-    steps = F.broadcast(nodes.drop("value"))
+    nodes, named = spark.read.parquet(path), [quote(k) for k in keys]
+    steps = F.broadcast(nodes.select("place", "feature", "cut", "left_place", "right_place"))
+    roots = F.broadcast(nodes.where("node = 0").select("round", "class", "place"))
     values = vector_to_array(model.getOrDefault(model.featuresCol))
     rounds = F.explode(F.sequence(F.lit(1), F.lit(len(model.rounds)))).alias("round")
     classes = F.explode(F.sequence(F.lit(0), F.lit(len(model.start) - 1))).alias("class")
-    at = df.select(*named, values.alias("_x"), rounds).select("*", classes, F.lit(0).alias("node"))
+    if not last:
+        df = df.repartition(_tasks_of(df.count() * len(model.rounds) * len(model.start), spark), *named)
+    at = df.select(*named, values.alias("_x"), rounds).select("*", classes).join(roots, ["round", "class"])
     for _ in range(max((_depth(t) for r in model.rounds for t in r), default=0)):
-        to = F.when(F.col("feature").isNull(), F.col("node")).when(F.get("_x", F.col("feature")) <= F.col("cut"), F.col("left"))
-        at = at.join(steps, ["round", "class", "node"]).select(*named, "_x", "round", "class", to.otherwise(F.col("right")).alias("node"))
-    done = at.join(F.broadcast(nodes.select("round", "class", "node", "value")), ["round", "class", "node"])
+        to = F.when(F.col("feature").isNull(), F.col("place")).when(F.get("_x", F.col("feature")) <= F.col("cut"), F.col("left_place"))
+        at = at.join(steps, "place").select(*named, "_x", "round", "class", to.otherwise(F.col("right_place")).alias("place"))
+    done = at.join(F.broadcast(nodes.select("place", "value")), "place")
     begin = F.element_at(F.array(*[F.lit(s) for s in model.start]), F.col("class") + 1)
     if last:
         sums = done.groupBy(*named, "class").agg(F.sum("value").alias("_sum"))
@@ -735,6 +787,11 @@ def margins_by_join(model: BoostedTreesModel, df: DataFrame, keys: Sequence[str]
     return done.select(*named, "round", "class", (begin + F.sum("value").over(so_far)).alias("margin"))
 
 
+def _tasks_of(rows: int, spark: SparkSession) -> int:
+    """Tasks for so many rows to sort: one for each ``SORTED_ROWS``, and the cores wherever that gives each of them some work."""
+    return max(1, -(-rows // SORTED_ROWS), min(spark.sparkContext.defaultParallelism, rows >> 16))
+
+
 def _depth(tree: Tree, node: int = 0) -> int:
     return 0 if tree.feature[node] < 0 else 1 + max(_depth(tree, tree.left[node]), _depth(tree, tree.right[node]))
 

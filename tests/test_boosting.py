@@ -304,3 +304,47 @@ def test_scoring_by_joins_sends_the_nodes_to_the_rows(spark):
     counts = dict(trees.score_batch(forest, frame).select("id", "probabilities").collect())
     for r in trees.probabilities_by_join(forest, frame).collect():
         assert r["probabilities"] == pytest.approx(counts[r["id"]])
+
+
+def test_a_tree_is_grown_by_few_tasks(spark, monkeypatch):
+    """Nodes that a task can hold, up to a root of more than 65,536 rows, are grown without a job a level, and rows lie in some
+    waves of partitions, however many blocks they are; the trees are those counted level by level."""
+    frame = spark.range(70_000).select(
+        (F.col("id") % 3).cast("double").alias("y"),
+        array_to_vector(F.array((F.col("id") * 7 % 50).cast("double"), (F.col("id") * F.col("id") % 41).cast("double"))).alias("features"),
+    )
+    params = BoostingParams(3, rounds=1, max_depth=6, leaves=12, min_leaf=20, l2=1e-6)
+    by_level = train(frame, "y", params, local_rows=0)
+    parts = []
+
+    def no_level(*_):
+        raise AssertionError("a job for a level")
+
+    def grown(state, *rest):
+        parts.append(state.rdd.getNumPartitions())
+        return grow(state, *rest)
+
+    grow = boosting.grow
+    monkeypatch.setattr(boosting, "_histograms", no_level)
+    monkeypatch.setattr(boosting, "grow", grown)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 500)
+    assert train(frame, "y", params).rounds == by_level.rounds
+    assert parts == [boosting.WAVES * spark.sparkContext.defaultParallelism]
+
+
+def test_nodes_are_dealt_evenly():
+    """A task has no second node while another has none."""
+    rows = {(k, 0): 1000 + k for k in range(5)}
+    assert sorted(boosting._dealt(rows, 5).values()) == list(range(5))
+    assert sorted(boosting._dealt(rows | {(5, 0): 6000}, 2).values()) == [0, 1, 1, 1, 1, 1]
+    wide = [np.array([5, -(1 << 28)]), np.array([1 << 40, 2, 3])]
+    assert boosting._wide([boosting._narrow(w) for w in wide], [2, 3]).tolist() == [5, -(1 << 28), 1 << 40, 2, 3]
+
+
+def test_margins_of_all_rounds_are_not_exchanged(spark):
+    """Rows are dealt by their keys before they are repeated for rounds and classes; running sums and a row's classes stay there."""
+    frame, _ = data(spark, 120)
+    model = train(frame, "y", BoostingParams(3, rounds=3, max_depth=3, leaves=6, min_leaf=4, l2=1e-6))
+    margins = boosting.margins_by_join(model, frame, ["id"]).groupBy("id", "round").agg(F.collect_list("margin"))
+    found = [kinds for line, kinds in _below_exchange(margins) if "Generate explode" in line]
+    assert found and all(kinds == [] for kinds in found)
